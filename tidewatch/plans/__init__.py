@@ -1,4 +1,4 @@
 """Registered query plans. Importing this package fills the registry."""
 
-from tidewatch.plans import drift_plans  # noqa: F401
+from tidewatch.plans import drift_plans, history_plans, profile_plans, scalar_plans  # noqa: F401
 from tidewatch.plans.registry import ORACLE, QUERIES  # noqa: F401

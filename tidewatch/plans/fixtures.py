@@ -108,10 +108,49 @@ ln AS (
   FROM l)"""
 
 
-def tiny_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E restricted to one user: low per-category counts (fallback path)."""
-    return events_cohorts(spark, sf_dir).where(F.col("user_id") == 8)
-
-
-TINY_SQL = E_SQL + """,
-tiny AS (SELECT * FROM e WHERE user_id = 8)"""
+# ------------------------------------------------------------------ H: daily history per event type
+H_START = "2024-01-01"
+
+
+def history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (event_type, day): the drift-history shape, derived from events."""
+    from pyspark.sql import Window
+
+    from tidewatch.operators.history import drift_type_for
+
+    e = read_table(spark, sf_dir, "events", ["ts", "event_type"])
+    d = (e.groupBy("event_type", F.datediff(F.col("ts").cast("date"), F.lit(H_START).cast("date")).alias("cycle"))
+         .agg(F.count("*").alias("new_samples"), F.min("ts").alias("timestamp")))
+    w = Window.partitionBy("event_type").orderBy("cycle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (d.withColumn("data_size", F.sum("new_samples").over(w))
+            .withColumn("total_size", F.col("data_size"))
+            .withColumn("drift_type", drift_type_for(F.col("cycle"))))
+
+
+H_SQL = f"""h0 AS (
+  SELECT event_type, CAST(date_diff('day', DATE '{H_START}', CAST(ts AS DATE)) AS INTEGER) AS cycle,
+         count(*) AS new_samples, min(ts) AS timestamp
+  FROM events GROUP BY 1, 2),
+h AS (
+  SELECT *, CAST(sum(new_samples) OVER (PARTITION BY event_type ORDER BY cycle
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS data_size,
+         ['input_drift', 'label_drift', 'concept_drift', 'combined_drift'][(cycle % 4) + 1] AS drift_type
+  FROM h0)"""
+
+
+# ------------------------------------------------------------------ S: scored documents (evaluation)
+def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents joined to labels; score = n_chars / (n_chars + 1500) at 4 dp,
+    label = quality, pred = score >= 0.5."""
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "n_chars"])
+    lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    j = d.join(lab, "doc_id")
+    score = F.round(F.col("n_chars") / (F.col("n_chars") + 1500.0), 4)
+    return j.select("doc_id", F.col("quality").alias("label"), score.alias("score"),
+                    (score >= 0.5).cast("int").alias("pred"))
+
+
+S_SQL = """s AS (
+  SELECT d.doc_id, lab.quality AS label, round(d.n_chars / (d.n_chars + 1500.0), 4) AS score,
+         CAST(round(d.n_chars / (d.n_chars + 1500.0), 4) >= 0.5 AS INTEGER) AS pred
+  FROM documents d JOIN labels lab ON d.doc_id = lab.doc_id)"""
