@@ -64,7 +64,7 @@ def normal(key: Column, salt: str, mean: Column | float = 0.0, sd: Column | floa
 def normal_sql(key_sql: str, salt: str, mean: str = "0.0", sd: str = "1.0") -> str:
     u1 = f"(({uniform_sql(key_sql, salt + ':a')} * {(_TWO52 - 1)!r} + 1) / {_TWO52!r})"
     u2 = uniform_sql(key_sql, salt + ":b")
-    return f"(({mean}) + ({sd}) * sqrt(-2.0 * ln({u1})) * cos({2.0 * math.pi!r} * {u2}))"
+    return f"(({mean}) + ({sd}) * (sqrt(-2.0 * ln({u1})) * cos({2.0 * math.pi!r} * {u2})))"
 
 
 def pick(key: Column, salt: str, choices: Sequence[str]) -> Column:

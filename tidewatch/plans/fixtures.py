@@ -154,3 +154,65 @@ S_SQL = """s AS (
   SELECT d.doc_id, lab.quality AS label, round(d.n_chars / (d.n_chars + 1500.0), 4) AS score,
          CAST(round(d.n_chars / (d.n_chars + 1500.0), 4) >= 0.5 AS INTEGER) AS pred
   FROM documents d JOIN labels lab ON d.doc_id = lab.doc_id)"""
+
+
+# ------------------------------------------------------------------ M: one row per order (classifier table)
+M_NUM = ("n_lines", "qty_band", "discount_pct", "tax_pct", "price_band")
+M_CAT = ("urgent", "fulfilled")
+M_TARGET = "segment"
+M_CLASSES = ("busy", "quiet")
+M_SPEC = FeatureSpec(numerical=M_NUM, categorical=M_CAT, target=M_TARGET)
+M_FLIP_RATE = 0.08
+
+
+def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders joined to per-order lineitem aggregates. Features are small
+    integer scales; Yes/No flags; label 'busy' when n_lines + qty_band/2 >= 7,
+    with about 8% of labels flipped by a hash of the order key (known signal)."""
+    from tidewatch.functions.scalar import uniform
+
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_quantity", "l_discount", "l_tax"])
+    agg = li.groupBy("l_orderkey").agg(F.count("*").alias("n_lines"), F.avg("l_quantity").alias("_q"),
+                                       F.avg("l_discount").alias("_d"), F.avg("l_tax").alias("_t"))
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus",
+                                             "o_orderpriority"])
+    m = o.join(agg, o.o_orderkey == agg.l_orderkey)
+    rule = (F.col("n_lines") + F.col("qty_band") / 2) >= 7
+    flip = uniform(F.col("o_orderkey"), "label") < M_FLIP_RATE
+    return (m.select("o_orderkey", "o_orderdate",
+                     F.col("n_lines").cast("double").alias("n_lines"),
+                     F.rint(F.col("_q") / 5).alias("qty_band"),
+                     F.rint(F.col("_d") * 100).alias("discount_pct"),
+                     F.rint(F.col("_t") * 100).alias("tax_pct"),
+                     F.rint(F.col("o_totalprice") / 50000).alias("price_band"),
+                     F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Yes").otherwise("No").alias("urgent"),
+                     F.when(F.col("o_orderstatus") == "F", "Yes").otherwise("No").alias("fulfilled"))
+            .withColumn(M_TARGET, F.when(rule != flip, "busy").otherwise("quiet")))
+
+
+def model_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_cohorts(model_table(spark, sf_dir), F.col("o_orderdate") < ntz(O_CUT))
+
+
+def _m_sql() -> str:
+    from tidewatch.functions.scalar import uniform_sql
+
+    return f"""m0 AS (
+  SELECT l_orderkey, count(*) AS n_lines, avg(l_quantity) AS q_, avg(l_discount) AS d_, avg(l_tax) AS t_
+  FROM lineitem GROUP BY l_orderkey),
+m1 AS (
+  SELECT o.o_orderkey, o.o_orderdate, CAST(m0.n_lines AS DOUBLE) AS n_lines, round_even(m0.q_ / 5, 0) AS qty_band,
+    round_even(m0.d_ * 100, 0) AS discount_pct, round_even(m0.t_ * 100, 0) AS tax_pct,
+    round_even(o.o_totalprice / 50000, 0) AS price_band,
+    CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Yes' ELSE 'No' END AS urgent,
+    CASE WHEN o.o_orderstatus = 'F' THEN 'Yes' ELSE 'No' END AS fulfilled,
+    {uniform_sql('o.o_orderkey', 'label')} < {M_FLIP_RATE} AS flip_
+  FROM orders o JOIN m0 ON o.o_orderkey = m0.l_orderkey),
+m AS (
+  SELECT o_orderkey, o_orderdate, n_lines, qty_band, discount_pct, tax_pct, price_band, urgent, fulfilled,
+    CASE WHEN ((n_lines + qty_band / 2) >= 7) <> flip_ THEN 'busy' ELSE 'quiet' END AS segment,
+    CASE WHEN o_orderdate < TIMESTAMP '{O_CUT}' THEN 'ref' ELSE 'cur' END AS cohort
+  FROM m1)"""
+
+
+M_SQL = _m_sql()
