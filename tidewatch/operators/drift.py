@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.tails import tail_prob
 from tidewatch.operators.cohorts import CUR, REF, to_long
 from tidewatch.operators.small import bound, join_small
+from tidewatch.session import cut_lineage
 from tidewatch.spec import DEFAULT_THRESHOLDS, DriftThresholds, FeatureSpec
 
 _REF = F.col("cohort") == REF
@@ -79,24 +80,47 @@ def with_welch(m: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- ECDF
-def distinct_values(long: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def distinct_values(long: DataFrame, keys: Sequence[str] = (), keep_null: bool = False) -> DataFrame:
     """Collapse to one row per distinct value: (keys, feature, value, c_ref, c_cur).
 
     Partial aggregation runs map-side, so a hot value costs one row per task.
+    With ``keep_null`` the NULL value row is kept (feature presence).
     """
-    return (long.where(F.col("value").isNotNull())
-            .groupBy(*keys, "feature", "value")
+    src = long if keep_null else long.where(F.col("value").isNotNull())
+    return (src.groupBy(*keys, "feature", "value")
             .agg(F.count_if(_REF).alias("c_ref"), F.count_if(_CUR).alias("c_cur")))
 
 
+def value_table(df: DataFrame, numerical: Sequence[str], categorical: Sequence[str],
+                keys: Sequence[str] = ()) -> DataFrame:
+    """ONE scan and ONE shuffle for every feature of a cohort-tagged frame:
+    (keys, feature, value DOUBLE, category STRING, c_ref, c_cur), one row per
+    distinct numeric value / category (NULL rows kept for presence)."""
+    null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cols = [F.struct(_nan_null(F.col(f).cast("double")).alias("num"), null_s.alias("cat")).alias(f)
+            for f in numerical]
+    cols += [F.struct(null_d.alias("num"), F.col(f).cast("string").alias("cat")).alias(f) for f in categorical]
+    wide = df.select(*[F.col(k) for k in keys], F.col("cohort"), *cols)
+    long = wide.unpivot([*keys, "cohort"], [*numerical, *categorical], "feature", "v")
+    return (long.groupBy(*keys, "feature", F.col("v.num").alias("value"), F.col("v.cat").alias("category"))
+            .agg(F.count_if(_REF).alias("c_ref"), F.count_if(_CUR).alias("c_cur")))
+
+
+def _bounds_expr(buckets: int) -> Column:
+    qs = [i / buckets for i in range(1, buckets)]
+    return F.percentile_approx("value", qs, 10_000)
+
+
 def ecdf(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16,
-         n_features: int = 1) -> DataFrame:
+         n_features: int = 1, bounds: DataFrame | None = None) -> DataFrame:
     """Cumulative counts per cohort at each distinct value, plus the next value.
 
     With ``buckets > 1`` the running sums are computed inside value buckets
     (approximate-quantile boundaries of the distinct values, a deterministic
     function of the value), and each bucket's offset comes from a small
     per-bucket totals table. No task ever holds more than one bucket.
+    ``dv`` must hold non-NULL values only; ``bounds`` (keys, feature, bounds)
+    may be passed when already computed.
     """
     k = [*keys, "feature"]
     if buckets <= 1:
@@ -106,9 +130,9 @@ def ecdf(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16,
                          F.sum("c_ref").over(run).alias("cum_ref"),
                          F.sum("c_cur").over(run).alias("cum_cur"),
                          F.lead("value").over(w).alias("next_value"))
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = dv.groupBy(*k).agg(F.percentile_approx("value", qs, 10_000).alias("bounds"))
-    b = join_small(dv, bounds, k, bound_rows=bound(n_features, 1, keys))
+    if bounds is None:
+        bounds = dv.groupBy(*k).agg(_bounds_expr(buckets).alias("bounds"))
+    b = join_small(dv, bounds.select(*k, "bounds"), k, bound_rows=bound(n_features, 1, keys))
     b = (b.withColumn("bucket", F.size(F.filter("bounds", lambda x: x < F.col("value"))))
          .drop("bounds"))
     kb = [*k, "bucket"]
@@ -133,11 +157,12 @@ def ecdf(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16,
                       F.coalesce("lnext", "next_first").alias("next_value"))
 
 
-def ecdf_stats(ecdf_df: DataFrame, moments: DataFrame, keys: Sequence[str] = (),
+def ecdf_stats(ecdf_df: DataFrame, counts: DataFrame, keys: Sequence[str] = (),
                n_features: int = 1) -> DataFrame:
-    """KS D, Wasserstein distance and exact medians per cohort from the ECDF."""
+    """KS D, Wasserstein distance and exact medians per cohort from the ECDF.
+    ``counts`` supplies n_ref / n_cur per (keys, feature)."""
     k = [*keys, "feature"]
-    m = moments.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).select(*k, "n_ref", "n_cur")
+    m = counts.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).select(*k, "n_ref", "n_cur")
     e = join_small(ecdf_df, m, k, bound_rows=bound(n_features, 1, keys))
     f1 = F.col("cum_ref") / F.col("n_ref")
     f2 = F.col("cum_cur") / F.col("n_cur")
@@ -183,19 +208,81 @@ def levene(dv: DataFrame, medians: DataFrame, keys: Sequence[str] = (),
 
 
 # ------------------------------------------------------------ numeric tests
-def numeric_tests(long: DataFrame, keys: Sequence[str] = (), n_features: int = 1,
-                  buckets: int = 16, with_p: bool = True) -> DataFrame:
-    """All five numeric statistics per (keys, feature), p-values optional."""
+def moments_from_values(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16) -> DataFrame:
+    """Per (keys, feature): counts, range, approximate median (``shift``) and
+    bucket bounds of the distinct values (NULL value rows count for presence only)."""
+    k = [*keys, "feature"]
+    nn = F.col("value").isNotNull()
+    aggs = [F.coalesce(F.sum(F.when(nn, F.col("c_ref"))), F.lit(0)).alias("n_ref"),
+            F.coalesce(F.sum(F.when(nn, F.col("c_cur"))), F.lit(0)).alias("n_cur"),
+            F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+            F.percentile_approx("value", 0.5, 10_000).alias("shift")]
+    if buckets > 1:
+        aggs.append(_bounds_expr(buckets).alias("bounds"))
+    return dv.groupBy(*k).agg(*aggs)
+
+
+def numeric_tests_from_values(dv: DataFrame, keys: Sequence[str] = (), n_features: int = 1,
+                              buckets: int = 16, with_p: bool = True, materialize: bool = True) -> DataFrame:
+    """All five numeric statistics per (keys, feature) from a distinct-value table.
+
+    One aggregate over the ECDF gives KS D, Wasserstein, exact medians and the
+    moments (sums of value - shift, shift = approximate median, so they stay
+    accurate far from zero); one pass with the medians gives Levene.
+    """
     k = [*keys, "feature"]
-    m = with_welch(with_cohens_d(numeric_moments(long, keys)))
-    dv = distinct_values(long, keys)
-    e = ecdf(dv, keys, buckets, n_features)
-    es = ecdf_stats(e, m, keys, n_features)
-    lv = levene(dv, es, keys, n_features)
+    ag = moments_from_values(dv, keys, buckets)
+    present = dv.where(F.col("value").isNotNull())
+    e = ecdf(present, keys, buckets, n_features, bounds=ag if buckets > 1 else None)
+    sized = ag.where((F.col("n_ref") > 0) | (F.col("n_cur") > 0)).select(*k, "n_ref", "n_cur", "shift")
+    e = join_small(e, sized, k, bound_rows=bound(n_features, 1, keys))
+    f1 = _div(F.col("cum_ref").cast("double"), F.col("n_ref").cast("double"))
+    f2 = _div(F.col("cum_cur").cast("double"), F.col("n_cur").cast("double"))
+    diff = F.abs(f1 - f2)
+    dev = F.col("value") - F.col("shift")
+
+    def at_rank(cum: str, r: Column) -> Column:
+        return F.min(F.when(F.col(cum) >= r, F.col("value")))
+
+    n1, n2 = F.col("n_ref"), F.col("n_cur")
+    es = e.groupBy(*k).agg(
+        F.max(diff).alias("ks_statistic"),
+        F.coalesce(F.sum(diff * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("wasserstein_distance"),
+        ((at_rank("cum_ref", F.floor((n1 + 1) / 2)) + at_rank("cum_ref", F.floor(n1 / 2) + 1)) / 2).alias("median_ref"),
+        ((at_rank("cum_cur", F.floor((n2 + 1) / 2)) + at_rank("cum_cur", F.floor(n2 / 2) + 1)) / 2).alias("median_cur"),
+        F.sum(F.col("c_ref") * dev).alias("s1_ref"), F.sum(F.col("c_ref") * dev * dev).alias("s2_ref"),
+        F.sum(F.col("c_cur") * dev).alias("s1_cur"), F.sum(F.col("c_cur") * dev * dev).alias("s2_cur"))
+    if materialize:  # read by the Levene pass and the final join: compute the ECDF once
+        es = cut_lineage(es, "ecdf-stats")
+    # Levene (Brown-Forsythe): |x - median of own cohort|, one pass
+    j = join_small(present, es.select(*k, "median_ref", "median_cur"), k, bound_rows=bound(n_features, 1, keys))
+    z_ref = F.abs(F.col("value") - F.col("median_ref"))
+    z_cur = F.abs(F.col("value") - F.col("median_cur"))
+    lv = j.groupBy(*k).agg(
+        F.sum(F.col("c_ref") * z_ref).alias("sz_ref"), F.sum(F.col("c_ref") * z_ref * z_ref).alias("szz_ref"),
+        F.sum(F.col("c_cur") * z_cur).alias("sz_cur"), F.sum(F.col("c_cur") * z_cur * z_cur).alias("szz_cur"))
+    out = ag.drop(*(["bounds"] if buckets > 1 else [])).join(es, k, "left").join(lv, k, "left")
+    for c in ("ref", "cur"):
+        n = F.col(f"n_{c}").cast("double")
+        s1, s2 = F.col(f"s1_{c}"), F.col(f"s2_{c}")
+        out = (out.withColumn(f"mean_{c}", F.col("shift") + _div(s1, n))
+               .withColumn(f"var_{c}", F.greatest(F.lit(0.0), _div(s2 - _div(s1 * s1, n), n - 1)))
+               .withColumn(f"zbar_{c}", _div(F.col(f"sz_{c}"), n)))
+    n = (F.col("n_ref") + F.col("n_cur")).cast("double")
+    zbar = _div(F.col("sz_ref") + F.col("sz_cur"), n)
+    ssw = (F.col("szz_ref") - F.col("n_ref") * F.col("zbar_ref") * F.col("zbar_ref")
+           + F.col("szz_cur") - F.col("n_cur") * F.col("zbar_cur") * F.col("zbar_cur"))
+    ssb = (F.col("n_ref") * F.pow(F.col("zbar_ref") - zbar, 2) + F.col("n_cur") * F.pow(F.col("zbar_cur") - zbar, 2))
     rng = F.col("max_value") - F.col("min_value")
-    out = (m.join(es, k, "left").join(lv, k, "left")
+    out = (with_welch(with_cohens_d(out))
+           .withColumn("levene_statistic", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0) & (n > 2),
+                                                  _div((n - 2) * ssb, ssw)))
+           .withColumn("levene_df2", n - 2)
+           .withColumn("ks_statistic", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), F.col("ks_statistic")))
            .withColumn("normalized_distance",
-                       F.when(rng > 0, _div(F.col("wasserstein_distance"), rng)).otherwise(F.lit(0.0))))
+                       F.when(rng > 0, _div(F.col("wasserstein_distance"), rng)).otherwise(F.lit(0.0)))
+           .drop("s1_ref", "s2_ref", "s1_cur", "s2_cur", "sz_ref", "szz_ref", "sz_cur", "szz_cur",
+                 "zbar_ref", "zbar_cur", "shift"))
     if with_p:
         out = (out.withColumn("ks_p_value", tail_prob("ks", F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")))
                .withColumn("t_p_value", tail_prob("t", F.col("t_statistic"), F.col("t_df")))
@@ -204,6 +291,16 @@ def numeric_tests(long: DataFrame, keys: Sequence[str] = (), n_features: int = 1
     return out
 
 
+def numeric_tests(long: DataFrame, keys: Sequence[str] = (), n_features: int = 1,
+                  buckets: int = 16, with_p: bool = True, materialize: bool = True) -> DataFrame:
+    """Numeric statistics from an unpivoted frame: one shuffle to distinct
+    values, checkpointed (lineage cut) so every statistic reads that table."""
+    dv = distinct_values(long, keys, keep_null=True)
+    if materialize:
+        dv = cut_lineage(dv)
+    return numeric_tests_from_values(dv, keys, n_features, buckets, with_p, materialize)
+
+
 def _flag(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
@@ -324,19 +421,27 @@ def _conform(t: DataFrame, keys: Sequence[str], feature_type: str) -> DataFrame:
 
 def feature_drift(df: DataFrame, spec: FeatureSpec, th: DriftThresholds = DEFAULT_THRESHOLDS,
                   numerical: Sequence[str] | None = None,
-                  categorical: Sequence[str] | None = None) -> DataFrame:
-    """Per-feature drift results for a cohort-tagged frame (column ``cohort``)."""
+                  categorical: Sequence[str] | None = None, materialize: bool = True) -> DataFrame:
+    """Per-feature drift results for a cohort-tagged frame (column ``cohort``).
+
+    One scan and one shuffle build the distinct-value table of all features;
+    it is checkpointed and every test reads it.
+    """
     keys = list(spec.keys)
     num = list(spec.numerical if numerical is None else numerical)
     cat = list(spec.categorical if categorical is None else categorical)
+    vt = value_table(df, num, cat, keys)
+    if materialize:
+        vt = cut_lineage(vt)
     parts = []
     if num:
-        t = numeric_tests(to_long(df, num, keys), keys, len(num), th.ecdf_buckets,
-                          with_p=not th.effect_only)
+        dv = vt.where(F.col("feature").isin(num)).select(*keys, "feature", "value", "c_ref", "c_cur")
+        t = numeric_tests_from_values(dv, keys, len(num), th.ecdf_buckets, with_p=not th.effect_only,
+                                      materialize=materialize)
         parts.append(_conform(_insufficient(numeric_verdict(t, th)), keys, "numerical"))
     if cat:
-        t = categorical_tests(category_counts(to_long(df, cat, keys, as_string=True), keys),
-                              keys, len(cat), th, with_p=not th.effect_only)
+        counts = vt.where(F.col("feature").isin(cat)).select(*keys, "feature", "category", "c_ref", "c_cur")
+        t = categorical_tests(counts, keys, len(cat), th, with_p=not th.effect_only)
         parts.append(_conform(_insufficient(categorical_verdict(t, th)), keys, "categorical"))
     out = parts[0]
     for p in parts[1:]:

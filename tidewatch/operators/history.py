@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators.cohorts import REF
 from tidewatch.operators.drift import distinct_values, ecdf
 from tidewatch.operators.small import join_small
+from tidewatch.session import cut_lineage
 
 # adaptive-strength parameters (fixed values, reference defaults)
 BASE_STRENGTH = 0.1
@@ -86,7 +87,7 @@ def newest_threshold(df: DataFrame, order: str, keep: DataFrame | int, keys: Seq
     """
     long = df.select(*keys, F.lit(REF).alias("cohort"), F.lit("_order").alias("feature"),
                      F.col(order).alias("value"))
-    dv = distinct_values(long, keys)
+    dv = cut_lineage(distinct_values(long, keys))
     e = ecdf(dv, keys, buckets, 1)
     k = list(keys) + ["feature"]
     n = dv.groupBy(*k).agg(F.sum("c_ref").alias("n"))

@@ -19,6 +19,7 @@ from tidewatch.operators.cohorts import REF
 from tidewatch.operators.drift import distinct_values, ecdf
 from tidewatch.operators.history import DRIFT_TYPES, RETENTION_CAP, retention_tail
 from tidewatch.operators.small import join_small
+from tidewatch.session import cut_lineage
 
 # reference input-shift multipliers are per-feature (fixed values in the
 # reference); callers pass their own feature -> multiplier map.
@@ -85,7 +86,7 @@ def smallest_k(df: DataFrame, value: Column, k: Column, keys: Sequence[str] = ()
     if not keys:
         d = d.withColumn("_all", F.lit(1))
     long = d.select(*on, F.lit(REF).alias("cohort"), F.lit("_v").alias("feature"), F.col("_v").alias("value"))
-    dv = distinct_values(long, on)
+    dv = cut_lineage(distinct_values(long, on))
     e = ecdf(dv, on, buckets, 1)
     kk = d.groupBy(*on).agg(F.max("_k").alias("_kk"))
     e = join_small(e, kk, on)
@@ -160,7 +161,7 @@ def repair_rows(df: DataFrame, numerical: Sequence[str], binary: Sequence[str],
 def row_index(df: DataFrame, order: str, buckets: int = 16) -> DataFrame:
     """Dense 1-based index by a unique order key, from bucketed running counts."""
     long = df.select(F.lit(REF).alias("cohort"), F.lit("_i").alias("feature"), F.col(order).alias("value"))
-    e = ecdf(distinct_values(long), (), buckets, 1)
+    e = ecdf(cut_lineage(distinct_values(long)), (), buckets, 1)
     idx = e.select(F.col("value").alias(order), F.col("cum_ref").alias("_idx"))
     return df.join(idx, order)
 

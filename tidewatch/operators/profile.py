@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators.cohorts import REF, to_long
 from tidewatch.operators.drift import distinct_values, ecdf
 from tidewatch.operators.small import bound, join_small
+from tidewatch.session import cut_lineage
 
 
 def numeric_summary(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -63,7 +64,7 @@ def exact_quantiles(long: DataFrame, qs: Sequence[float], keys: Sequence[str] =
     ``long`` has (keys, feature, value); returns one column ``q_<i>`` per q.
     """
     k = [*keys, "feature"]
-    dv = distinct_values(long.withColumn("cohort", F.lit(REF)), keys)
+    dv = cut_lineage(distinct_values(long.withColumn("cohort", F.lit(REF)), keys))
     e = ecdf(dv, keys, buckets, n_features)
     n = dv.groupBy(*k).agg(F.sum("c_ref").alias("n"))
     e = join_small(e, n, k, bound_rows=bound(n_features, 1, keys))

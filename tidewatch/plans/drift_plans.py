@@ -217,21 +217,34 @@ def q_categorical_drift_psi(spark, sf):
 
 
 # ------------------------------------------------------------------ H13 / D12 / H14 on effect flags
-def _dataset_sql() -> str:
+def _dataset_sql(prefix: str = f"WITH {fx.L_SQL}", src: str = "l") -> str:
+    """Effect-only per-feature verdicts (CTE feat) and roll-up (CTE lvl) over
+    cohort CTE ``src`` with the L features."""
     cat = categorical_ctes("lc")
-    return (f"WITH {fx.L_SQL},\nlg AS (\n  {fx.long_sql('l', fx.L_NUM)}),\n"
-            f"lc AS (\n  {fx.long_sql('l', fx.L_CAT, True)}),{numeric_ctes('lg')},{cat}" + f""",
+    return (f"{prefix},\nlg AS (\n  {fx.long_sql(src, fx.L_NUM)}),\n"
+            f"lc AS (\n  {fx.long_sql(src, fx.L_CAT, True)}),{numeric_ctes('lg')},{cat}" + f""",
 feat AS (
-  SELECT feature, {effect_verdict_sql('num')} AS drift_detected, {sev_effect_sql('num')} AS severity FROM num
+  SELECT feature, 'numerical' AS feature_type, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur,
+    CASE WHEN n_ref = 0 OR n_cur = 0 THEN false ELSE {effect_verdict_sql('num')} END AS drift_detected,
+    CASE WHEN n_ref = 0 OR n_cur = 0 THEN 'NONE' ELSE {sev_effect_sql('num')} END AS severity,
+    CASE WHEN n_ref = 0 OR n_cur = 0 THEN 'insufficient_data' ELSE 'statistical_tests' END AS method,
+    CASE WHEN n_ref = 0 OR n_cur = 0 THEN 1.0 END AS p_value,
+    cohens_d AS effect_size, CAST(NULL AS DOUBLE) AS psi
+  FROM num
   UNION ALL
-  SELECT feature,
+  SELECT feature, 'categorical', n_ref, n_cur,
     CASE WHEN n_ref = 0 OR n_cur = 0 THEN false
          WHEN low_count THEN max_proportion_difference > 0.1 ELSE coalesce(psi > 0.05, false) END,
     CASE WHEN n_ref = 0 OR n_cur = 0 THEN 'NONE'
          WHEN low_count THEN CASE WHEN max_proportion_difference > 0.2 THEN 'HIGH'
                                   WHEN max_proportion_difference > 0.1 THEN 'MEDIUM' ELSE 'LOW' END
          ELSE CASE WHEN psi > 0.25 THEN 'HIGH' WHEN psi > 0.2 THEN 'MEDIUM' WHEN psi > 0.1 THEN 'LOW' ELSE 'NONE' END
-    END
+    END,
+    CASE WHEN n_ref = 0 OR n_cur = 0 THEN 'insufficient_data'
+         WHEN low_count THEN 'proportion_comparison' ELSE 'categorical_tests' END,
+    CASE WHEN n_ref = 0 OR n_cur = 0 THEN 1.0
+         WHEN low_count THEN CASE WHEN max_proportion_difference > 0.1 THEN 0.05 ELSE 0.5 END END,
+    CAST(NULL AS DOUBLE), CASE WHEN low_count THEN NULL ELSE psi END
   FROM cat),
 agg AS (
   SELECT count(*) AS total_features, count(*) FILTER (WHERE drift_detected) AS n_drifted_features,
@@ -245,7 +258,14 @@ lvl AS (
   SELECT *, CASE WHEN share_drifted_features >= 0.25 OR high_severity_features >= 2 THEN 'RED'
                  WHEN share_drifted_features >= 0.10 OR high_severity_features >= 1 THEN 'ORANGE'
                  WHEN share_drifted_features >= 0.05 THEN 'YELLOW' ELSE 'GREEN' END AS severity_level
-  FROM ds)""")
+  FROM ds),
+hl AS (
+  SELECT *, NOT dataset_drift AS dataset_drift_test, share_drifted_features < 0.10 AS feature_drift_test,
+    NOT critical_drift AS critical_drift_test, severity_level IN ('GREEN', 'YELLOW') AS severity_test
+  FROM lvl),
+hp AS (
+  SELECT *, CAST(dataset_drift_test AS INTEGER) + CAST(feature_drift_test AS INTEGER)
+    + CAST(critical_drift_test AS INTEGER) + CAST(severity_test AS INTEGER) AS passed_tests FROM hl)""")
 
 
 DATASET_SQL = _dataset_sql()

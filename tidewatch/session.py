@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,7 +62,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back: later stages start from these files (lineage cut, survives
+    executor loss), read them columnar and vectorised, and AQE sees their
+    real size. Reading a checkpointed RDD instead would go through the
+    row serializer."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tidewatch/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def written_stages() -> list[str]:
+    """Paths of the intermediate tables written by :func:`cut_lineage` (for cleanup)."""
+    return list(_WRITTEN)
