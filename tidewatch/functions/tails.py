@@ -55,19 +55,42 @@ def _betacf(a: float, b: float, x: float) -> float:
     return h
 
 
-def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
+def _lgamma_ratio(a: float, b: float) -> float:
+    """ln Gamma(a + b) - ln Gamma(a), stable when a is large (Stirling series
+    difference; plain lgamma differences cancel catastrophically)."""
+    if a < 1e4:
+        return math.lgamma(a + b) - math.lgamma(a)
+    c = a + b
+    out = (a - 0.5) * math.log1p(b / a) + b * math.log(c) - b
+    out += (1.0 / c - 1.0 / a) / 12.0 - (1.0 / c ** 3 - 1.0 / a ** 3) / 360.0
+    return out
+
+
+def _lbeta_norm(a: float, b: float) -> float:
+    """ln Gamma(a + b) - ln Gamma(a) - ln Gamma(b)."""
+    if a >= b:
+        return _lgamma_ratio(a, b) - math.lgamma(b)
+    return _lgamma_ratio(b, a) - math.lgamma(a)
+
+
+def betainc(a: float, b: float, x: float, y: float | None = None, lx: float | None = None,
+            ly: float | None = None) -> float:
+    """Regularised incomplete beta I_x(a, b); ``y`` = 1 - x and the logs
+    ``lx``, ``ly`` may be passed when the caller forms them without
+    cancellation (needed for very large a or b)."""
     if not (a > 0 and b > 0) or math.isnan(x):
         return float("nan")
+    y = 1.0 - x if y is None else y
     if x <= 0.0:
         return 0.0
-    if x >= 1.0:
+    if y <= 0.0:
         return 1.0
-    lbt = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-           + a * math.log(x) + b * math.log1p(-x))
+    lx = math.log(x) if lx is None else lx
+    ly = math.log(y) if ly is None else ly
+    lbt = _lbeta_norm(a, b) + a * lx + b * ly
     if x < (a + 1.0) / (a + b + 2.0):
         return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+    return 1.0 - math.exp(lbt) * _betacf(b, a, y) / b
 
 
 def gammaincc(a: float, x: float) -> float:
@@ -112,7 +135,11 @@ def t_two_sided(t: float, df: float) -> float:
         return float("nan")
     if math.isinf(t):
         return 0.0
-    return betainc(df / 2.0, 0.5, df / (df + t * t))
+    t2 = t * t
+    if t2 == 0:
+        return 1.0
+    r = t2 / df
+    return betainc(df / 2.0, 0.5, df / (df + t2), t2 / (df + t2), -math.log1p(r), math.log(r) - math.log1p(r))
 
 
 def f_upper(f: float, d1: float, d2: float) -> float:
@@ -123,7 +150,9 @@ def f_upper(f: float, d1: float, d2: float) -> float:
         return 0.0
     if f <= 0:
         return 1.0
-    return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+    r = d1 * f / d2
+    return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f), d1 * f / (d2 + d1 * f), -math.log1p(r),
+                   math.log(r) - math.log1p(r))
 
 
 def chi2_upper(x: float, k: float) -> float:

@@ -28,8 +28,15 @@ from tidewatch.operators.small import bound, join_small
 from tidewatch.session import cut_lineage
 from tidewatch.spec import DEFAULT_THRESHOLDS, DriftThresholds, FeatureSpec
 
-_REF = F.col("cohort") == REF
-_CUR = F.col("cohort") == CUR
+
+
+def _is_ref() -> Column:
+    return F.col("cohort") == REF
+
+
+def _is_cur() -> Column:
+    return F.col("cohort") == CUR
+
 _UNB = Window.unboundedPreceding
 _NOW = Window.currentRow
 
@@ -47,12 +54,12 @@ def numeric_moments(long: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Per (keys, feature): non-null counts, means, sample variances, range."""
     v = F.col("value")
     return long.groupBy(*keys, "feature").agg(
-        F.count(F.when(_REF, v)).alias("n_ref"),
-        F.count(F.when(_CUR, v)).alias("n_cur"),
-        F.avg(F.when(_REF, v)).alias("mean_ref"),
-        F.avg(F.when(_CUR, v)).alias("mean_cur"),
-        F.var_samp(F.when(_REF, v)).alias("var_ref"),
-        F.var_samp(F.when(_CUR, v)).alias("var_cur"),
+        F.count(F.when(_is_ref(), v)).alias("n_ref"),
+        F.count(F.when(_is_cur(), v)).alias("n_cur"),
+        F.avg(F.when(_is_ref(), v)).alias("mean_ref"),
+        F.avg(F.when(_is_cur(), v)).alias("mean_cur"),
+        F.var_samp(F.when(_is_ref(), v)).alias("var_ref"),
+        F.var_samp(F.when(_is_cur(), v)).alias("var_cur"),
         F.min(v).alias("min_value"),
         F.max(v).alias("max_value"),
     )
@@ -88,7 +95,7 @@ def distinct_values(long: DataFrame, keys: Sequence[str] = (), keep_null: bool =
     """
     src = long if keep_null else long.where(F.col("value").isNotNull())
     return (src.groupBy(*keys, "feature", "value")
-            .agg(F.count_if(_REF).alias("c_ref"), F.count_if(_CUR).alias("c_cur")))
+            .agg(F.count_if(_is_ref()).alias("c_ref"), F.count_if(_is_cur()).alias("c_cur")))
 
 
 def value_table(df: DataFrame, numerical: Sequence[str], categorical: Sequence[str],
@@ -103,7 +110,7 @@ def value_table(df: DataFrame, numerical: Sequence[str], categorical: Sequence[s
     wide = df.select(*[F.col(k) for k in keys], F.col("cohort"), *cols)
     long = wide.unpivot([*keys, "cohort"], [*numerical, *categorical], "feature", "v")
     return (long.groupBy(*keys, "feature", F.col("v.num").alias("value"), F.col("v.cat").alias("category"))
-            .agg(F.count_if(_REF).alias("c_ref"), F.count_if(_CUR).alias("c_cur")))
+            .agg(F.count_if(_is_ref()).alias("c_ref"), F.count_if(_is_cur()).alias("c_cur")))
 
 
 def _bounds_expr(buckets: int) -> Column:
@@ -335,7 +342,7 @@ def category_counts(long_str: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, feature, category, c_ref, c_cur): the FULL OUTER alignment of the
     two cohorts' value counts, obtained from one aggregate (no join)."""
     return (long_str.groupBy(*keys, "feature", F.col("value").alias("category"))
-            .agg(F.count_if(_REF).alias("c_ref"), F.count_if(_CUR).alias("c_cur")))
+            .agg(F.count_if(_is_ref()).alias("c_ref"), F.count_if(_is_cur()).alias("c_cur")))
 
 
 def categorical_tests(counts: DataFrame, keys: Sequence[str] = (), n_features: int = 1,
@@ -492,7 +499,7 @@ def infer_feature_types(df: DataFrame, features: Sequence[str], ratio: float = 0
                         approximate: bool = False) -> DataFrame:
     """Distinct ratio on the reference cohort -> categorical if < ratio or string."""
     dtypes = dict(df.dtypes)
-    long = to_long(df.where(_REF), features, as_string=True)
+    long = to_long(df.where(_is_ref()), features, as_string=True)
     nd = F.approx_count_distinct("value") if approximate else F.countDistinct("value")
     out = long.groupBy("feature").agg(F.count("value").alias("n"), nd.alias("n_distinct"))
     strings = [f for f in features if dtypes[f] == "string"]
