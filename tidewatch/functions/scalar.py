@@ -36,25 +36,39 @@ def round_half_even(c: str | Column, step: float | None = 1.0) -> Column:
     return F.rint(x / step) * step
 
 
+def _md5(key: Column, salt: str) -> Column:
+    return F.md5(F.concat_ws("|", key.cast("string"), F.lit(salt)))
+
+
+def _slice_uniform(h: Column, start: int) -> Column:
+    return F.conv(F.substring(h, start, 13), 16, 10).cast("double") / _TWO52
+
+
 def uniform(key: Column, salt: str) -> Column:
     """Deterministic U(0,1) from md5(key|salt): first 13 hex digits / 2^52.
 
     Same value on every retry and every partitioning (unlike ``rand``), and
     reproducible in SQL engines with md5.
     """
-    h = F.md5(F.concat_ws("|", key.cast("string"), F.lit(salt)))
-    return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / _TWO52
+    return _slice_uniform(_md5(key, salt), 1)
+
+
+def _sql_slice(key_sql: str, salt: str, start: int) -> str:
+    return (f"(CAST(('0x' || substr(md5(CAST({key_sql} AS VARCHAR) || '|{salt}'), {start}, 13)) AS BIGINT)"
+            f" / {_TWO52!r})")
 
 
 def uniform_sql(key_sql: str, salt: str) -> str:
     """DuckDB twin of :func:`uniform`."""
-    return f"(CAST(('0x' || substr(md5(CAST({key_sql} AS VARCHAR) || '|{salt}'), 1, 13)) AS BIGINT) / {_TWO52!r})"
+    return _sql_slice(key_sql, salt, 1)
 
 
 def normal(key: Column, salt: str, mean: Column | float = 0.0, sd: Column | float = 1.0) -> Column:
-    """Box-Muller normal from two hash uniforms (u1 shifted away from 0)."""
-    u1 = (uniform(key, salt + ":a") * (_TWO52 - 1) + 1) / _TWO52
-    u2 = uniform(key, salt + ":b")
+    """Box-Muller normal from one md5(key|salt): hex digits 1-13 and 14-26
+    give two independent uniforms (u1 shifted away from 0)."""
+    h = _md5(key, salt)
+    u1 = (_slice_uniform(h, 1) * (_TWO52 - 1) + 1) / _TWO52
+    u2 = _slice_uniform(h, 14)
     z = F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
     m = mean if isinstance(mean, Column) else F.lit(float(mean))
     s = sd if isinstance(sd, Column) else F.lit(float(sd))
@@ -62,8 +76,8 @@ def normal(key: Column, salt: str, mean: Column | float = 0.0, sd: Column | floa
 
 
 def normal_sql(key_sql: str, salt: str, mean: str = "0.0", sd: str = "1.0") -> str:
-    u1 = f"(({uniform_sql(key_sql, salt + ':a')} * {(_TWO52 - 1)!r} + 1) / {_TWO52!r})"
-    u2 = uniform_sql(key_sql, salt + ":b")
+    u1 = f"(({_sql_slice(key_sql, salt, 1)} * {(_TWO52 - 1)!r} + 1) / {_TWO52!r})"
+    u2 = _sql_slice(key_sql, salt, 14)
     return f"(({mean}) + ({sd}) * (sqrt(-2.0 * ln({u1})) * cos({2.0 * math.pi!r} * {u2})))"
 
 

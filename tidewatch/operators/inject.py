@@ -51,9 +51,10 @@ def jitter(df: DataFrame, features: Sequence[str], key: Column, baseline: DataFr
     own = wide_stats(df, features, "s")
     out = with_stats(with_stats(df, baseline), own)
     for f in features:
-        noisy = F.col(f) + normal(key, f"{salt}|{f}", 0.0, F.col(f"s_{f}_std") * fraction)
+        # the noisy value is its own column: the hash is evaluated once per row
+        out = out.withColumn(f"_nz_{f}", F.col(f) + normal(key, f"{salt}|{f}", 0.0, F.col(f"s_{f}_std") * fraction))
         lo = F.greatest(F.lit(0.0), F.col(f"b_{f}_min"))
-        out = out.withColumn(f, round_half_even(clip(noisy, lo, F.col(f"b_{f}_max")), step))
+        out = out.withColumn(f, round_half_even(clip(f"_nz_{f}", lo, F.col(f"b_{f}_max")), step)).drop(f"_nz_{f}")
     return _drop_prefixed(_drop_prefixed(out, "s"), "b")
 
 
@@ -68,8 +69,9 @@ def input_shift(df: DataFrame, shifts: Mapping[str, float], strength: float | Co
     out = with_stats(df, baseline)
     for f, m in shifts.items():
         u = F.col(f"b_{f}_std") if sd_units else F.lit(1.0)
-        noisy = F.col(f) + normal(key, f"{salt}|{f}", s * m * u, s * noise * u)
-        out = out.withColumn(f, round_half_even(clip(noisy, 0.0, F.col(f"b_{f}_max") * upper), step))
+        out = out.withColumn(f"_nz_{f}", F.col(f) + normal(key, f"{salt}|{f}", s * m * u, s * noise * u))
+        out = out.withColumn(f, round_half_even(clip(f"_nz_{f}", 0.0, F.col(f"b_{f}_max") * upper), step)
+                             ).drop(f"_nz_{f}")
     return _drop_prefixed(out, "b")
 
 
@@ -137,10 +139,12 @@ def concept_shift(df: DataFrame, label: str, cls: str, strength: float, key: Col
     """Within one class: up += N(3s, s), down += N(-2.5s, 0.5s), clip [lo, hi], round."""
     s = float(strength)
     inside = F.col(label) == cls
-    u = round_half_even(clip(F.col(up) + normal(key, f"{salt}|{up}", 3 * s, s), lo, hi), step)
-    d = round_half_even(clip(F.col(down) + normal(key, f"{salt}|{down}", -2.5 * s, 0.5 * s), lo, hi), step)
-    return (df.withColumn(up, F.when(inside, u).otherwise(F.col(up)))
-            .withColumn(down, F.when(inside, d).otherwise(F.col(down))))
+    d = (df.withColumn("_nz_up", F.col(up) + normal(key, f"{salt}|{up}", 3 * s, s))
+         .withColumn("_nz_down", F.col(down) + normal(key, f"{salt}|{down}", -2.5 * s, 0.5 * s)))
+    u = round_half_even(clip("_nz_up", lo, hi), step)
+    dn = round_half_even(clip("_nz_down", lo, hi), step)
+    return (d.withColumn(up, F.when(inside, u).otherwise(F.col(up)))
+            .withColumn(down, F.when(inside, dn).otherwise(F.col(down))).drop("_nz_up", "_nz_down"))
 
 
 def repair_rows(df: DataFrame, numerical: Sequence[str], binary: Sequence[str], baseline: DataFrame,

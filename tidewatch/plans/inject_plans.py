@@ -10,6 +10,7 @@ from tidewatch.operators.cohorts import encode_binary, to_long
 from tidewatch.plans import fixtures as fx
 from tidewatch.plans.registry import r, register
 from tidewatch.plans.sqlparts import effect_verdict_sql, numeric_ctes
+from tidewatch.sources.tables import spread_input
 from tidewatch.spec import DriftThresholds
 
 # input-shift multipliers of the reference (fixed values, in its feature
@@ -84,7 +85,8 @@ def q_jitter(spark, sf):
 
 # ------------------------------------------------------------------ I4 on L*: shifts in baseline-sd units, no rounding
 def _lstar(spark, sf):
-    l_ = fx.lineitem_cohorts(spark, sf, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    # hash noise is per-row work: spread an under-split scan over all task slots
+    l_ = spread_input(fx.lineitem_cohorts(spark, sf, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")))
     base = inject.wide_stats(l_.where(F.col("cohort") == "ref"), fx.L_NUM, "b")
     cur = l_.where(F.col("cohort") == "cur").withColumn("_key", fx.lineitem_key())
     shifted = inject.input_shift(cur, L_SHIFTS, L_STAR_STRENGTH, F.col("_key"), base, step=None, sd_units=True)

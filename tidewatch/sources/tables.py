@@ -13,11 +13,24 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: Sequence[str] | None = None) -> DataFrame:
+               columns: Sequence[str] | None = None, spread: bool = False) -> DataFrame:
     """Parquet table ``{sf_dir}/{name}.parquet``; projecting early lets the
-    scan read only the needed columns."""
+    scan read only the needed columns (filters still reach the scan)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_input(df) if spread else df
+
+
+def spread_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer input splits than the session has
+    task slots (e.g. one file with one row group), so per-row work runs on
+    every core. Metadata-only check; a scan of many files is left untouched,
+    so at cluster scale this adds no shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    if n >= slots:
+        return df
+    return df.repartition(slots)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
