@@ -218,3 +218,16 @@ def q_parse_metrics(spark, sf):
     t = t1.unionByName(t2)
     return t.select("variant", "metrics_text", parse_metric(F.col("metrics_text"), "Accuracy", ",").alias("accuracy"),
                     parse_metric(F.col("metrics_text"), "AUC", ",\\n").alias("auc"))
+
+
+# ------------------------------------------------------------------ D13: class counts per split
+@register("split_class_counts", f"WITH {fx.M_SQL}," + f"""
+q AS (SELECT o_orderkey, segment, {uniform_sql('o_orderkey', 'split')} AS u FROM m),
+k AS (SELECT segment, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS k FROM q GROUP BY segment),
+rk AS (SELECT q.*, row_number() OVER (PARTITION BY q.segment ORDER BY u, o_orderkey) AS rn FROM q)
+SELECT CASE WHEN rn <= k.k THEN 'test' ELSE 'train' END AS split, rk.segment, count(*) AS n
+FROM rk JOIN k ON rk.segment = k.segment GROUP BY 1, 2""")
+def q_split_class_counts(spark, sf):
+    m = fx.model_table(spark, sf)
+    sp = lc.stratified_split(m, fx.M_TARGET, "o_orderkey")
+    return sp.groupBy("split", fx.M_TARGET).agg(F.count("*").alias("n"))

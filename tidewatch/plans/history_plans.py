@@ -146,3 +146,23 @@ def q_append_by_name(spark, sf):
     return u.groupBy("cohort").agg(F.count("*").alias("n_rows"), F.count("l_returnflag").alias("n_returnflag"),
                                    F.count("l_tax").alias("n_tax"),
                                    F.round(F.sum("l_quantity"), 4).alias("sum_quantity"))
+
+
+# ------------------------------------------------------------------ I11: one status row per monitored segment
+@register("generator_status", _GROWTH_SQL + """,
+st AS (SELECT *, least(0.1 * power(1.2, total_failures), 0.8) AS drift_strength FROM fe)
+SELECT event_type, CAST(max(cycle) + 1 AS INTEGER) AS cycle, round(arg_max(drift_strength, cycle), 6) AS drift_strength,
+  CAST(arg_max(failed_detections, cycle) AS BIGINT) AS failed_detections,
+  CAST(count(*) FILTER (WHERE cycle > 0) AS BIGINT) AS total_adaptations,
+  max(timestamp) FILTER (WHERE drift_state = 'detected') AS last_drift_detected,
+  CAST(arg_max(data_size, cycle) AS BIGINT) AS current_data_size
+FROM st GROUP BY event_type""")
+def q_generator_status(spark, sf):
+    s = hist.strength_ladder(_streak(spark, sf), _K)
+    return s.groupBy("event_type").agg(
+        (F.max("cycle") + 1).cast("int").alias("cycle"),
+        F.round(F.max_by("drift_strength", "cycle"), 6).alias("drift_strength"),
+        F.max_by("failed_detections", "cycle").cast("long").alias("failed_detections"),
+        F.count_if(F.col("cycle") > 0).alias("total_adaptations"),
+        F.max(F.when(F.col("drift_state") == "detected", F.col("timestamp"))).alias("last_drift_detected"),
+        F.max_by("data_size", "cycle").alias("current_data_size"))
