@@ -78,7 +78,7 @@ def last_n(h: DataFrame, n: int = 5, keys: Sequence[str] = (), order: str = "cyc
 
 
 def newest_threshold(df: DataFrame, order: str, keep: DataFrame | int, keys: Sequence[str] = (),
-                     buckets: int = 16) -> DataFrame:
+                     buckets: int = 16, segmented: bool = True) -> DataFrame:
     """Per segment, the smallest order value among the ``keep`` newest rows.
 
     ``keep`` is a count or a table ``(keys..., _keep)``. Works from bucketed
@@ -95,7 +95,8 @@ def newest_threshold(df: DataFrame, order: str, keep: DataFrame | int, keys: Seq
         n = n.withColumn("_keep", F.lit(keep))
     else:
         n = n.join(keep, list(keys), "left").withColumn("_keep", F.coalesce(F.col("_keep"), F.lit(0)))
-    e = join_small(e, n, k)
+    # one row per segment; a single (constant-key) segment is broadcast, never shuffled to one task
+    e = join_small(e, n, k, bound_rows=None if segmented else 1)
     # newest `keep` rows  <=>  cum >= n - keep + 1
     t = e.groupBy(*k).agg(F.min(F.when(F.col("cum_ref") >= F.col("n") - F.col("_keep") + 1,
                                        F.col("value"))).alias("threshold"))
@@ -113,8 +114,8 @@ def retention_tail(current: DataFrame, new: DataFrame, order: str, cap: int = RE
     # segments without new rows keep `cap` rows
     seg = cur.select(*on).distinct().join(keep, on, "left")
     keep = seg.select(*on, F.coalesce(F.col("_keep"), F.lit(cap)).alias("_keep"))
-    thr = newest_threshold(cur, order, keep, on)
-    kept = (cur.join(thr, on, "left")
+    thr = newest_threshold(cur, order, keep, on, segmented=bool(keys))
+    kept = (join_small(cur, thr, on, "left", bound_rows=None if keys else 1)
             .where(F.col("threshold").isNotNull() & (F.col(order) >= F.col("threshold")))
             .drop("threshold"))
     out = kept.unionByName(nw, allowMissingColumns=True)

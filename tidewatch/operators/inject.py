@@ -91,11 +91,12 @@ def smallest_k(df: DataFrame, value: Column, k: Column, keys: Sequence[str] = ()
     dv = cut_lineage(distinct_values(long, on))
     e = ecdf(dv, on, buckets, 1)
     kk = d.groupBy(*on).agg(F.max("_k").alias("_kk"))
-    e = join_small(e, kk, on)
+    single = None if keys else 1  # without segments the per-segment tables have one row: broadcast them
+    e = join_small(e, kk, on, bound_rows=single)
     thr = e.groupBy(*on).agg(
         F.min(F.when(F.col("cum_ref") >= F.col("_kk"), F.col("value"))).alias("_t"),
         F.max(F.when(F.col("cum_ref") < F.col("_kk"), F.col("cum_ref"))).alias("_below"))
-    d = d.join(thr, on, "left").withColumn("_below", F.coalesce(F.col("_below"), F.lit(0)))
+    d = join_small(d, thr, on, "left", bound_rows=single).withColumn("_below", F.coalesce(F.col("_below"), F.lit(0)))
     strict = F.col("_v") < F.col("_t")
     tied = F.col("_v") == F.col("_t")
     if tiebreak is None:

@@ -6,7 +6,7 @@
 * ``drift_score_stream`` - the accumulated drift score as arbitrary state per
   segment (``applyInPandasWithState``), fed by a file stream of cycle rows.
 * ``monitor_stream`` - ``foreachBatch`` drift check of every micro-batch of
-  events against a broadcast reference profile, appended per batch id so a
+  events against the reference profile, written per batch id so a
   replayed batch overwrites its own output.
 
 All scratch output goes under the session's shared checkpoint folder.
@@ -123,7 +123,8 @@ def monitor_stream(spark: SparkSession, events: DataFrame, reference: DataFrame,
     reference moments (per segment); results are written under
     ``batch_id=<n>`` so a replayed batch replaces its own output."""
     out = scratch(spark, "monitor")
-    ref_m = F.broadcast(mon.reference_moments(reference, features, keys))  # one row per segment and feature
+    # one row per segment and feature: AQE broadcasts it when its measured size allows
+    ref_m = mon.reference_moments(reference, features, keys)
 
     def check(batch: DataFrame, batch_id: int) -> None:
         m = mon.reference_moments(batch, features, keys).select(
