@@ -10,6 +10,7 @@ from tidewatch.operators.cohorts import encode_binary, to_long
 from tidewatch.plans import fixtures as fx
 from tidewatch.plans.registry import r, register
 from tidewatch.plans.sqlparts import effect_verdict_sql, numeric_ctes
+from tidewatch.session import cut_lineage
 from tidewatch.sources.tables import spread_input
 from tidewatch.spec import DriftThresholds
 
@@ -275,7 +276,8 @@ SELECT {', '.join(_OUT)} FROM kept
 UNION ALL
 SELECT {', '.join(_OUT)} FROM new""")
 def q_augment_step(spark, sf):
-    m = _m(spark, sf)
+    # the working table feeds the index, bootstrap, baseline and retention branches: write it once
+    m = cut_lineage(_m(spark, sf), "generator-input")
     ref = m.where(F.col("cohort") == "ref")
     cur = m.where(F.col("cohort") == "cur").select(F.col("o_orderkey").cast("long").alias("seq"), *_OUT[1:])
     out = inject.augment_step(cur, ref, AUG_CYCLE, AUG_STRENGTH, AUG_N, fx.M_NUM, "o_orderkey", M_SHIFTS,
