@@ -107,3 +107,21 @@ def test_csv_and_json_sources_roundtrip(spark):
     j = read_json_document(spark, doc)
     flat = j.select(F.explode("drift_history").alias("h")).select("h.*")
     assert [r["drift_type"] for r in flat.orderBy("cycle").collect()] == ["input_drift", "label_drift"]
+
+
+def test_monitor_fallback_defaults_reset_score(spark):
+    from tidewatch.operators import monitor as mon
+
+    cal = spark.createDataFrame([("a", d) for d in range(4)], "seg string, window_start int")
+    roll = spark.createDataFrame([("a", 0, 2, 2, 0, 1.0, True, True, "RED", True),
+                                  ("a", 1, 2, 2, 0, 1.0, True, True, "RED", True),
+                                  ("a", 3, 2, 2, 0, 1.0, True, True, "RED", True)],
+                                 "seg string, window_start int, total_features long, n_drifted_features long, "
+                                 "high_severity_features long, share_drifted_features double, dataset_drift boolean, "
+                                 "critical_drift boolean, severity_level string, retrain boolean")
+    full = mon.with_fallback(cal, roll, ["seg"])
+    cyc = mon.monitor_cycles(full, ["seg"]).withColumn("retrained", F.lit(False))
+    s = {r["window_start"]: r["drift_score"] for r in mon.drift_score(cyc, ["seg"], "window_start").collect()}
+    # window 2 failed: zeros, flag false -> reset; windows 0, 1, 3 add 0.1*2 + 0.5*1 + 0.3 = 1.0
+    assert s[0] == pytest.approx(1.0) and s[1] == pytest.approx(2.0)
+    assert s[2] == pytest.approx(0.0) and s[3] == pytest.approx(1.0)

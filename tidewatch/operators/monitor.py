@@ -116,6 +116,18 @@ def window_rollup(per_feature: DataFrame, keys: Sequence[str], feature_threshold
     return g.withColumn("severity_level", lvl).withColumn("retrain", lvl.isin("RED", "ORANGE"))
 
 
+def with_fallback(calendar: DataFrame, rollup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every (segment, window) of ``calendar`` gets a roll-up row; a window
+    whose drift check produced nothing reports zeros and no dataset flag
+    (the monitor's failure defaults), so the score resets there."""
+    on = [*keys, "window_start"]
+    j = calendar.select(*on).distinct().join(rollup, on, "left")
+    return (j.withColumn("failed", F.col("total_features").isNull())
+            .fillna({"total_features": 0, "n_drifted_features": 0, "high_severity_features": 0,
+                     "share_drifted_features": 0.0, "dataset_drift": False, "critical_drift": False,
+                     "severity_level": "GREEN", "retrain": False}))
+
+
 def monitor_cycles(rollup: DataFrame, keys: Sequence[str], every: int = 5) -> DataFrame:
     """Cycle index per segment, data generation every ``every``-th cycle,
     retrain seen by the next cycle (the decision of the previous one)."""

@@ -173,10 +173,13 @@ def q_feature_importance(spark, sf):
 
 @register("train_metrics")
 def q_train_metrics(spark, sf):
-    (_, metrics), _m = _train(spark, sf)
+    (model, metrics), m = _train(spark, sf)
     text = lc.metrics_text(metrics)
-    return spark.createDataFrame([(metrics["accuracy"], metrics["auc"], metrics["cv_score"], text)],
-                                 "accuracy double, auc double, cv_score double, metrics_text string")
+    sig = lc.schema_signature(model, m.where(F.col("cohort") == "cur").limit(1), _FEATS)
+    return spark.createDataFrame(
+        [(metrics["accuracy"], metrics["auc"], metrics["cv_score"], text, sig["inputs"], sig["outputs"])],
+        "accuracy double, auc double, cv_score double, metrics_text string, input_schema string, "
+        "output_schema string")
 
 
 # ------------------------------------------------------------------ A7 / A8: metrics text -> parsed values

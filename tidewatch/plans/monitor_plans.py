@@ -24,7 +24,11 @@ def _rollup(spark, sf):
 
 
 def _cycles(spark, sf):
-    return mon.monitor_cycles(_rollup(spark, sf), _K)
+    # every (event type, day) of the current period gets a cycle; a day without a
+    # drift result would report the failure defaults (zeros, no flag)
+    e = fx.events_cohorts(spark, sf).where(F.col("cohort") == "cur")
+    calendar = e.select(*_K, F.window("ts", "1 day").start.alias("window_start"))
+    return mon.monitor_cycles(mon.with_fallback(calendar, _rollup(spark, sf), _K), _K)
 
 
 _E_LONG = "\n  UNION ALL ".join(
