@@ -125,3 +125,17 @@ def test_monitor_fallback_defaults_reset_score(spark):
     # window 2 failed: zeros, flag false -> reset; windows 0, 1, 3 add 0.1*2 + 0.5*1 + 0.3 = 1.0
     assert s[0] == pytest.approx(1.0) and s[1] == pytest.approx(2.0)
     assert s[2] == pytest.approx(0.0) and s[3] == pytest.approx(1.0)
+
+
+def test_smallest_k_heavy_ties_exact(spark):
+    # a third of the rows share one value: ties are resolved by the tie-break column
+    rows = [(i, 5.0 if i % 3 == 0 else float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, v double")
+    out = inject.smallest_k(df, F.col("v"), F.lit(60), (), tiebreak="id")
+    taken = sorted(r["id"] for r in out.where("_take").collect())
+    expect = sorted(sorted(rows, key=lambda t: (t[1], t[0]))[:60])
+    assert taken == sorted(i for i, _ in expect)
+    none = inject.smallest_k(df, F.col("v"), F.lit(0), (), tiebreak="id").where("_take").count()
+    assert none == 0
+    allrows = inject.smallest_k(df, F.col("v"), F.lit(1000), (), tiebreak="id").where("_take").count()
+    assert allrows == 300

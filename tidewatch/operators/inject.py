@@ -75,44 +75,51 @@ def input_shift(df: DataFrame, shifts: Mapping[str, float], strength: float | Co
     return _drop_prefixed(out, "b")
 
 
+def _kth_value(d: DataFrame, value: Column, k: Column, on: Sequence[str], single: int | None,
+               buckets: int) -> DataFrame:
+    """Per segment: ``_t`` = smallest value whose running count reaches k and
+    ``_below`` = rows strictly below it, from bucketed running counts."""
+    long = d.select(*on, F.lit(REF).alias("cohort"), F.lit("_v").alias("feature"), value.alias("value"))
+    dv = cut_lineage(distinct_values(long, on))
+    e = ecdf(dv, on, buckets, 1)
+    kk = d.groupBy(*on).agg(F.max(k).alias("_kk"))
+    e = join_small(e, kk, on, bound_rows=single)
+    return e.groupBy(*on).agg(
+        F.min(F.when(F.col("cum_ref") >= F.col("_kk"), F.col("value"))).alias("_t"),
+        F.max(F.when(F.col("cum_ref") < F.col("_kk"), F.col("cum_ref"))).alias("_below"))
+
+
 def smallest_k(df: DataFrame, value: Column, k: Column, keys: Sequence[str] = (), tiebreak: str | None = None,
                buckets: int = 16) -> DataFrame:
     """Mark (``_take``) the k rows with the smallest ``value`` per segment.
 
     The threshold value comes from bucketed running counts (no task sorts a
-    segment); rows tied at the threshold are ranked by ``tiebreak``. ``k`` is
-    a per-row column (constant within a segment).
+    segment). Rows tied at the threshold are resolved the same way on
+    ``tiebreak`` (unique within a segment), so even a tie group holding a
+    third of the rows is never sorted in one task; without ``tiebreak`` all
+    tied rows are taken. ``k`` is a per-row column (constant within a segment).
     """
     on = list(keys) or ["_all"]
     d = df.withColumn("_v", value).withColumn("_k", k)
     if not keys:
         d = d.withColumn("_all", F.lit(1))
-    long = d.select(*on, F.lit(REF).alias("cohort"), F.lit("_v").alias("feature"), F.col("_v").alias("value"))
-    dv = cut_lineage(distinct_values(long, on))
-    e = ecdf(dv, on, buckets, 1)
-    kk = d.groupBy(*on).agg(F.max("_k").alias("_kk"))
     single = None if keys else 1  # without segments the per-segment tables have one row: broadcast them
-    e = join_small(e, kk, on, bound_rows=single)
-    thr = e.groupBy(*on).agg(
-        F.min(F.when(F.col("cum_ref") >= F.col("_kk"), F.col("value"))).alias("_t"),
-        F.max(F.when(F.col("cum_ref") < F.col("_kk"), F.col("cum_ref"))).alias("_below"))
+    thr = _kth_value(d, F.col("_v"), F.col("_k"), on, single, buckets)
     d = join_small(d, thr, on, "left", bound_rows=single).withColumn("_below", F.coalesce(F.col("_below"), F.lit(0)))
-    strict = F.col("_v") < F.col("_t")
-    tied = F.col("_v") == F.col("_t")
+    want = F.col("_k") > 0
+    everything = want & F.col("_t").isNull()  # k at least the segment size
+    strict = F.coalesce(F.col("_v") < F.col("_t"), F.lit(False))
+    tied = F.coalesce(F.col("_v") == F.col("_t"), F.lit(False))
     if tiebreak is None:
-        take = F.coalesce(strict | tied, F.lit(False))
-        out = d.withColumn("_take", take)
+        out = d.withColumn("_take", want & (strict | tied | everything))
     else:
-        from pyspark.sql import Window
-
-        ties = d.where(tied)  # rows sharing the threshold value: a handful at most
-        w = Window.partitionBy(*on).orderBy(tiebreak)
-        ties = (ties.withColumn("_r", F.row_number().over(w))
-                .where(F.col("_r") <= F.col("_k") - F.col("_below")).select(*on, tiebreak)
-                .withColumn("_tie_take", F.lit(True)))
-        out = (d.join(ties, [*on, tiebreak], "left")
-               .withColumn("_take", F.coalesce(strict, F.lit(False)) | F.coalesce(F.col("_tie_take"), F.lit(False)))
-               .drop("_tie_take"))
+        need = F.col("_k") - F.col("_below")
+        ties = d.where(tied & (need > 0)).withColumn("_k2", need)
+        thr2 = _kth_value(ties, F.col(tiebreak), F.col("_k2"), on, single, buckets).select(
+            *on, F.col("_t").alias("_t2"))
+        out = join_small(d, thr2, on, "left", bound_rows=single)
+        tie_take = tied & (need > 0) & F.coalesce(F.col(tiebreak) <= F.col("_t2"), F.lit(False))
+        out = out.withColumn("_take", want & (strict | tie_take | everything)).drop("_t2")
     out = out.drop("_v", "_k", "_t", "_below")
     return out.drop("_all") if not keys else out
 
