@@ -7,6 +7,7 @@ Prints one line per key: OK / MISMATCH / ROWS (no oracle) / ERROR.
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 import traceback
@@ -57,10 +58,30 @@ def rows(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "date": "DATE",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_mismatches(sdf, con, sql) -> list[str]:
+    duck_types = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    bad = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+        got = duck_types.get(f.name)
+        if got is not None and got != want:
+            bad.append(f"{f.name}: spark {want} duck {got}")
+    return bad
+
+
 def compare(key, sdf, con, sql):
     spd = sdf.toPandas()
     if sql is None:
         return "ROWS", f"{len(spd)} rows"
+    if os.environ.get("ORACLE_TYPES"):
+        bad = type_mismatches(sdf, con, sql)
+        if bad:
+            return "TYPES", "; ".join(bad)
     dpd = con.execute(sql).df()
     if sorted(spd.columns) != sorted(dpd.columns):
         return "MISMATCH", f"columns spark={sorted(spd.columns)} duck={sorted(dpd.columns)}"
