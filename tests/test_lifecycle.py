@@ -139,3 +139,20 @@ def test_smallest_k_heavy_ties_exact(spark):
     assert none == 0
     allrows = inject.smallest_k(df, F.col("v"), F.lit(1000), (), tiebreak="id").where("_take").count()
     assert allrows == 300
+
+
+def test_generator_first_cycle_and_history_row(spark):
+    from tidewatch.plans.inject_plans import M_SHIFTS
+
+    m = fx.model_cohorts(spark, SF_SMALL)
+    ref = m.where(F.col("cohort") == "ref")
+    cur = m.where(F.col("cohort") == "cur").select(F.col("o_orderkey").cast("long").alias("seq"), "o_orderkey",
+                                                  *fx.M_NUM, *fx.M_CAT, fx.M_TARGET)
+    first = inject.augment_step(cur, ref, 0, 0.1, 50, fx.M_NUM, "o_orderkey", M_SHIFTS, fx.M_TARGET,
+                                "quiet", "busy", "n_lines", "qty_band")
+    assert first.count() == 50  # cycle 0: no append
+    later = inject.augment_step(cur, ref, 5, 0.1, 50, fx.M_NUM, "o_orderkey", M_SHIFTS, fx.M_TARGET,
+                                "quiet", "busy", "n_lines", "qty_band", cap=200)
+    assert later.count() == 200
+    h = inject.history_row(later, 5, 0.1, 50).first()
+    assert h["drift_type"] == "label_drift" and h["total_size"] == 200 and h["new_samples"] == 50

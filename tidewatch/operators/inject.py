@@ -227,4 +227,15 @@ def augment_step(current: DataFrame, reference: DataFrame, cycle: int, strength:
     drift_type = DRIFT_TYPES[cycle % len(DRIFT_TYPES)]
     new = inject(base, drift_type, strength, "seq", baseline, shifts, label, source, target, up, down)
     cur = current if "seq" in current.columns else current.withColumn("seq", F.col(order).cast("long"))
+    if cycle == 0:  # the first cycle replaces the current data (no append)
+        return new.select(*cur.columns)
     return retention_tail(cur, new.select(*cur.columns), "seq", cap)
+
+
+def history_row(combined: DataFrame, cycle: int, strength: float, n_new: int) -> DataFrame:
+    """The cycle's drift-history record (one row) for the append-only history table."""
+    drift_type = DRIFT_TYPES[cycle % len(DRIFT_TYPES)]
+    return combined.agg(F.count("*").alias("total_size")).select(
+        F.lit(cycle).alias("cycle"), F.current_timestamp().alias("timestamp"), F.lit(drift_type).alias("drift_type"),
+        F.lit(float(strength)).alias("drift_strength"), F.lit(n_new).cast("long").alias("new_samples"),
+        "total_size", F.col("total_size").alias("data_size"))
