@@ -517,5 +517,6 @@ def detect(df: DataFrame, spec: FeatureSpec, th: DriftThresholds = DEFAULT_THRES
     if spec.infer:  # router: one tiny collect of per-feature type decisions
         for row in infer_feature_types(df, spec.infer, th.categorical_ratio).collect():
             (cat if row["feature_type"] == "categorical" else num).append(row["feature"])
-    feats = feature_drift(df, spec, th, num, cat)
+    # the per-feature results feed the roll-up and any report: write them once
+    feats = cut_lineage(feature_drift(df, spec, th, num, cat), "feature-drift")
     return feats, dataset_drift(feats, spec.keys, th)

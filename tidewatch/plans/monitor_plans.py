@@ -188,3 +188,53 @@ def q_info_labels(spark, sf):
         drift_share=F.format_string("%.3f", F.col("share_drifted_features")),
         last_generation=F.when(F.col("data_added"), F.date_format("window_start", "yyyy-MM-dd")).otherwise("Never"),
     ).alias("labels"))
+
+
+# ------------------------------------------------------------------ K7 (batch): one metrics snapshot per segment
+def _snapshot_sql() -> str:
+    from tidewatch.plans.history_plans import _GROWTH_SQL
+
+    growth = _GROWTH_SQL[len("WITH "):]
+    return WIN_SQL + ",\n" + growth + """,
+last AS (
+  SELECT event_type, arg_max(n_drifted_features, window_start) AS n_drifted,
+    arg_max(share_drifted_features, window_start) AS share, arg_max(drift_score, window_start) AS score
+  FROM ss GROUP BY event_type),
+gen AS (
+  SELECT event_type, max(cycle) + 1 AS cycle, arg_max(least(0.1 * power(1.2, total_failures), 0.8), cycle) AS strength,
+    arg_max(failed_detections, cycle) AS failed, arg_max(data_size, cycle) AS size
+  FROM fe GROUP BY event_type)
+SELECT event_type, 'data_drift_features_count' AS metric, CAST(n_drifted AS DOUBLE) AS value FROM last
+UNION ALL SELECT event_type, 'data_drift_share_percent', round(share * 100.0, 6) FROM last
+UNION ALL SELECT event_type, 'dataset_drift_detected', round(score, 6) FROM last
+UNION ALL SELECT event_type, 'synthetic_drift_cycle', CAST(cycle AS DOUBLE) FROM gen
+UNION ALL SELECT event_type, 'synthetic_drift_strength', round(strength, 6) FROM gen
+UNION ALL SELECT event_type, 'synthetic_failed_detections', CAST(failed AS DOUBLE) FROM gen
+UNION ALL SELECT event_type, 'synthetic_data_size_total', CAST(size AS DOUBLE) FROM gen"""
+
+
+@register("monitor_snapshot", _snapshot_sql())
+def q_monitor_snapshot(spark, sf):
+    from tidewatch.plans.history_plans import q_generator_status
+
+    s = mon.drift_score(_cycles(spark, sf), _K, "window_start")
+    last = s.groupBy(*_K).agg(F.max_by("n_drifted_features", "window_start").alias("n_drifted"),
+                              F.max_by("share_drifted_features", "window_start").alias("share"),
+                              F.max_by("drift_score", "window_start").alias("score"))
+    gen = q_generator_status(spark, sf)
+
+    def metric(df, name, value):
+        return df.select(*_K, F.lit(name).alias("metric"), value.cast("double").alias("value"))
+
+    # metric names of the reference's monitor (fixed values)
+    parts = [metric(last, "data_drift_features_count", F.col("n_drifted")),
+             metric(last, "data_drift_share_percent", F.round(F.col("share") * 100.0, 6)),
+             metric(last, "dataset_drift_detected", F.round("score", 6)),
+             metric(gen, "synthetic_drift_cycle", F.col("cycle")),
+             metric(gen, "synthetic_drift_strength", F.col("drift_strength")),
+             metric(gen, "synthetic_failed_detections", F.col("failed_detections")),
+             metric(gen, "synthetic_data_size_total", F.col("current_data_size"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -17,8 +17,8 @@ LSTAR_DATASET_SQL = _dataset_sql(f"WITH {LSTAR_SQL}", "lstar")
 
 def _lstar_results(spark, sf):
     ls = _lstar(spark, sf)
-    feats = drift.feature_drift(ls, fx.L_SPEC, EFFECT)
-    return ls, feats, drift.dataset_drift(feats, (), EFFECT)
+    feats, ds = drift.detect(ls, fx.L_SPEC, EFFECT)
+    return ls, feats, ds
 
 
 def _b(x: str) -> str:
