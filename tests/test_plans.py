@@ -31,7 +31,12 @@ def test_drift_scan_reads_only_feature_columns(spark):
 
     df = fx.lineitem_cohorts(spark, SF_SMALL)
     vt = drift.value_table(df, fx.L_NUM, fx.L_CAT)
-    plan = _plan(vt)
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # print the whole ReadSchema
+    try:
+        plan = _plan(vt)
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     cols = {c.split(":")[0] for c in schema.split(",")}
     assert cols == {"l_shipdate", *fx.L_NUM, *fx.L_CAT}

@@ -78,45 +78,42 @@ def last_n(h: DataFrame, n: int = 5, keys: Sequence[str] = (), order: str = "cyc
 
 
 def newest_threshold(df: DataFrame, order: str, keep: DataFrame | int, keys: Sequence[str] = (),
-                     buckets: int = 16, segmented: bool = True) -> DataFrame:
+                     buckets: int = 16) -> DataFrame:
     """Per segment, the smallest order value among the ``keep`` newest rows.
 
-    ``keep`` is a count or a table ``(keys..., _keep)``. Works from bucketed
-    running counts over the order key, so no task sorts a whole segment.
-    ``order`` must be unique within a segment.
+    ``keep`` is a count or a table ``(keys..., _keep)`` (one row when
+    unsegmented). Works from bucketed running counts over the order key, so
+    no task sorts a whole segment. ``order`` must be unique within a segment.
     """
+    keys = list(keys)
     long = df.select(*keys, F.lit(REF).alias("cohort"), F.lit("_order").alias("feature"),
                      F.col(order).alias("value"))
     dv = cut_lineage(distinct_values(long, keys))
     e = ecdf(dv, keys, buckets, 1)
-    k = list(keys) + ["feature"]
-    n = dv.groupBy(*k).agg(F.sum("c_ref").alias("n"))
+    n = dv.groupBy(*keys).agg(F.sum("c_ref").alias("n"))  # one row per segment
     if isinstance(keep, int):
         n = n.withColumn("_keep", F.lit(keep))
     else:
-        n = n.join(keep, list(keys), "left").withColumn("_keep", F.coalesce(F.col("_keep"), F.lit(0)))
-    # one row per segment; a single (constant-key) segment is broadcast, never shuffled to one task
-    e = join_small(e, n, k, bound_rows=None if segmented else 1)
+        n = join_small(n, keep, keys, "left").withColumn("_keep", F.coalesce(F.col("_keep"), F.lit(0)))
+    # unsegmented, the one-row table is a scalar subquery (join_small), never a join on a constant
+    e = join_small(e, n, keys)
     # newest `keep` rows  <=>  cum >= n - keep + 1
-    t = e.groupBy(*k).agg(F.min(F.when(F.col("cum_ref") >= F.col("n") - F.col("_keep") + 1,
-                                       F.col("value"))).alias("threshold"))
-    return t.drop("feature")
+    return e.groupBy(*keys).agg(F.min(F.when(F.col("cum_ref") >= F.col("n") - F.col("_keep") + 1,
+                                             F.col("value"))).alias("threshold"))
 
 
 def retention_tail(current: DataFrame, new: DataFrame, order: str, cap: int = RETENTION_CAP,
                    keys: Sequence[str] = ()) -> DataFrame:
     """Keep the newest ``cap - |new|`` rows of ``current`` (0 if negative) and append ``new``."""
-    on = list(keys) or ["_all"]
-    cur = current if keys else current.withColumn("_all", F.lit(1))
-    nw = new if keys else new.withColumn("_all", F.lit(1))
-    keep = (nw.groupBy(*on).agg(F.count("*").alias("n_new"))
+    on = list(keys)
+    # unsegmented this is a global count: one row even when `new` is empty
+    keep = (new.groupBy(*on).agg(F.count("*").alias("n_new"))
             .select(*on, F.greatest(F.lit(cap) - F.col("n_new"), F.lit(0)).alias("_keep")))
-    # segments without new rows keep `cap` rows
-    seg = cur.select(*on).distinct().join(keep, on, "left")
-    keep = seg.select(*on, F.coalesce(F.col("_keep"), F.lit(cap)).alias("_keep"))
-    thr = newest_threshold(cur, order, keep, on, segmented=bool(keys))
-    kept = (join_small(cur, thr, on, "left", bound_rows=None if keys else 1)
+    if on:  # segments without new rows keep `cap` rows
+        seg = current.select(*on).distinct().join(keep, on, "left")
+        keep = seg.select(*on, F.coalesce(F.col("_keep"), F.lit(cap)).alias("_keep"))
+    thr = newest_threshold(current, order, keep, on)
+    kept = (join_small(current, thr, on, "left")
             .where(F.col("threshold").isNotNull() & (F.col(order) >= F.col("threshold")))
             .drop("threshold"))
-    out = kept.unionByName(nw, allowMissingColumns=True)
-    return out.drop("_all") if not keys else out
+    return kept.unionByName(new, allowMissingColumns=True)

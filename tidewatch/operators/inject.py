@@ -3,8 +3,8 @@
 All randomness is a hash of (row key, purpose, column): the same row gets
 the same noise on every retry, every partitioning and in SQL engines with
 md5, so a lost executor recomputes identical values. Baseline bounds come
-from a one-row aggregate joined on a constant key (a broadcast lookup, not a
-pair-producing join).
+from a one-row aggregate attached as a scalar subquery (computed once, no
+join).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from tidewatch.functions.scalar import clip, domain_repair, normal, round_half_e
 from tidewatch.operators.cohorts import REF
 from tidewatch.operators.drift import distinct_values, ecdf
 from tidewatch.operators.history import DRIFT_TYPES, RETENTION_CAP, retention_tail
-from tidewatch.operators.small import join_small
+from tidewatch.operators.small import attach_row, join_small
 from tidewatch.session import cut_lineage
 
 # reference input-shift multipliers are per-feature (fixed values in the
@@ -27,18 +27,18 @@ SEQ_STRIDE = 10 ** 12
 
 
 def wide_stats(df: DataFrame, features: Sequence[str], prefix: str = "b") -> DataFrame:
-    """One row: {prefix}_{f}_min/max/std/mean for each feature, plus key ``_one``."""
+    """One row: {prefix}_{f}_min/max/std/mean for each feature."""
     aggs = []
     for f in features:
         c = F.col(f).cast("double")
         aggs += [F.min(c).alias(f"{prefix}_{f}_min"), F.max(c).alias(f"{prefix}_{f}_max"),
                  F.stddev_samp(c).alias(f"{prefix}_{f}_std"), F.avg(c).alias(f"{prefix}_{f}_mean")]
-    return df.agg(*aggs).withColumn("_one", F.lit(1))
+    return df.agg(*aggs)
 
 
 def with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row stats table to every row (broadcast, constant key)."""
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(stats), "_one").drop("_one")
+    """Attach a one-row stats table to every row (scalar subquery, no join)."""
+    return attach_row(df, stats)
 
 
 def _drop_prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -99,11 +99,9 @@ def smallest_k(df: DataFrame, value: Column, k: Column, keys: Sequence[str] = ()
     third of the rows is never sorted in one task; without ``tiebreak`` all
     tied rows are taken. ``k`` is a per-row column (constant within a segment).
     """
-    on = list(keys) or ["_all"]
+    on = list(keys)
     d = df.withColumn("_v", value).withColumn("_k", k)
-    if not keys:
-        d = d.withColumn("_all", F.lit(1))
-    single = None if keys else 1  # without segments the per-segment tables have one row: broadcast them
+    single = None  # without segments the per-segment tables have one row: attached as scalars
     thr = _kth_value(d, F.col("_v"), F.col("_k"), on, single, buckets)
     d = join_small(d, thr, on, "left", bound_rows=single).withColumn("_below", F.coalesce(F.col("_below"), F.lit(0)))
     want = F.col("_k") > 0
@@ -120,8 +118,7 @@ def smallest_k(df: DataFrame, value: Column, k: Column, keys: Sequence[str] = ()
         out = join_small(d, thr2, on, "left", bound_rows=single)
         tie_take = tied & (need > 0) & F.coalesce(F.col(tiebreak) <= F.col("_t2"), F.lit(False))
         out = out.withColumn("_take", want & (strict | tie_take | everything)).drop("_t2")
-    out = out.drop("_v", "_k", "_t", "_below")
-    return out.drop("_all") if not keys else out
+    return out.drop("_v", "_k", "_t", "_below")
 
 
 def label_flip(df: DataFrame, label: str, source: str, target: str, strength: float, key: str,
@@ -131,10 +128,9 @@ def label_flip(df: DataFrame, label: str, source: str, target: str, strength: fl
     rate = min(factor * strength, cap)
     on = list(keys)
     src = F.col(label) == source
-    n_src = (df.where(src).groupBy(*on).agg(F.count("*").alias("_n")) if on
-             else df.where(src).agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1)))
-    base = df.join(n_src, on) if on else df.withColumn("_one", F.lit(1)).join(F.broadcast(n_src), "_one").drop("_one")
-    k = F.floor(F.col("_n") * rate).cast("long")
+    n_src = df.where(src).groupBy(*on).agg(F.count("*").alias("_n"))  # one row per segment
+    base = join_small(df, n_src, on, "left")
+    k = F.floor(F.coalesce(F.col("_n"), F.lit(0)) * rate).cast("long")
     cand = base.where(src)
     rest = base.where(~src | F.col(label).isNull())
     marked = smallest_k(cand, uniform(F.col(key), salt), k, on, tiebreak=key)
@@ -183,10 +179,10 @@ def bootstrap_exact(df: DataFrame, n: int, order: str, cycle: int, salt: str = "
     ``seq = (cycle + 1) * 10^12 + i`` so later noise differs between duplicates."""
     spark = df.sparkSession
     indexed = row_index(df, order)
-    total = df.agg(F.count("*").alias("_N")).withColumn("_one", F.lit(1))
-    draws = spark.range(n).withColumnRenamed("id", "_draw").withColumn("_one", F.lit(1))
+    total = df.agg(F.count("*").alias("_N"))
+    draws = attach_row(spark.range(n).withColumnRenamed("id", "_draw"), total)
     u = uniform(F.concat_ws("|", F.lit(str(cycle)), F.col("_draw").cast("string")), salt)
-    draws = draws.join(F.broadcast(total), "_one").select(
+    draws = draws.select(
         "_draw", (F.floor(u * F.col("_N")) + 1).cast("long").alias("_idx"))
     out = draws.join(indexed, "_idx").withColumn("seq", F.lit((cycle + 1) * SEQ_STRIDE) + F.col("_draw"))
     return out.drop("_idx", "_draw")

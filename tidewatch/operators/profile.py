@@ -136,9 +136,6 @@ def boxplot_stats(df: DataFrame, by: str, features: Sequence[str], whis: float =
 def class_ratio(df: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFrame:
     """Per class count and share of the (segment) total; empty totals give no rows."""
     c = df.where(F.col(label).isNotNull()).groupBy(*keys, label).agg(F.count("*").alias("count"))
-    on = list(keys) or ["_all"]
-    if not keys:
-        c = c.withColumn("_all", F.lit(1))
-    t = c.groupBy(*on).agg(F.sum("count").alias("total"))
-    j = c.join(F.broadcast(t) if not keys else t, on).drop("_all")  # totals: one row per segment
+    t = c.groupBy(*keys).agg(F.sum("count").alias("total"))  # totals: one row per segment
+    j = join_small(c, t, list(keys))
     return j.where(F.col("total") > 0).withColumn("ratio", F.col("count") / F.col("total"))

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.small import attach_row, join_small
+
 
 def py_bool(c: Column) -> Column:
     return F.when(c, F.lit("True")).otherwise(F.lit("False"))
@@ -24,7 +26,7 @@ def fmt(c: Column, spec: str, missing: str = "N/A") -> Column:
 def report_lines(features: DataFrame, dataset: DataFrame, ref_shape: DataFrame) -> DataFrame:
     """(block, line_no, line): a header block 0 and one block per feature
     (ordered by name). ``ref_shape`` has n_ref_rows, n_cur_rows, n_columns."""
-    d = dataset.withColumn("_one", F.lit(1)).join(ref_shape.withColumn("_one", F.lit(1)), "_one")
+    d = attach_row(dataset, ref_shape)
     header = [
         F.lit("Robust Data Drift Detection Summary"), F.lit("=" * 50),
         F.format_string("Reference data shape: (%d, %d)", "n_ref_rows", "n_columns"),
@@ -63,8 +65,7 @@ def result_json(features: DataFrame, dataset: DataFrame, keys: Sequence[str] = (
     detail = F.struct(*[c for c in features.columns if c not in (*keys, "feature")])
     fd = features.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("feature", detail)))
                                       .alias("feature_details"))  # one entry per feature
-    j = dataset.join(fd, list(keys)) if keys else dataset.withColumn("_one", F.lit(1)).join(
-        fd.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    j = join_small(dataset, fd, list(keys))
     cols = [c for c in j.columns if c not in keys]
     return j.select(*keys, F.to_json(F.struct(*cols)).alias("result_json"))
 

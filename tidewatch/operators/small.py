@@ -18,9 +18,31 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+def attach_row(df: DataFrame, one_row: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Add the columns of a table that holds at most one row (a global
+    aggregate) to every row of ``df``.
+
+    This is an uncorrelated scalar subquery: Spark runs it once and the plan
+    sees a constant, so there is no join at all (a join on a literal key is
+    folded by the optimizer into a keyless nested-loop join). An empty
+    ``one_row`` gives NULLs, i.e. left-join semantics.
+    """
+    cols = list(cols or one_row.columns)
+    if not cols:
+        return df
+    row = one_row.select(F.struct(*cols).alias("_row")).scalar()
+    return df.select("*", *[row.getField(c).alias(c) for c in cols])
+
+
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
                bound_rows: int | None = None, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join ``big`` with a derived small table on ``on``. Without join keys
+    ``small`` must be a one-row table: it is attached as a scalar subquery."""
     on = [on] if isinstance(on, str) else list(on)
+    if not on:
+        if how not in ("inner", "left"):
+            raise ValueError("a keyless join needs a one-row table and how='inner' or 'left'")
+        return attach_row(big, small)
     if bound_rows is not None and bound_rows <= limit and how in ("inner", "left", "left_semi", "left_anti"):
         small = F.broadcast(small)
     return big.join(small, on=on, how=how)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.scalar import uniform_sql
 from tidewatch.operators import evaluate as ev
 from tidewatch.operators import lifecycle as lc
+from tidewatch.operators.small import attach_row
 from tidewatch.plans import fixtures as fx
 from tidewatch.plans.registry import r, register
 
@@ -209,9 +210,9 @@ def parse_metric(text, name: str, stop: str):
 @register("parse_metrics", _METRICS_SQL)
 def q_parse_metrics(spark, sf):
     s = _s(spark, sf)
-    acc = ev.accuracy(s).select(F.round("accuracy", 4).alias("acc"), F.lit(1).alias("_one"))
-    auc = ev.roc_auc(s).select(F.round("roc_auc", 4).alias("auc"), F.lit(1).alias("_one"))
-    met = acc.join(auc, "_one")
+    acc = ev.accuracy(s).select(F.round("accuracy", 4).alias("acc"))
+    auc = ev.roc_auc(s).select(F.round("roc_auc", 4).alias("auc"))
+    met = attach_row(acc, auc)
     a, u = F.col("acc").cast("string"), F.col("auc").cast("string")
     t1 = met.select(F.lit("train").alias("variant"),
                     F.concat(F.lit("Accuracy = "), a, F.lit(", AUC = "), u, F.lit("\nCV Score = "), a)
