@@ -30,8 +30,12 @@ def attach_row(df: DataFrame, one_row: DataFrame, cols: Sequence[str] | None = N
     cols = list(cols or one_row.columns)
     if not cols:
         return df
+    # one subquery column, then its fields: referencing the subquery once per
+    # field would copy its plan into every field (and nest the copies when the
+    # next step's stats are computed over this frame)
     row = one_row.select(F.struct(*cols).alias("_row")).scalar()
-    return df.select("*", *[row.getField(c).alias(c) for c in cols])
+    out = df.select("*", row.alias("_row"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col("_row").getField(c).alias(c) for c in cols])
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
