@@ -82,6 +82,23 @@ def test_bucketed_ecdf_equals_plain_window(spark):
             assert a[f][c] == pytest.approx(b[f][c], rel=1e-9, abs=1e-12), (f, c)
 
 
+def test_scaled_bucket_count_same_statistics(spark, monkeypatch):
+    """Data-scaled bucket counts (forced here with a tiny rows-per-bucket)
+    give the same statistics as one plain window per feature."""
+    df = fx.lineitem_cohorts(spark, SF_SMALL)
+    long = to_long(df, fx.L_NUM)
+    cols = ["feature", "ks_statistic", "wasserstein_distance", "median_ref", "median_cur", "levene_statistic",
+            "cohens_d"]
+    a = {r["feature"]: r for r in drift.numeric_tests(long, (), 4, 1, False).select(*cols).collect()}
+    monkeypatch.setattr(drift, "ROWS_PER_BUCKET", 50)
+    dv = drift.distinct_values(long)
+    assert drift.scaled_buckets(dv, (), 16) > 16
+    b = {r["feature"]: r for r in drift.numeric_tests(long, (), 4, 16, False).select(*cols).collect()}
+    for f in fx.L_NUM:
+        for c in cols[1:]:
+            assert a[f][c] == pytest.approx(b[f][c], rel=1e-9, abs=1e-12), (f, c)
+
+
 def test_brute_force_on_fixture(spark):
     pdf = fx.lineitem_cohorts(spark, SF_SMALL).toPandas()
     res = {r["feature"]: r for r in

@@ -113,9 +113,34 @@ def value_table(df: DataFrame, numerical: Sequence[str], categorical: Sequence[s
             .agg(F.count_if(_is_ref()).alias("c_ref"), F.count_if(_is_cur()).alias("c_cur")))
 
 
+# Scale rule of the bucketed ECDF: one window task sorts about this many
+# distinct values at most; the bounds table (groups x buckets) stays bounded.
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 4096
+MAX_BOUND_CELLS = 20_000_000
+
+
 def _bounds_expr(buckets: int) -> Column:
     qs = [i / buckets for i in range(1, buckets)]
-    return F.percentile_approx("value", qs, 10_000)
+    # rank error 1/accuracy stays well inside one bucket
+    return F.percentile_approx("value", qs, max(10_000, 20 * buckets))
+
+
+def scaled_buckets(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16) -> int:
+    """Bucket count for the ECDF of a distinct-value table: at least
+    ``buckets``, more when the largest (keys, feature) group would put over
+    ``ROWS_PER_BUCKET`` values into one window task. Reads one aggregate row
+    (a planning statistic, like the sizes AQE measures); ``dv`` is normally a
+    materialised table, so this is a cheap scan."""
+    if buckets <= 1:
+        return buckets
+    k = [*keys, "feature"]
+    st = (dv.groupBy(*k).agg(F.count("*").alias("n"))
+          .agg(F.max("n").alias("m"), F.count("*").alias("g")).first())
+    largest, groups = int(st["m"] or 0), int(st["g"] or 0)
+    want = -(-largest // ROWS_PER_BUCKET)
+    cap = max(buckets, MAX_BOUND_CELLS // max(groups, 1))
+    return int(max(buckets, min(want, MAX_BUCKETS, cap)))
 
 
 def ecdf(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16,
@@ -130,6 +155,8 @@ def ecdf(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16,
     may be passed when already computed.
     """
     k = [*keys, "feature"]
+    if bounds is None:
+        buckets = scaled_buckets(dv, keys, buckets)
     if buckets <= 1:
         w = Window.partitionBy(*k).orderBy("value")
         run = w.rowsBetween(_UNB, _NOW)
@@ -238,6 +265,7 @@ def numeric_tests_from_values(dv: DataFrame, keys: Sequence[str] = (), n_feature
     accurate far from zero); one pass with the medians gives Levene.
     """
     k = [*keys, "feature"]
+    buckets = scaled_buckets(dv, keys, buckets)
     ag = moments_from_values(dv, keys, buckets)
     present = dv.where(F.col("value").isNotNull())
     e = ecdf(present, keys, buckets, n_features, bounds=ag if buckets > 1 else None)
