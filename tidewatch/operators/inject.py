@@ -75,21 +75,25 @@ def input_shift(df: DataFrame, shifts: Mapping[str, float], strength: float | Co
     return _drop_prefixed(out, "b")
 
 
-def _kth_value(d: DataFrame, value: Column, k: Column, on: Sequence[str], single: int | None,
+def _kth_value(d: DataFrame, value: Column, k, on: Sequence[str], single: int | None,
                buckets: int) -> DataFrame:
-    """Per segment: ``_t`` = smallest value whose running count reaches k and
-    ``_below`` = rows strictly below it, from bucketed running counts."""
+    """Per segment: ``_t`` = smallest value whose running count reaches k,
+    ``_below`` = rows strictly below it (bucketed running counts) and ``_kk``
+    = k. ``k`` is a column (constant within a segment) or a function of the
+    segment's row count."""
     long = d.select(*on, F.lit(REF).alias("cohort"), F.lit("_v").alias("feature"), value.alias("value"))
     dv = cut_lineage(distinct_values(long, on))
     e = ecdf(dv, on, buckets, 1)
-    kk = d.groupBy(*on).agg(F.max(k).alias("_kk"))
+    kk = d.groupBy(*on).agg((k(F.count("*")) if callable(k) else F.max(k)).alias("_kk"))
     e = join_small(e, kk, on, bound_rows=single)
-    return e.groupBy(*on).agg(
+    t = e.groupBy(*on).agg(
         F.min(F.when(F.col("cum_ref") >= F.col("_kk"), F.col("value"))).alias("_t"),
         F.max(F.when(F.col("cum_ref") < F.col("_kk"), F.col("cum_ref"))).alias("_below"))
+    # every segment keeps its k, also one whose values are all NULL
+    return join_small(kk, t, on, "left", bound_rows=single)
 
 
-def smallest_k(df: DataFrame, value: Column, k: Column, keys: Sequence[str] = (), tiebreak: str | None = None,
+def smallest_k(df: DataFrame, value: Column, k, keys: Sequence[str] = (), tiebreak: str | None = None,
                buckets: int = 16) -> DataFrame:
     """Mark (``_take``) the k rows with the smallest ``value`` per segment.
 
@@ -97,13 +101,17 @@ def smallest_k(df: DataFrame, value: Column, k: Column, keys: Sequence[str] = ()
     segment). Rows tied at the threshold are resolved the same way on
     ``tiebreak`` (unique within a segment), so even a tie group holding a
     third of the rows is never sorted in one task; without ``tiebreak`` all
-    tied rows are taken. ``k`` is a per-row column (constant within a segment).
+    tied rows are taken. ``k`` is a per-row column (constant within a
+    segment) or a function of the segment's row count, evaluated on the
+    per-segment aggregate (no count table is joined back to the rows).
     """
     on = list(keys)
-    d = df.withColumn("_v", value).withColumn("_k", k)
+    d = df.withColumn("_v", value)
     single = None  # without segments the per-segment tables have one row: attached as scalars
-    thr = _kth_value(d, F.col("_v"), F.col("_k"), on, single, buckets)
-    d = join_small(d, thr, on, "left", bound_rows=single).withColumn("_below", F.coalesce(F.col("_below"), F.lit(0)))
+    thr = _kth_value(d, F.col("_v"), k, on, single, buckets)
+    d = (join_small(d, thr, on, "left", bound_rows=single)
+         .withColumn("_below", F.coalesce(F.col("_below"), F.lit(0)))
+         .withColumn("_k", F.coalesce(F.col("_kk"), F.lit(0))).drop("_kk"))
     want = F.col("_k") > 0
     everything = want & F.col("_t").isNull()  # k at least the segment size
     strict = F.coalesce(F.col("_v") < F.col("_t"), F.lit(False))
@@ -128,14 +136,13 @@ def label_flip(df: DataFrame, label: str, source: str, target: str, strength: fl
     rate = min(factor * strength, cap)
     on = list(keys)
     src = F.col(label) == source
-    n_src = df.where(src).groupBy(*on).agg(F.count("*").alias("_n"))  # one row per segment
-    base = join_small(df, n_src, on, "left")
-    k = F.floor(F.coalesce(F.col("_n"), F.lit(0)) * rate).cast("long")
-    cand = base.where(src)
-    rest = base.where(~src | F.col(label).isNull())
-    marked = smallest_k(cand, uniform(F.col(key), salt), k, on, tiebreak=key)
+    cand = df.where(src)
+    rest = df.where(~src | F.col(label).isNull())
+    # k from the per-segment count of source rows, inside smallest_k's own aggregate
+    marked = smallest_k(cand, uniform(F.col(key), salt), lambda n: F.floor(n * rate).cast("long"), on,
+                        tiebreak=key)
     flipped = marked.withColumn(label, F.when(F.col("_take"), F.lit(target)).otherwise(F.col(label))).drop("_take")
-    return flipped.unionByName(rest).drop("_n")
+    return flipped.unionByName(rest)
 
 
 def concept_shift(df: DataFrame, label: str, cls: str, strength: float, key: Column, up: str, down: str,
