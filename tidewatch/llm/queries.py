@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import vector_packing, virtual_slots
+from tidewatch.llm import fm_decontam, vector_packing, virtual_slots
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +32,9 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@query
+def op4_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_decontam.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return fm_decontam.verdicts(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")

@@ -16,9 +16,9 @@ import re
 import numpy as np
 
 CACHE_UNITS = 300_000
-#: fixed values: white space as the tokenizer's pattern has it (Unicode White_Space)
-_WS = "\t-\r \x85\xa0  -     　"
-_UNIT = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+#: white space as the tokenizer's pattern has it (Unicode White_Space, which leaves out four control characters)
+_WS, _TEXT = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
+_UNIT = re.compile(f" ?{_TEXT}+|{_WS}+(?!{_TEXT})|{_WS}+")
 _LONG = 200
 
 
