@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import fm_decontam, vector_packing, virtual_slots
+from tidewatch.llm import chosen_path, fm_decontam, vector_packing, virtual_slots
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +38,8 @@ def op7_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_decontam.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return fm_decontam.verdicts(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query
+def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), width=3, num=85, den=100)
