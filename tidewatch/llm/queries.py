@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chosen_path, fm_decontam, vector_packing, virtual_slots
+from tidewatch.llm import attention_mil, chosen_path, fm_decontam, vector_packing, virtual_slots
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,12 @@ def op4_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), width=3, num=85, den=100)
+
+
+@query
+def op9_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = attention_mil.fit(docs, table(spark, sf_dir, "labels"))
+    scored = attention_mil.score(docs, model)
+    return scored.select("doc_id", F.coalesce(~attention_mil.learnable("doc_id"), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
