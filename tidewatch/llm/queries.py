@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import attention_mil, chosen_path, fm_decontam, vector_packing, virtual_slots
+from tidewatch.llm import attention_mil, chosen_path, fm_decontam, vector_packing, virtual_slots, weak_pii
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +52,11 @@ def op9_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = attention_mil.score(docs, model)
     return scored.select("doc_id", F.coalesce(~attention_mil.learnable("doc_id"), F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op8_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = weak_pii.find_pii(table(spark, sf_dir, "documents"), ["doc_id"])
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in weak_pii.BASE], F.sha2(weak_pii.written("base"), 256).alias("base_sha256"),
+                        weak_pii.written("spans").alias("spans"))
