@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.tokens import Encoder, tokenizer_path
+from tidewatch.llm.tokens import encoder, tokenizer_path
 from tidewatch.llm.words import blocks
 
 END_ID = 1
@@ -93,7 +93,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", loss: str | Non
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = Encoder(path)
+        ids_of = encoder(path).encode
         base, made = TaskContext.get().partitionId() << 40, 0
         end = np.array([end_id], dtype="<u4").tobytes()
         waiting: list[tuple] = []  # (key, start, length, loss, tokens, ids)
@@ -138,7 +138,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", loss: str | Non
                 out: list[tuple] = []
                 keys = batch.column("key").slice(i, j - i).to_pylist()
                 losses = batch.column("loss").slice(i, j - i).to_pylist()
-                for k, n_loss, ids in zip(keys, losses, encoder.encode([t or "" for t in texts.slice(i, j - i).to_pylist()]), strict=True):
+                for k, n_loss, ids in zip(keys, losses, ids_of([t or "" for t in texts.slice(i, j - i).to_pylist()]), strict=True):
                     ids += end
                     n = len(ids) // 4
                     n_loss = n if n_loss is None else max(0, min(n_loss, n))
