@@ -49,7 +49,7 @@ RULES = (
     Rule("short_words", "word_chars / n_words", 0.5, low=True),
     Rule("symbols", "n_symbols / n_words", 0.02),
     Rule("dup_lines", "n_dup_lines / n_words", 0.01),
-    Rule("repeats", "n_repeat_words / n_words", 0.03),
+    Rule("repeats", "n_repeat_words / n_words", 0.05),
 )
 
 

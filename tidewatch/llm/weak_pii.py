@@ -18,7 +18,8 @@ their number of levels, whatever the data's size. The scan's narrow result
 (spans, no texts) is written once.
 
 The patterns are possessive forms of the contract's, so long runs of digits or
-letters neither backtrack nor recurse; they find the same matches.
+letters neither backtrack nor recurse; they find the same matches (of cards,
+those with the 14 digits that a card needs).
 
 Edge cases: null and empty texts have no spans; equal starts are ordered by
 kind; repeated rows get their own result; without candidates nothing is
@@ -39,7 +40,7 @@ from tidewatch.session import cut_lineage
 BASE = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++)*+",
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: broader patterns of the method, after the base kinds
