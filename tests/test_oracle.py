@@ -7,8 +7,7 @@ from oracle_check import compare, duck
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from tidewatch.plans import ORACLE, QUERIES
 
 # model-dependent keys fit forests: covered by test_lifecycle
 SLOW = {"cv_scores", "rf_predict", "feature_importance", "train_metrics"}
@@ -27,8 +26,8 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_every_key_has_a_twin_or_is_declared_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only <= {"numeric_drift", "categorical_drift", "shifted_drift", "bootstrap_poisson", "rf_predict",
-                         "cv_scores", "feature_importance", "train_metrics", "info_labels", "drift_result_json",
+    assert rows_only <= {"numeric_drift", "categorical_drift", "shifted_drift", "rf_predict",
+                         "cv_scores", "feature_importance", "train_metrics", "drift_result_json",
                          "stream_monitor"}
 
 
@@ -36,3 +35,7 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
     assert len(rows) == 6 and {r["feature"] for r in rows} >= {"l_quantity", "l_returnflag"}
+
+
+def test_entry_offers_every_plan():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())

@@ -22,37 +22,44 @@ from pyspark.sql.types import DoubleType
 
 _EPS = 1e-15
 _TINY = 1e-300
-_MAX_ITER = 500
 
-# largest sample size for which the exact two-sample KS law is used
-# (the reference's statistics library switches to the asymptotic law above it)
+# largest sample size for which the exact two-sample KS law is used; above it
+# the limiting law is. A documented switch: callers that want another size pass
+# ``ks_two_sample_p(..., exact_max=n)``.
 KS_EXACT_MAX_N = 10_000
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, _MAX_ITER + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return h
+def _rounds(size: float) -> int:
+    """Terms allowed to a fraction or series of this size: they need a few
+    times the square root; one that has not settled by then gives NaN."""
+    return int(200 + 20 * math.sqrt(max(size, 1.0)))
+
+
+def _lentz(numerator, denominator, rounds: int) -> float:
+    """Continued fraction K(numerator(i) / denominator(i)) from i = 1, by the
+    modified Lentz recurrence; NaN when it does not settle."""
+    value, c, d = _TINY, _TINY, 0.0
+    for i in range(1, rounds + 1):
+        a, b = numerator(i), denominator(i)
+        d = 1.0 / ((b + a * d) or _TINY)
+        c = (b + a / c) or _TINY
+        value *= c * d
+        if abs(c * d - 1.0) < _EPS:
+            return value
+    return float("nan")
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """The fraction 1 / (1 + d1 / (1 + d2 / (1 + ...))) of the incomplete beta function."""
+    def coefficient(i: int) -> float:
+        if i == 1:
+            return 1.0
+        m, odd = divmod(i - 1, 2)
+        if odd:  # d_{2m+1}
+            return -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        return m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+
+    return _lentz(coefficient, lambda i: 1.0, _rounds(max(a, b)))
 
 
 def _lgamma_ratio(a: float, b: float) -> float:
@@ -89,44 +96,52 @@ def betainc(a: float, b: float, x: float, y: float | None = None, lx: float | No
     ly = math.log(y) if ly is None else ly
     lbt = _lbeta_norm(a, b) + a * lx + b * ly
     if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, y) / b
+        return math.exp(lbt) * _beta_fraction(a, b, x) / a
+    return 1.0 - math.exp(lbt) * _beta_fraction(b, a, y) / b
+
+
+def _minus_log1p(u: float) -> float:
+    """u - ln(1 + u), without cancellation for small u."""
+    if abs(u) > 0.1:
+        return u - math.log1p(u)
+    total, power, k = 0.0, u * u, 2
+    while True:
+        step = power / k if k % 2 == 0 else -power / k
+        total += step
+        if abs(step) <= 1e-17 * abs(total) or k > 60:
+            return total
+        power *= u
+        k += 1
+
+
+def _gamma_density(a: float, x: float) -> float:
+    """x**a * exp(-x) / Gamma(a), from deviations of x from a when a is large."""
+    if a < 100:
+        return math.exp(-x + a * math.log(x) - math.lgamma(a))
+    stirling = 1 / (12 * a) - 1 / (360 * a**3) + 1 / (1260 * a**5)
+    return math.sqrt(a / (2 * math.pi)) * math.exp(-a * _minus_log1p((x - a) / a) - stirling)
 
 
 def gammaincc(a: float, x: float) -> float:
-    """Upper regularised gamma Q(a, x)."""
+    """Upper regularised gamma Q(a, x); NaN when no expansion settles."""
     if a <= 0 or math.isnan(x):
         return float("nan")
     if x <= 0:
         return 1.0
-    gln = math.lgamma(a)
+    density = _gamma_density(a, x)
+    if density == 0.0:
+        return 1.0 if x < a else 0.0
+    rounds = _rounds(a)
     if x < a + 1.0:  # series for P(a, x)
-        ap, s = a, 1.0 / a
-        term = s
-        for _ in range(_MAX_ITER * 4):
-            ap += 1.0
-            term *= x / ap
-            s += term
-            if abs(term) < abs(s) * _EPS:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
-    b = x + 1.0 - a  # continued fraction for Q(a, x)
-    c = 1.0 / _TINY
-    d = 1.0 / b
-    h = d
-    for i in range(1, _MAX_ITER * 4):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = d if abs(d) > _TINY else _TINY
-        c = b + an / c
-        c = c if abs(c) > _TINY else _TINY
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
+        term = total = 1.0 / a
+        for n in range(1, rounds):
+            term *= x / (a + n)
+            total += term
+            if term < total * _EPS:
+                return max(0.0, 1.0 - total * density)
+        return float("nan")
+    fraction = _lentz(lambda i: 1.0 if i == 1 else (i - 1) * (a - i + 1), lambda i: x - a + 2 * i - 1, rounds)
+    return density * fraction
 
 
 def t_two_sided(t: float, df: float) -> float:
@@ -139,6 +154,10 @@ def t_two_sided(t: float, df: float) -> float:
     if t2 == 0:
         return 1.0
     r = t2 / df
+    if df > 1e6:  # normal deviate of a t deviate; its next terms are below 1e-12 here
+        a = df - 0.5
+        y = a * math.log1p(r)
+        return math.erfc(math.sqrt(y / 2.0) * (1.0 + (y + 3.0) / (48.0 * a * a)))
     return betainc(df / 2.0, 0.5, df / (df + t2), t2 / (df + t2), -math.log1p(r), math.log(r) - math.log1p(r))
 
 
@@ -150,6 +169,8 @@ def f_upper(f: float, d1: float, d2: float) -> float:
         return 0.0
     if f <= 0:
         return 1.0
+    if d1 == 1:
+        return t_two_sided(math.sqrt(f), d2)
     r = d1 * f / d2
     return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f), d1 * f / (d2 + d1 * f), -math.log1p(r),
                    math.log(r) - math.log1p(r))
@@ -196,26 +217,29 @@ def ks_exact_two_sided(d: float, n1: int, n2: int) -> float:
     if m <= 0:
         return 1.0
     total = n1 + n2
-    # prev[i + 1] = mass at cell (i, s-1-i) that never left the band
-    prev = np.zeros(n1 + 2)
-    prev[1] = 1.0
+    # only cells inside the band carry mass: on anti-diagonal s, |i * total - s * n1| < m
+    mass, low = np.ones(1), 0  # mass[k]: at cell (low + k, s - low - k)
     for s in range(1, total + 1):
-        i = np.arange(max(0, s - n2), min(n1, s) + 1)
-        j = s - i
-        rem = total - (s - 1)
-        val = (prev[i] * (n1 - i + 1) + prev[i + 1] * (n2 - j + 1)) / rem
-        cur = np.zeros(n1 + 2)
-        cur[i + 1] = np.where(np.abs(i * n2 - j * n1) < m, val, 0.0)
-        prev = cur
-    return float(min(1.0, max(0.0, 1.0 - prev[n1 + 1])))
-
-
-def ks_two_sample_p(d: float, n1: int, n2: int) -> float:
+        first = max(0, s - n2, (s * n1 - m) // total + 1)
+        last = min(n1, s, -((-s * n1 - m) // total) - 1)
+        if last < first:
+            return 1.0
+        i = np.arange(first, last + 1)
+        padded = np.zeros(last - first + 2)  # masses of cells first - 1 .. last
+        a, b = max(low, first - 1), min(low + len(mass) - 1, last)
+        if a <= b:
+            padded[a - first + 1: b - first + 2] = mass[a - low: b - low + 1]
+        mass = (padded[:-1] * (n1 - i + 1) + padded[1:] * (n2 - s + i + 1)) / (total - s + 1)
+        low = first
+    return float(min(1.0, max(0.0, 1.0 - mass[n1 - low])))
+
+
+def ks_two_sample_p(d: float, n1: int, n2: int, exact_max: int = KS_EXACT_MAX_N) -> float:
     if d is None or math.isnan(d) or n1 <= 0 or n2 <= 0:
         return float("nan")
     if d <= 0:
         return 1.0
-    if max(n1, n2) <= KS_EXACT_MAX_N:
+    if max(n1, n2) <= exact_max:
         return ks_exact_two_sided(d, n1, n2)
     en = n1 * n2 / (n1 + n2)
     return kolmogorov_sf(math.sqrt(en) * d)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.tails import tail_prob
 from tidewatch.operators.cohorts import CUR, REF, to_long
-from tidewatch.operators.small import bound, join_small
+from tidewatch.operators.small import bound, join_on, join_small
 from tidewatch.session import cut_lineage
 from tidewatch.spec import DEFAULT_THRESHOLDS, DriftThresholds, FeatureSpec
 
@@ -126,6 +126,17 @@ def _bounds_expr(buckets: int) -> Column:
     return F.percentile_approx("value", qs, max(10_000, 20 * buckets))
 
 
+_STEP = 64
+
+
+def _bucket(bounds: str, value: Column) -> Column:
+    """How many of the sorted bounds are below the value: every 64th bound
+    first, then the 64 after the last of those that is below."""
+    coarse = F.size(F.filter(F.filter(bounds, lambda x, i: (i + 1) % _STEP == 0), lambda x: x < value))
+    fine = F.size(F.filter(F.slice(bounds, coarse * _STEP + 1, F.lit(_STEP)), lambda x: x < value))
+    return coarse * _STEP + fine
+
+
 def scaled_buckets(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16) -> int:
     """Bucket count for the ECDF of a distinct-value table: at least
     ``buckets``, more when the largest (keys, feature) group would put over
@@ -167,9 +178,12 @@ def ecdf(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16,
     if bounds is None:
         bounds = dv.groupBy(*k).agg(_bounds_expr(buckets).alias("bounds"))
     b = join_small(dv, bounds.select(*k, "bounds"), k, bound_rows=bound(n_features, 1, keys))
-    b = (b.withColumn("bucket", F.size(F.filter("bounds", lambda x: x < F.col("value"))))
-         .drop("bounds"))
+    b = b.withColumn("bucket", _bucket("bounds", F.col("value"))).drop("bounds")
     kb = [*k, "bucket"]
+    if keys:
+        # the join leaves rows dealt by (keys, feature), which would satisfy the windows
+        # below and keep a hot segment in one task: deal them by bucket as well
+        b = b.repartition(*[F.col(c) for c in kb])
     w = Window.partitionBy(*kb).orderBy("value")
     run = w.rowsBetween(_UNB, _NOW)
     inner = b.select(*kb, "value", "c_ref", "c_cur",
@@ -191,56 +205,6 @@ def ecdf(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16,
                       F.coalesce("lnext", "next_first").alias("next_value"))
 
 
-def ecdf_stats(ecdf_df: DataFrame, counts: DataFrame, keys: Sequence[str] = (),
-               n_features: int = 1) -> DataFrame:
-    """KS D, Wasserstein distance and exact medians per cohort from the ECDF.
-    ``counts`` supplies n_ref / n_cur per (keys, feature)."""
-    k = [*keys, "feature"]
-    m = counts.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).select(*k, "n_ref", "n_cur")
-    e = join_small(ecdf_df, m, k, bound_rows=bound(n_features, 1, keys))
-    f1 = F.col("cum_ref") / F.col("n_ref")
-    f2 = F.col("cum_cur") / F.col("n_cur")
-    diff = F.abs(f1 - f2)
-
-    def rank_value(cum: str, r: Column) -> Column:
-        return F.min(F.when(F.col(cum) >= r, F.col("value")))
-
-    n1, n2 = F.col("n_ref"), F.col("n_cur")
-    med_ref = (rank_value("cum_ref", F.floor((n1 + 1) / 2)) + rank_value("cum_ref", F.floor(n1 / 2) + 1)) / 2
-    med_cur = (rank_value("cum_cur", F.floor((n2 + 1) / 2)) + rank_value("cum_cur", F.floor(n2 / 2) + 1)) / 2
-    return e.groupBy(*k).agg(
-        F.max(diff).alias("ks_statistic"),
-        F.coalesce(F.sum(diff * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("wasserstein_distance"),
-        med_ref.alias("median_ref"),
-        med_cur.alias("median_cur"),
-    )
-
-
-def levene(dv: DataFrame, medians: DataFrame, keys: Sequence[str] = (),
-           n_features: int = 1) -> DataFrame:
-    """Brown-Forsythe (median-centred Levene) W from the distinct-value table."""
-    k = [*keys, "feature"]
-    j = join_small(dv, medians.select(*k, "median_ref", "median_cur"), k,
-                   bound_rows=bound(n_features, 1, keys))
-    z_ref = F.abs(F.col("value") - F.col("median_ref"))
-    z_cur = F.abs(F.col("value") - F.col("median_cur"))
-    first = j.groupBy(*k).agg(
-        F.sum("c_ref").alias("ln_ref"), F.sum("c_cur").alias("ln_cur"),
-        F.sum(F.col("c_ref") * z_ref).alias("sz_ref"), F.sum(F.col("c_cur") * z_cur).alias("sz_cur"))
-    first = (first.withColumn("zbar_ref", _div(F.col("sz_ref"), F.col("ln_ref").cast("double")))
-             .withColumn("zbar_cur", _div(F.col("sz_cur"), F.col("ln_cur").cast("double"))))
-    j2 = join_small(j, first.select(*k, "zbar_ref", "zbar_cur"), k, bound_rows=bound(n_features, 1, keys))
-    ss = j2.groupBy(*k).agg(
-        F.sum(F.col("c_ref") * F.pow(z_ref - F.col("zbar_ref"), 2)
-              + F.col("c_cur") * F.pow(z_cur - F.col("zbar_cur"), 2)).alias("ss_within"))
-    out = first.join(ss, k)
-    n = (F.col("ln_ref") + F.col("ln_cur")).cast("double")
-    zbar = _div(F.col("sz_ref") + F.col("sz_cur"), n)
-    ssb = F.col("ln_ref") * F.pow(F.col("zbar_ref") - zbar, 2) + F.col("ln_cur") * F.pow(F.col("zbar_cur") - zbar, 2)
-    return out.select(*k, _div((n - 2) * ssb, F.col("ss_within")).alias("levene_statistic"),
-                      (n - 2).alias("levene_df2"))
-
-
 # ------------------------------------------------------------ numeric tests
 def moments_from_values(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16) -> DataFrame:
     """Per (keys, feature): counts, range, approximate median (``shift``) and
@@ -296,12 +260,13 @@ def numeric_tests_from_values(dv: DataFrame, keys: Sequence[str] = (), n_feature
     lv = j.groupBy(*k).agg(
         F.sum(F.col("c_ref") * z_ref).alias("sz_ref"), F.sum(F.col("c_ref") * z_ref * z_ref).alias("szz_ref"),
         F.sum(F.col("c_cur") * z_cur).alias("sz_cur"), F.sum(F.col("c_cur") * z_cur * z_cur).alias("szz_cur"))
-    out = ag.drop(*(["bounds"] if buckets > 1 else [])).join(es, k, "left").join(lv, k, "left")
+    out = join_on(join_on(ag.drop(*(["bounds"] if buckets > 1 else [])), es, k, "left"), lv, k, "left")
     for c in ("ref", "cur"):
         n = F.col(f"n_{c}").cast("double")
         s1, s2 = F.col(f"s1_{c}"), F.col(f"s2_{c}")
         out = (out.withColumn(f"mean_{c}", F.col("shift") + _div(s1, n))
-               .withColumn(f"var_{c}", F.greatest(F.lit(0.0), _div(s2 - _div(s1 * s1, n), n - 1)))
+               # one row has no variance (NULL), so no effect size either
+               .withColumn(f"var_{c}", F.when(n > 1, F.greatest(F.lit(0.0), _div(s2 - _div(s1 * s1, n), n - 1))))
                .withColumn(f"zbar_{c}", _div(F.col(f"sz_{c}"), n)))
     n = (F.col("n_ref") + F.col("n_cur")).cast("double")
     zbar = _div(F.col("sz_ref") + F.col("sz_cur"), n)
@@ -402,7 +367,7 @@ def categorical_tests(counts: DataFrame, keys: Sequence[str] = (), n_features: i
         F.sum(term(F.col("c_ref"), e1) + term(F.col("c_cur"), e2)).alias("chi2_statistic"),
         F.abs(F.sum((q2 - q1) * F.log(q2 / q1))).alias("psi"),
         F.max(F.abs(p1 - p2)).alias("max_proportion_difference"))
-    out = tot.join(stats, k, "left").withColumn("chi2_dof", (F.col("n_categories") - 1).cast("int"))
+    out = join_on(tot, stats, k, "left").withColumn("chi2_dof", (F.col("n_categories") - 1).cast("int"))
     if with_p:
         out = out.withColumn("chi2_p_value", tail_prob("chi2", F.col("chi2_statistic"), F.col("chi2_dof")))
     return out

@@ -9,6 +9,7 @@ join).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -195,9 +196,24 @@ def bootstrap_exact(df: DataFrame, n: int, order: str, cycle: int, salt: str = "
     return out.drop("_idx", "_draw")
 
 
-def poisson_bootstrap(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Scalable bootstrap (row count ~ fraction * N): each row repeated Poisson(fraction) times."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def poisson_steps(fraction: float) -> list[float]:
+    """Cumulative Poisson(fraction) probabilities P(X <= j), until 1 in 52 bits."""
+    out, term, total, j = [], math.exp(-fraction), 0.0, 0
+    while total < 1 - 2.0 ** -52 and j < 20 + 10 * fraction:
+        total += term
+        out.append(total)
+        j += 1
+        term *= fraction / j
+    return out
+
+
+def poisson_bootstrap(df: DataFrame, fraction: float, key: Column, salt: str = "poisson") -> DataFrame:
+    """Scalable bootstrap (row count ~ fraction * N): each row repeated
+    Poisson(fraction) times. The count is the inverse of the Poisson law at a
+    hash of the row's key, so it is the same in every partitioning and retry."""
+    u = uniform(key, salt)
+    copies = sum((u > p).cast("int") for p in poisson_steps(fraction))
+    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).drop("_copy")
 
 
 def inject(df: DataFrame, drift_type: str, strength: float, key: str, baseline: DataFrame,

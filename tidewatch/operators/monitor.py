@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.cohorts import REF, to_long
+from tidewatch.operators.small import join_on
 
 # score parameters (fixed values, reference defaults)
 SCORE_PER_FEATURE = 0.1
@@ -48,23 +49,35 @@ def score_increment(n_drifted: Column, share: Column, flag: Column, data_added:
 
 
 def drift_score(cycles: DataFrame, keys: Sequence[str] = (), order: str = "cycle") -> DataFrame:
-    """score_c = min(cap, (reset_c ? 0 : score_{c-1}) + inc_c).
-
-    A cycle resets when its dataset flag is false or a retrain happened just
-    before it; increments are non-negative, so the recursion equals
-    ``least(cap, sum(inc) over the rows since the last reset)``.
-    Input columns: n_drifted_features, share_drifted_features, dataset_drift,
-    data_added, retrained.
+    """Score after each cycle: score = min(cap, (reset ? 0 : score) + inc) over
+    the cycle's score events.
+
+    Every cycle scores its drift check; a cycle that adds data scores a second
+    check after the generation, with the bonus for added data. A check without
+    the dataset flag resets the gauge first, and so does a retrain shortly
+    before the cycle (its first check only). Where the optional column
+    ``generation_failed`` is true, the second event is the failure default
+    (one feature, a share of 0.1) and does not reset. Increments are
+    non-negative, so the recursion equals ``least(cap, sum(inc) since the last
+    reset)``. Input columns: n_drifted_features, share_drifted_features,
+    dataset_drift, data_added, retrained. ``increment`` is the cycle's total.
     """
-    inc = score_increment(F.col("n_drifted_features"), F.col("share_drifted_features"),
-                          F.col("dataset_drift"), F.col("data_added"))
-    reset = (~F.col("dataset_drift")) | F.col("retrained")
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = (cycles.withColumn("increment", inc).withColumn("reset", reset)
-         .withColumn("score_epoch", F.sum(F.col("reset").cast("int")).over(w)))
-    w2 = (Window.partitionBy(*keys, "score_epoch").orderBy(order)
+    failed = F.col("generation_failed") if "generation_failed" in cycles.columns else F.lit(False)
+    n, share, flag = F.col("n_drifted_features"), F.col("share_drifted_features"), F.col("dataset_drift")
+    first = score_increment(n, share, flag, F.lit(False))
+    second = F.when(failed, score_increment(F.lit(1), F.lit(0.1), F.lit(False), F.lit(True))).otherwise(
+        score_increment(n, share, flag, F.lit(True)))
+    checks = F.array(F.struct(F.lit(0).alias("phase"), first.alias("inc"), (~flag | F.col("retrained")).alias("reset")))
+    again = F.array(F.struct(F.lit(1).alias("phase"), second.alias("inc"), (~flag & ~failed).alias("reset")))
+    events = cycles.select("*", F.explode(F.when(F.col("data_added"), F.concat(checks, again)).otherwise(checks)).alias("_e"))
+    w = Window.partitionBy(*keys).orderBy(order, "_e.phase").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    events = events.withColumn("score_epoch", F.sum(F.col("_e.reset").cast("int")).over(w))
+    w2 = (Window.partitionBy(*keys, "score_epoch").orderBy(order, "_e.phase")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return c.withColumn("drift_score", F.least(F.lit(SCORE_CAP), F.sum("increment").over(w2)))
+    scored = events.withColumn("drift_score", F.least(F.lit(SCORE_CAP), F.sum("_e.inc").over(w2)))
+    return (scored.where(F.col("_e.phase") == F.col("data_added").cast("int"))
+            .withColumn("increment", first + F.when(F.col("data_added"), second).otherwise(0.0))
+            .withColumn("reset", ~flag | F.col("retrained")).drop("_e"))
 
 
 def reference_moments(ref: DataFrame, features: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -83,9 +96,10 @@ def window_moments(cur: DataFrame, features: Sequence[str], keys: Sequence[str],
 
 
 def window_drift(win: DataFrame, ref_m: DataFrame, keys: Sequence[str], effect: float = 0.1) -> DataFrame:
-    """Cohen d and Welch t of each window against the reference moments."""
+    """Cohen d and Welch t of each window against the reference moments.
+    A segment that the reference lacks keeps its rows (``insufficient_data``)."""
     k = [*keys, "feature"]
-    j = win.join(ref_m, k)  # reference moments: one row per segment and feature
+    j = join_on(win, ref_m, k, "left").withColumn("n_ref", F.coalesce("n_ref", F.lit(0)))
     n1, n2 = F.col("n_ref"), F.col("n_cur")
     pooled = F.sqrt(F.try_divide((n1 - 1) * F.col("var_ref") + (n2 - 1) * F.col("var_cur"),
                                  (n1 + n2 - 2).cast("double")))
@@ -96,7 +110,9 @@ def window_drift(win: DataFrame, ref_m: DataFrame, keys: Sequence[str], effect:
             .withColumn("drift_detected", F.coalesce(F.abs(F.col("cohens_d")) > effect, F.lit(False)))
             .withColumn("severity", F.when(F.abs(F.col("cohens_d")) > 0.5, "HIGH")
                         .when(F.abs(F.col("cohens_d")) > 0.3, "MEDIUM")
-                        .when(F.abs(F.col("cohens_d")) > 0.1, "LOW").otherwise("NONE")))
+                        .when(F.abs(F.col("cohens_d")) > 0.1, "LOW").otherwise("NONE"))
+            .withColumn("method", F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), "insufficient_data")
+                        .otherwise("statistical_tests")))
 
 
 def window_rollup(per_feature: DataFrame, keys: Sequence[str], feature_threshold: float = 0.10,
@@ -121,7 +137,7 @@ def with_fallback(calendar: DataFrame, rollup: DataFrame, keys: Sequence[str]) -
     whose drift check produced nothing reports zeros and no dataset flag
     (the monitor's failure defaults), so the score resets there."""
     on = [*keys, "window_start"]
-    j = calendar.select(*on).distinct().join(rollup, on, "left")
+    j = join_on(calendar.select(*on).distinct(), rollup, on, "left")
     return (j.withColumn("failed", F.col("total_features").isNull())
             .fillna({"total_features": 0, "n_drifted_features": 0, "high_severity_features": 0,
                      "share_drifted_features": 0.0, "dataset_drift": False, "critical_drift": False,
@@ -129,12 +145,28 @@ def with_fallback(calendar: DataFrame, rollup: DataFrame, keys: Sequence[str]) -
 
 
 def monitor_cycles(rollup: DataFrame, keys: Sequence[str], every: int = 5) -> DataFrame:
-    """Cycle index per segment, data generation every ``every``-th cycle,
-    retrain seen by the next cycle (the decision of the previous one)."""
+    """Cycle index per segment and data generation in every ``every``-th cycle
+    after the initial one (cycles 6, 11, ...)."""
     w = Window.partitionBy(*keys).orderBy("window_start")
     return (rollup.withColumn("cycle", F.row_number().over(w))
-            .withColumn("data_added", F.col("cycle") % every == 0)
-            .withColumn("retrained", F.coalesce(F.lag("retrain").over(w), F.lit(False))))
+            .withColumn("data_added", (F.col("cycle") > 1) & ((F.col("cycle") - 1) % every == 0)))
+
+
+# a retrain counts for a cycle that starts less than this many seconds later (fixed value)
+RETRAIN_SECONDS = 300
+
+
+def with_recent_retrain(cycles: DataFrame, retrains: DataFrame, keys: Sequence[str], time: str,
+                        within: int = RETRAIN_SECONDS) -> DataFrame:
+    """Adds ``retrained``: the newest retrain (``retrained_at`` in ``retrains``)
+    not after the cycle's ``time`` is less than ``within`` seconds old. One
+    union and one running window per segment, bounded by its cycles."""
+    marks = retrains.select(*keys, F.col("retrained_at").alias("_at"), F.col("retrained_at").alias("_seen"))
+    rows = cycles.withColumn("_at", F.col(time)).unionByName(marks, allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy("_at", F.col("_seen").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_last", F.last("_seen", ignorenulls=True).over(w)).where(F.col(time).isNotNull())
+    age = F.unix_micros(F.col("_at").cast("timestamp")) - F.unix_micros(F.col("_last").cast("timestamp"))
+    return rows.withColumn("retrained", F.coalesce(age < within * 1_000_000, F.lit(False))).drop("_at", "_seen", "_last")
 
 
 def event_counts(events: DataFrame, ts: str = "ts", keys: Sequence[str] = ("event_type",),

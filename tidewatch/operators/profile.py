@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.cohorts import REF, to_long
 from tidewatch.operators.drift import distinct_values, ecdf
-from tidewatch.operators.small import bound, join_small
+from tidewatch.operators.small import bound, join_on, join_small
 from tidewatch.session import cut_lineage
 
 
@@ -130,7 +130,7 @@ def boxplot_stats(df: DataFrame, by: str, features: Sequence[str], whis: float =
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"))
-    return q.join(w, [by, "feature"])
+    return join_on(q, w, [by, "feature"])
 
 
 def class_ratio(df: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -11,11 +11,24 @@ beyond it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# columns that our own plans make and never leave NULL
+NEVER_NULL = frozenset({"feature", "bucket", "_idx"})
+
+
+def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL segment keys match each other: a NULL segment is
+    a segment like any other."""
+    names = {k: f"_on_{i}" for i, k in enumerate(on)}
+    right = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
+    same = [(F.col(k) == F.col(n)) if k in NEVER_NULL else F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    out = left.join(right, reduce(lambda a, b: a & b, same), how)
+    return out.drop(*names.values())
 
 
 def attach_row(df: DataFrame, one_row: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -49,7 +62,7 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: s
         return attach_row(big, small)
     if bound_rows is not None and bound_rows <= limit and how in ("inner", "left", "left_semi", "left_anti"):
         small = F.broadcast(small)
-    return big.join(small, on=on, how=how)
+    return join_on(big, small, on, how)
 
 
 def bound(n_features: int, per_feature: int, keys: Sequence[str]) -> int | None:

@@ -80,7 +80,7 @@ SELECT feature, round(ks_statistic, 6) AS ks_statistic, round(x, 6) AS ks_lambda
 FROM lam""")
 def q_ks_pvalue(spark, sf):
     t = _l_numeric(spark, sf)
-    lam = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))) * F.col("ks_statistic")
+    lam = F.sqrt(F.col("n_ref").cast("double") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))) * F.col("ks_statistic")
     return t.select("feature", r("ks_statistic"), r(lam, "ks_lambda"), r(_ks_series(lam), "ks_p_value"))
 
 

@@ -11,7 +11,6 @@ from tidewatch.plans import fixtures as fx
 from tidewatch.plans.registry import r, register
 from tidewatch.plans.sqlparts import effect_verdict_sql, numeric_ctes
 from tidewatch.session import cut_lineage
-from tidewatch.sources.tables import spread_input
 from tidewatch.spec import DriftThresholds
 
 # input-shift multipliers of the reference (fixed values, in its feature
@@ -87,7 +86,7 @@ def q_jitter(spark, sf):
 # ------------------------------------------------------------------ I4 on L*: shifts in baseline-sd units, no rounding
 def _lstar(spark, sf):
     # hash noise is per-row work: spread an under-split scan over all task slots
-    l_ = spread_input(fx.lineitem_cohorts(spark, sf, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")))
+    l_ = fx.lineitem_cohorts(spark, sf, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     base = inject.wide_stats(l_.where(F.col("cohort") == "ref"), fx.L_NUM, "b")
     cur = l_.where(F.col("cohort") == "cur").withColumn("_key", fx.lineitem_key())
     shifted = inject.input_shift(cur, L_SHIFTS, L_STAR_STRENGTH, F.col("_key"), base, step=None, sd_units=True)
@@ -251,10 +250,16 @@ def q_bootstrap_exact(spark, sf):
     return b.select("seq", "o_orderkey", *fx.M_NUM, fx.M_TARGET)
 
 
-@register("bootstrap_poisson")
+_POISSON = inject.poisson_steps(0.5)
+
+
+@register("bootstrap_poisson", f"""WITH {fx.M_SQL},
+d AS (SELECT *, {uniform_sql('o_orderkey', 'poisson')} AS u FROM m WHERE cohort = 'ref')
+SELECT {fx.M_TARGET}, CAST(sum({' + '.join(f'CAST(u > {p!r} AS INTEGER)' for p in _POISSON)}) AS BIGINT) AS n
+FROM d GROUP BY 1""")
 def q_bootstrap_poisson(spark, sf):
     ref = _m(spark, sf).where(F.col("cohort") == "ref")
-    return inject.poisson_bootstrap(ref, 0.5, 42).groupBy(fx.M_TARGET).agg(F.count("*").alias("n"))
+    return inject.poisson_bootstrap(ref, 0.5, F.col("o_orderkey")).groupBy(fx.M_TARGET).agg(F.count("*").alias("n"))
 
 
 # ------------------------------------------------------------------ I9: one generator cycle (input_drift cycle)

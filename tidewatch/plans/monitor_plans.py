@@ -28,7 +28,12 @@ def _cycles(spark, sf):
     # drift result would report the failure defaults (zeros, no flag)
     e = fx.events_cohorts(spark, sf).where(F.col("cohort") == "cur")
     calendar = e.select(*_K, F.window("ts", "1 day").start.alias("window_start"))
-    return mon.monitor_cycles(mon.with_fallback(calendar, _rollup(spark, sf), _K), _K)
+    cycles = mon.monitor_cycles(mon.with_fallback(calendar, _rollup(spark, sf), _K), _K)
+    # a cycle runs when its day is over; a decided retrain is done two minutes before the next day's cycle
+    day = F.expr("INTERVAL 1 DAY")
+    cycles = cycles.withColumn("cycle_time", F.col("window_start") + day)
+    retrains = cycles.where("retrain").select(*_K, (F.col("cycle_time") + day - F.expr("INTERVAL 2 MINUTES")).alias("retrained_at"))
+    return mon.with_recent_retrain(cycles, retrains, _K, "cycle_time")
 
 
 _E_LONG = "\n  UNION ALL ".join(
@@ -46,7 +51,7 @@ wj AS (
   SELECT wm.*, rm.n_ref, rm.mean_ref, rm.var_ref,
     sqrt(((n_ref - 1) * var_ref + (n_cur - 1) * var_cur) / (n_ref + n_cur - 2)) AS pooled,
     (mean_ref - mean_cur) / sqrt(var_ref / n_ref + var_cur / n_cur) AS t_statistic
-  FROM wm JOIN rm ON wm.event_type = rm.event_type AND wm.feature = rm.feature),
+  FROM wm LEFT JOIN rm ON wm.event_type IS NOT DISTINCT FROM rm.event_type AND wm.feature = rm.feature),
 wd AS (
   SELECT *, CASE WHEN pooled = 0 THEN 0 ELSE (mean_cur - mean_ref) / pooled END AS cohens_d FROM wj),
 wf AS (
@@ -74,23 +79,33 @@ cy AS (
     row_number() OVER (PARTITION BY event_type ORDER BY window_start) AS cycle
   FROM lv),
 cz AS (
-  SELECT *, cycle % 5 = 0 AS data_added,
-    coalesce(lag(retrain) OVER (PARTITION BY event_type ORDER BY window_start), false) AS retrained
+  -- the initial cycle comes before the counting, so cycles 6, 11, ... generate data; a retrain
+  -- resets a cycle only when it was done less than five minutes before it
+  SELECT *, cycle > 1 AND (cycle - 1) % 5 = 0 AS data_added,
+    coalesce(lag(retrain) OVER (PARTITION BY event_type ORDER BY window_start)
+      AND lag(window_start) OVER (PARTITION BY event_type ORDER BY window_start) = window_start - INTERVAL 1 day, false) AS retrained
   FROM cy),
-sc AS (
+sp AS (
+  -- a cycle that generates data is scored twice: before, and after with the bonus
   SELECT *, CASE WHEN n_drifted_features > 0
                  THEN 0.1 * n_drifted_features + 0.5 * share_drifted_features + CASE WHEN dataset_drift THEN 0.3 ELSE 0.0 END
-                 ELSE 0.0 END + CASE WHEN data_added THEN 0.2 ELSE 0.0 END AS increment,
-    (NOT dataset_drift) OR retrained AS reset
+                 ELSE 0.0 END AS base_inc, (NOT dataset_drift) OR retrained AS reset
   FROM cz),
+sc AS (
+  SELECT *, 0 AS phase, base_inc AS inc, reset AS event_reset FROM sp
+  UNION ALL
+  SELECT *, 1, base_inc + 0.2, NOT dataset_drift FROM sp WHERE data_added),
 se AS (
-  SELECT *, sum(CAST(reset AS INTEGER)) OVER (PARTITION BY event_type ORDER BY window_start
+  SELECT *, sum(CAST(event_reset AS INTEGER)) OVER (PARTITION BY event_type ORDER BY window_start, phase
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS score_epoch
   FROM sc),
-ss AS (
-  SELECT *, least(5.0, sum(increment) OVER (PARTITION BY event_type, score_epoch ORDER BY window_start
+sl AS (
+  SELECT *, least(5.0, sum(inc) OVER (PARTITION BY event_type, score_epoch ORDER BY window_start, phase
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS drift_score
-  FROM se)"""
+  FROM se),
+ss AS (
+  SELECT *, base_inc + CASE WHEN data_added THEN base_inc + 0.2 ELSE 0.0 END AS increment
+  FROM sl WHERE phase = CAST(data_added AS INTEGER))"""
 
 
 # ------------------------------------------------------------------ K8
@@ -161,6 +176,7 @@ def q_latency_histogram(spark, sf):
 @register("metric_filter", WIN_SQL + """,
 metrics AS (
   SELECT event_type, window_start, 'data_drift_features_count' AS metric, CAST(n_drifted_features AS DOUBLE) AS value FROM lv
+  UNION ALL SELECT event_type, window_start, 'data_drift_share_percent', round(share_drifted_features * 100.0, 6) FROM lv
   UNION ALL SELECT event_type, window_start, 'dataset_drift_flag', CAST(dataset_drift AS DOUBLE) FROM lv
   UNION ALL SELECT event_type, time_bucket(INTERVAL 1 day, ts), 'predictions_' || event_type, CAST(count(*) AS DOUBLE)
     FROM events GROUP BY 1, 2
@@ -170,7 +186,7 @@ SELECT event_type, window_start, metric, value FROM metrics
 WHERE regexp_full_match(metric, '""" + mon.KEEP_PATTERN + """')
   AND NOT regexp_full_match(metric, '""" + mon.DROP_PATTERN + "')")
 def q_metric_filter(spark, sf):
-    g = mon.drift_gauges(_rollup(spark, sf), [*_K, "window_start"]).where(F.col("metric") != "data_drift_share_percent")
+    g = mon.drift_gauges(_rollup(spark, sf), [*_K, "window_start"]).withColumn("value", r("value"))
     c = mon.event_counts(read_table(spark, sf, "events", ["ts", "event_type"]))
     p = c.select("event_type", "window_start", F.concat(F.lit("predictions_"), "event_type").alias("metric"),
                  F.col("n").cast("double").alias("value"))
@@ -180,14 +196,19 @@ def q_metric_filter(spark, sf):
 
 
 # ------------------------------------------------------------------ K6
-@register("info_labels")
+@register("info_labels", WIN_SQL + """
+SELECT event_type, window_start, 'cycle' AS label, CAST(cycle AS VARCHAR) AS value FROM ss
+UNION ALL SELECT event_type, window_start, 'severity', severity_level FROM ss
+UNION ALL SELECT event_type, window_start, 'drift_share', printf('%.3f', CAST(share_drifted_features AS DOUBLE)) FROM ss
+UNION ALL SELECT event_type, window_start, 'last_generation',
+  CASE WHEN data_added THEN strftime(window_start, '%Y-%m-%d') ELSE 'Never' END FROM ss""")
 def q_info_labels(spark, sf):
     c = _cycles(spark, sf)
-    return c.select("event_type", "window_start", mon.info_labels(
+    labels = mon.info_labels(
         cycle=F.col("cycle"), severity=F.col("severity_level"),
         drift_share=F.format_string("%.3f", F.col("share_drifted_features")),
-        last_generation=F.when(F.col("data_added"), F.date_format("window_start", "yyyy-MM-dd")).otherwise("Never"),
-    ).alias("labels"))
+        last_generation=F.when(F.col("data_added"), F.date_format("window_start", "yyyy-MM-dd")).otherwise("Never"))
+    return c.select("event_type", "window_start", F.explode(labels).alias("label", "value"))
 
 
 # ------------------------------------------------------------------ K7 (batch): one metrics snapshot per segment

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -34,13 +33,3 @@ def r(c: str | Column, alias: str | None = None, digits: int = DIGITS) -> Column
     out = F.round(col.cast("double"), digits)
     name = alias or (c if isinstance(c, str) else None)
     return out.alias(name) if name else out
-
-
-def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,10 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; only when none is configured (tests,
-    local runs) point it at a fresh scratch folder."""
+    """Use the session's checkpoint dir. Where none is configured, a local
+    session gets a fresh scratch folder; a cluster's must be set, as executors
+    do not share a machine's folders."""
     d = checkpoint_dir(spark)
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidewatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
@@ -79,6 +83,12 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 _WRITTEN: list[str] = []
 
 
-def written_stages() -> list[str]:
-    """Paths of the intermediate tables written by :func:`cut_lineage` (for cleanup)."""
-    return list(_WRITTEN)
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far by :func:`cut_lineage`.
+    Call it when no result that reads them is needed any more (after the sink
+    has been written); returns how many were deleted."""
+    n = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n

@@ -74,7 +74,8 @@ SCORE_OUT = ("event_type string, window_start timestamp, cycle int, data_added b
 
 
 def _score_fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """score = min(cap, (reset ? 0 : score) + increment), in window order."""
+    """score = min(cap, (reset ? 0 : score) + increment), in window order; a
+    cycle that adds data is scored again after the generation, with the bonus."""
     score = float(state.get[0]) if state.exists else 0.0
     rows = pd.concat(list(pdfs), ignore_index=True).sort_values("window_start")
     out = []
@@ -83,9 +84,11 @@ def _score_fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> It
         if r.n_drifted_features > 0:
             inc = (mon.SCORE_PER_FEATURE * r.n_drifted_features + mon.SCORE_PER_SHARE * r.share_drifted_features
                    + (mon.SCORE_DATASET_FLAG if r.dataset_drift else 0.0))
-        inc += mon.SCORE_DATA_ADDED if r.data_added else 0.0
         reset = (not r.dataset_drift) or bool(r.retrained)
         score = min(mon.SCORE_CAP, (0.0 if reset else score) + inc)
+        if r.data_added:
+            score = min(mon.SCORE_CAP, (score if r.dataset_drift else 0.0) + inc + mon.SCORE_DATA_ADDED)
+            inc += inc + mon.SCORE_DATA_ADDED
         out.append((r.event_type, r.window_start, int(r.cycle), bool(r.data_added), bool(r.retrained), reset,
                     inc, score))
     if len(rows):
