@@ -42,6 +42,16 @@ def test_url_reputation_blocks_bad_hosts_and_shrinks(spark):
     assert got["unseen.spam.com"].posterior > got["z.else.net"].posterior
 
 
+def test_url_query_matches_its_sql(spark):
+    from oracle_check import compare, duck
+
+    from tidewatch.llm import queries
+
+    d = "/root/testdata/sf0.01"
+    status, message = compare("op1_url_reputation", queries.QUERIES["op1_url_reputation"](spark, d), duck(d), queries.ORACLE["op1_url_reputation"])
+    assert status == "OK", message
+
+
 def brute_counts(t):
     t = t or ""
     w, seen, dup = WORD.findall(t), set(), 0

@@ -18,6 +18,15 @@ def query(fn):
     return fn
 
 
+def _strength_sql(groups: str) -> str:
+    """Prior strength of ``groups(n, bad, parent)`` by moments, as a one-row query."""
+    return f"""(SELECT 1 / least({url_reputation.MOST_RHO}, greatest({url_reputation.LEAST_RHO},
+    CASE WHEN k < 2 OR total - squares / total - (k - 1) <= 0 THEN {url_reputation.MOST_RHO}
+         ELSE (s - (k - 1)) / (total - squares / total - (k - 1)) END)) - 1
+  FROM (SELECT sum(n * pow(bad / n - parent, 2) / (parent * (1 - parent))) AS s, count(*) AS k,
+          CAST(sum(n) AS DOUBLE) AS total, CAST(sum(n * n) AS DOUBLE) AS squares FROM {groups} WHERE n > 0))"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -76,6 +85,44 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def _fits_sql(rule: str) -> str:
+    name, _, rest = rule.partition("/")
+    return f"((host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{rest}'))"
+
+
+_LONGEST = sorted(URL_RULES, key=lambda r: -len(r[1]))
+ORACLE["op1_url_reputation"] = f"""
+WITH a AS (
+  SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{url_reputation.UPPER}', '{url_reputation.LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+m AS (SELECT doc_id, max(1 - quality) AS bad FROM labels WHERE quality IN (0, 1) AND doc_id IS NOT NULL GROUP BY 1),
+c0 AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM h LEFT JOIN m ON m.doc_id = h.page_id GROUP BY 1),
+c AS (
+  SELECT *, CASE WHEN regexp_full_match(host, '[0-9.:]*') THEN host
+                 ELSE array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') END AS domain,
+    CASE WHEN regexp_full_match(host, '[0-9.:]*') THEN '' ELSE string_split(host, '.')[-1] END AS suffix FROM c0),
+s AS (
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1) FROM c) AS parent FROM c GROUP BY 1),
+sr AS (SELECT suffix, (bad + {_strength_sql('s')} * parent) / (n + {_strength_sql('s')}) AS rate FROM s),
+d AS (
+  SELECT g.domain, g.n, g.bad, sr.rate AS parent
+  FROM (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM c GROUP BY 1, 2) g JOIN sr ON sr.suffix = g.suffix),
+dr AS (SELECT domain, (bad + {_strength_sql('d')} * parent) / (n + {_strength_sql('d')}) AS rate FROM d),
+k AS (SELECT c.host, c.n, c.bad, dr.rate AS parent FROM c JOIN dr ON dr.domain = c.domain),
+b AS (
+  SELECT host, bad + {_strength_sql('k')} * parent AS x, n - bad + {_strength_sql('k')} * (1 - parent) AS y FROM k),
+v AS (
+  SELECT host, CASE WHEN (SELECT sum(n) FROM c) > 0
+    AND x / (x + y) - {url_reputation.Z} * sqrt(x * y / (pow(x + y, 2) * (x + y + 1))) > {url_reputation.MAX_BAD}
+    THEN 'block' ELSE 'allow' END AS learned FROM b)
+SELECT h.page_id, h.host, h.path,
+  CASE {' '.join(f"WHEN {_fits_sql(r)} THEN '{r}'" for _, r in _LONGEST)} END AS rule,
+  CASE {' '.join(f"WHEN {_fits_sql(r)} THEN '{w}'" for w, r in _LONGEST)} ELSE v.learned END AS verdict
+FROM h JOIN v ON v.host = h.host""".replace("host = '", "h.host = '").replace("ends_with(host,", "ends_with(h.host,").replace("starts_with(path,", "starts_with(h.path,")
+
+
 @query
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
