@@ -56,7 +56,7 @@ def near_copies(seed=0, n_base=6, copies=30, length=120):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize(("width", "num", "leaf", "depth"), [(3, 85, 40, 6), (5, 80, 4, 2)])
+@pytest.mark.parametrize(("width", "num", "leaf", "depth"), [(3, 85, 64, 3), (5, 80, 2, 2), (3, 85, 1, 1)])
 def test_components_match_brute_force(spark, width, num, leaf, depth):
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string")

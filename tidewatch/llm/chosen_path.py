@@ -4,25 +4,36 @@ A document's set is its distinct word shingles (64-bit hashes). Documents with
 equal sets form one class. Classes branch in ``trees`` independent trees: at a
 node a class follows each of its tokens with probability ``1 / (share *
 size)``, decided by the node's own hash of the token, so two sets at the
-threshold share at least one child per node on average. A node with at most
-``leaf`` classes compares them all. In a larger node every class is compared
-with a pivot (a random member, another one in each node), and the node
-branches on unless all its classes have become connected. After ``depth``
-levels a node that is still large and not connected compares the classes
-outside its largest component with all of its classes, which is exact for
-components.
-
-Pairs that differ too much in size, or whose 128-bin one-permutation sketches
-differ by over five standard deviations from the threshold, are not looked at
-further; every remaining link is confirmed on full sets. First each class
-confirms one candidate (a forest); pairs already connected need no check, the
-others all get one. Components come from :mod:`components`.
+threshold share at least one child per node on average. The first level
+chooses among all shingles, later ones among the class's 128 minwise tokens
+(smallest hash in each of 128 hash ranges). In a node with at most ``leaf``
+classes outside its largest component, these are compared with all of its
+classes, which is exact for components and costs at most ``leaf`` comparisons
+a class. In any other node every class is compared with a pivot (a random
+member, another one in each node), and the node branches on: first into
+overlapping windows of set sizes (two sets at the threshold always share
+one), then by tokens. What is still open after ``depth`` levels (dense groups
+of texts that are similar, but not enough) is handled exactly by prefixes: in
+an order of tokens by their frequency there, rarest first, two sets at the
+threshold share a token among the first few of each, at places that leave
+enough tokens for the overlap.
+
+A few trees run first: each class confirms one candidate of theirs, and the
+forest of these links connects most near-copies. After that only nodes with
+several components are looked at, and only pairs across components. Links are
+confirmed after the first level of all trees, and once for all later levels.
+
+A pair whose sizes rule the threshold out, or whose one-bit minwise values (of
+up to 128) differ in more places than five standard deviations above the mean
+at the threshold, or whose minwise values themselves agree in less than the
+threshold's share by as much, is not looked at further; every other one is confirmed on full
+sets. Components come from :mod:`components`.
 
 Recall: a pair at the threshold meets in one tree with probability about 0.6,
 0.47 and 0.37 at levels 1 to 3, so 24 trees miss it in 1e-9, 1e-6 and 2e-5 of
 cases; a pair above the threshold meets more often.
 
-No group is collected or expanded into all pairs beyond ``leaf`` members; hot
+No group beyond ``leaf`` members is collected or expanded into all pairs; hot
 nodes are pre-aggregated, and joins on nodes, classes and documents are ones
 that Spark's skew handling can split. Texts are read again only for classes
 that have candidates; the broadcast that finds them has at most ``SLOTS`` rows.
@@ -37,10 +48,12 @@ extra columns are ignored.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.components import connected
@@ -48,6 +61,8 @@ from tidewatch.llm.words import LOWER, NON_SPACE, blocks, mix, shingles, span_ha
 from tidewatch.session import cut_lineage
 
 BINS = 128
+SKETCH = ("b1", "b2", "u1", "u2")  # one-bit values and which of them exist
+MEMBER = ("cid", "n", *SKETCH)
 SLOTS = 1 << 18
 _SEED = np.uint64(0xD1B54A32D192ED03)
 
@@ -62,92 +77,110 @@ def _sets(texts: pa.Array, width: int):
             yield i + k, shingles(words[first[k]: first[k + 1]], width)
 
 
-def _digest(s: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit values of a set."""
-    return int(mix(s ^ _SEED).sum().view(np.int64)), int(mix(s + _SEED).sum().view(np.int64))
+def _digest(s: np.ndarray) -> int:
+    """64-bit value of a set."""
+    return int(mix(mix(s ^ _SEED).sum(keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
-def _sketch(s: np.ndarray) -> bytes:
-    """Smallest 16 bits in each of ``BINS`` hash ranges (sets are sorted)."""
+def _minwise(s: np.ndarray) -> np.ndarray:
+    """Smallest 16 bits in each of ``BINS`` hash ranges, 0xFFFF for an empty one (sets are sorted)."""
     out = np.full(BINS, 0xFFFF, dtype="<u2")
     bins = (s >> np.uint64(57)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])
     out[bins[first]] = np.minimum((s[first] >> np.uint64(41)) & np.uint64(0xFFFF), 0xFFFE).astype(np.uint16)
-    return out.tobytes()
+    return out
 
 
-def _children(s: np.ndarray, nodes: np.ndarray, share: float) -> np.ndarray:
-    """Child nodes that a set chooses below each of ``nodes``."""
+def _bits(minwise: np.ndarray) -> list[int]:
+    """Lowest bit of every minwise value (0 for an empty range) and the ranges that are not empty, two 64-bit values each."""
+    used = minwise != 0xFFFF
+    return [*np.packbits((minwise & 1) & used).view(np.int64).tolist(), *np.packbits(used).view(np.int64).tolist()]
+
+
+def _children(s: np.ndarray, nodes: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Child nodes that a set chooses below each of ``nodes``, and the number of the parent."""
     limit = np.uint64(min(2.0**64 - 2048, 2.0**64 / (share * len(s))))
     odd = (mix(nodes ^ _SEED) | np.uint64(1))[:, None]
     chosen = ((s ^ nodes[:, None]) * odd) < limit
     at, token = np.nonzero(chosen)
-    return mix(mix(nodes[at]) + s[token])
+    return mix(mix(nodes[at]) + s[token]), at
 
 
 def _roots(trees: int) -> np.ndarray:
     return mix(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
-def class_rows(docs: DataFrame, key: str, text: str, width: int, share: float, trees: int) -> DataFrame:
-    """``key, n, cid, check, nodes, sketch``; ``cid`` and ``check`` are the set's digest."""
+def class_rows(docs: DataFrame, key: str, text: str, width: int, share: float, trees: int, early: int) -> DataFrame:
+    """``key, n, cid, nodes, early, minwise`` and the one-bit sketch; ``cid`` is the set's digest, ``early`` counts
+    the nodes of the first trees."""
     kind = dict(docs.dtypes)[key]
+    names = ["key", "n", "cid", "nodes", "early", "minwise", *SKETCH]
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary(), *[pa.int64()] * len(SKETCH)]
 
     def run(batches):
         roots = _roots(trees)
         for batch in batches:
-            n, cid, check, nodes, sketch = [], [], [], [], []
+            rows = []
             for _, s in _sets(batch.column(1), width):
-                a, b = _digest(s)
-                n.append(len(s))
-                cid.append(a)
-                check.append(b)
-                nodes.append(_children(s, roots, share).view(np.int64) if len(s) else ())
-                sketch.append(_sketch(s) if len(s) else b"")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(check, pa.int64()),
-                 pa.array(nodes, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                names=["key", "n", "cid", "check", "nodes", "sketch"])
+                if len(s):
+                    (nodes, tree), least = _children(s, roots, share), _minwise(s)
+                    rows.append((len(s), _digest(s), nodes.view(np.int64), int(np.searchsorted(tree, early)), least.tobytes(), *_bits(least)))
+                else:
+                    rows.append((0, 0, (), 0, b"", 0, 0, 0, 0))
+            cols = zip(*rows, strict=True) if rows else [()] * len(types)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
     return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, f"key {kind}, n long, cid long, check long, nodes array<long>, sketch binary")
+        run, f"key {kind}, n long, cid long, nodes array<long>, early int, minwise binary, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 class _Join:
-    """State of one run: class table, documents, parameters."""
-
-    def __init__(self, docs, key, text, width, num, den, trees, leaf):
-        self.docs, self.key, self.text, self.width = docs, key, text, width
-        self.num, self.den, self.share, self.leaf = num, den, num / den, leaf
-        self.rows = cut_lineage(class_rows(docs, key, text, width, self.share, trees), "sets")
-        self.classes = cut_lineage(
-            self.rows.where("n > 0 and key is not null").groupBy("cid")
-            .agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("nodes").alias("nodes"), F.first("sketch").alias("sketch")),
-            "classes")
-
-    def sets_of(self, wanted: DataFrame) -> DataFrame:
-        """``cid, words`` (sorted hashes as bytes) of the wanted classes, from their texts."""
-        width, key = self.width, self.key
-        reps = self.classes.select("cid", "rep").join(wanted.select("cid").distinct(), "cid", "left_semi")
-        slot = F.pmod(F.xxhash64(F.col("rep")), F.lit(SLOTS))
-        slots = reps.select(slot.alias("slot")).distinct()  # at most SLOTS rows
-        some = (self.docs.select(F.col(key).alias("rep"), F.col(self.text).cast("string").alias("text"))
-                .withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi"))
+    """State of one run: documents, class table, links and labels so far."""
+
+    def __init__(self, docs, key, text, width, num, den, trees, leaf, early):
+        self.docs = docs.select(F.col(key).alias("rep"), F.col(text).cast("string").alias("text"))
+        self.width, self.num, self.den, self.share, self.leaf = width, num, den, num / den, leaf
+        self.rows = cut_lineage(class_rows(docs, key, text, width, self.share, trees, early), "sets")
+        cols = ("n", "nodes", "early", "minwise", *SKETCH)
+        self.classes = cut_lineage(self.rows.where("n > 0 and key is not null").groupBy("cid")
+                                   .agg(F.min("key").alias("rep"), *[F.first(c).alias(c) for c in cols]), "classes")
+        # rows that share a key are one document
+        shared = self.rows.where("n > 0 and key is not null").groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z")
+        ties = self.rows.where("n > 0").join(shared.select("key", "a"), "key").select("a", F.col("cid").alias("b")).where("a <> b").distinct()
+        self.links = cut_lineage(ties, "links")
+        self.labels = connected(self.links)
+
+    # --- full sets
+
+    def texts_of(self, wanted: DataFrame) -> DataFrame:
+        """Texts joined to ``wanted`` (with ``rep``): only rows whose key shares a hash slot take part."""
+        slot = F.pmod(F.xxhash64("rep"), F.lit(SLOTS))
+        slots = wanted.select(slot.alias("slot")).distinct()  # at most SLOTS rows
+        some = self.docs.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
+        return some.join(wanted, "rep")
+
+    def with_sets(self, wanted: DataFrame) -> DataFrame:
+        """``wanted(rep, cid, hub)`` to ``cid, hub, words`` (sorted hashes as bytes)."""
+        width = self.width
 
         def run(batches):
             for batch in batches:
-                out = [s.tobytes() for _, s in _sets(batch.column(0), width)]
-                cid = [_digest(np.frombuffer(s, np.uint64))[0] for s in out]
-                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(cid, pa.int64()), pa.array(out, pa.binary())],
-                                                 names=["cid", "found", "words"])
+                sets = [s for _, s in _sets(batch.column(0), width)]
+                same = pa.array([bool(len(s)) and _digest(s) == c for s, c in zip(sets, batch.column(1).to_pylist(), strict=True)], pa.bool_())
+                out = pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "hub", "words"])
+                yield out.filter(same)  # rows that share a key may hold other texts
 
-        return (some.join(reps, "rep").select("text", "cid").mapInArrow(run, "cid long, found long, words binary")
-                .where("cid = found").groupBy("cid").agg(F.first("words").alias("words")))
+        return self.texts_of(wanted).select("text", "cid", "hub").mapInArrow(run, "cid long, hub long, words binary")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose full sets reach the threshold."""
-        sets = cut_lineage(self.sets_of(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid")))), "pair-sets")
+    def confirm(self, pairs: DataFrame) -> None:
+        """Adds the pairs (a, b) whose full sets reach the threshold; components change only with new links."""
+        if pairs.isEmpty():
+            return
         num, den = self.num, self.den
+        named = self.classes.select("cid", "rep")
+        hubs = self.with_sets(pairs.select(F.col("a").alias("cid")).distinct().join(named, "cid").select("rep", "cid", F.col("cid").alias("hub")))
+        hubs = hubs.groupBy("hub").agg(F.first("words").alias("other"))
+        leaves = self.with_sets(pairs.select(F.col("b").alias("cid"), F.col("a").alias("hub")).join(named, "cid").select("rep", "cid", "hub"))
 
         def run(batches):
             for batch in batches:
@@ -158,11 +191,49 @@ class _Join:
                     keep.append(den * both >= num * (len(s) + len(t) - both))
                 yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-        left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
-        joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        return cut_lineage(joined.mapInArrow(run, "a long, b long"), "links")
-
-    def similar_sketches(self, pairs: DataFrame) -> DataFrame:
+        found = leaves.join(hubs, "hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"), "words", "other")
+        new = cut_lineage(found.mapInArrow(run, "a long, b long"), "links")
+        if not new.isEmpty():
+            self.links = self.links.union(new)
+            self.labels = connected(self.links)
+
+    # --- nodes
+
+    def members(self, nodes) -> DataFrame:
+        return self.classes.select(F.explode(nodes).alias("node"), "cid")
+
+    def opened(self, members: DataFrame) -> DataFrame:
+        """Members of nodes with more than one component: with ``root``, the node's largest
+        component ``top``, the number of classes ``outside`` it, and a ``pivot``."""
+        rooted = members.join(self.labels.toDF("cid", "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+        parts = rooted.groupBy("node", "root").agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("node", "cid").alias("h"), "cid")).alias("p"))
+        nodes = parts.groupBy("node").agg(F.sum("k").alias("members"), F.max(F.struct("k", "root")).alias("t"), F.min("p").alias("p"))
+        nodes = nodes.where("members > t.k").select("node", F.col("t.root").alias("top"), (F.col("members") - F.col("t.k")).alias("outside"), F.col("p.cid").alias("pivot"))
+        return cut_lineage(rooted.join(nodes, "node").join(self.classes.select(*MEMBER), "cid"), "nodes")
+
+    def possible(self, x, y):
+        """Pairs across components that sizes and one-bit sketches allow."""
+        odds = (1 - self.share) / 2
+        far = F.bit_count(x["b1"].bitwiseXOR(y["b1"])) + F.bit_count(x["b2"].bitwiseXOR(y["b2"]))
+        used = F.bit_count(x["u1"].bitwiseOR(y["u1"])) + F.bit_count(x["u2"].bitwiseOR(y["u2"]))
+        return ((x["root"] != y["root"]) & (F.least(x["n"], y["n"]) * self.den >= F.greatest(x["n"], y["n"]) * self.num)
+                & (far <= used * odds + 5 * F.sqrt(used * odds * (1 - odds))))
+
+    def pairs(self, opened: DataFrame) -> DataFrame:
+        """Distinct candidate pairs (a < b): classes outside the largest component with all, pivots of the other nodes."""
+        member = F.struct(*MEMBER, "root")
+        x, y = F.col("x"), F.col("y")
+        closed = opened.where(F.col("outside") <= self.leaf)
+        outside = closed.where("root <> top").groupBy("node").agg(F.collect_list(member).alias("m"))  # at most leaf
+        both = closed.select("node", member.alias("y")).join(outside, "node").select(F.explode("m").alias("x"), "y")
+        both = both.where(self.possible(x, y))
+        large = opened.where(F.col("outside") > self.leaf)
+        star = large.select("node", member.alias("x")).join(large.where("cid = pivot").select("node", member.alias("y")), "node").where(self.possible(x, y))
+        return (both.select("x.cid", y["cid"].alias("other")).union(star.select("x.cid", y["cid"]))
+                .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct())
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose minwise values agree in at least the share of the threshold less five standard deviations."""
         share = self.share
 
         def run(batches):
@@ -170,111 +241,108 @@ class _Join:
                 s, t = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, BINS) for i in (2, 3))
                 used = ((s != 0xFFFF) | (t != 0xFFFF)).sum(1)
                 same = ((s == t) & (s != 0xFFFF)).sum(1)
-                least = share * used - 5 * np.sqrt(share * (1 - share) * used)
-                yield batch.select([0, 1]).filter(pa.array(same >= least))
+                yield batch.select([0, 1]).filter(pa.array(same >= share * used - 5 * np.sqrt(share * (1 - share) * used)))
 
-        left = self.classes.select(F.col("cid").alias("a"), F.col("sketch").alias("left"))
-        right = self.classes.select(F.col("cid").alias("b"), F.col("sketch").alias("right"))
+        left, right = (self.classes.select(F.col("cid").alias(c), F.col("minwise").alias(v)) for c, v in (("a", "left"), ("b", "right")))
         joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        return joined.mapInArrow(run, "a long, b long")
-
-    def sized(self, members: DataFrame) -> DataFrame:
-        """``node, cid, n, members, pivot`` for nodes with two classes or more."""
-        nodes = members.groupBy("node").agg(
-            F.count("*").alias("members"), F.min(F.struct(F.xxhash64("node", "cid").alias("h"), "cid")).alias("p"))
-        nodes = nodes.where("members > 1").select("node", "members", F.col("p.cid").alias("pivot"))
-        return members.join(nodes, "node")
-
-    def candidates(self, sized: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Distinct pairs (a < b) from small nodes and pivots that sizes and sketches allow."""
-        small = (sized.where(F.col("members") <= self.leaf).groupBy("node")
-                 .agg(F.sort_array(F.collect_list(F.struct("cid", "n"))).alias("m"))
-                 .select(F.explode("m").alias("x"), "m")
-                 .select("x", F.explode("m").alias("y")).where("x.cid < y.cid")
-                 .select(F.col("x.cid").alias("a"), F.col("x.n").alias("na"), F.col("y.cid").alias("b"), F.col("y.n").alias("nb")))
-        small = small.where(F.least("na", "nb") * self.den >= F.greatest("na", "nb") * self.num).select("a", "b")
-        star = sized.where((F.col("members") > self.leaf) & (F.col("cid") != F.col("pivot")))
-        star = star.select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
-        pairs = small.union(star).distinct()
-        if labels is not None:
-            pairs = self.apart(pairs, labels)
-        return cut_lineage(self.similar_sketches(pairs), "candidates")
-
-    @staticmethod
-    def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs not yet in one component."""
-        a, b = labels.toDF("a", "ra"), labels.toDF("b", "rb")
-        return (pairs.join(a, "a", "left").join(b, "b", "left")
-                .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
-
-    def unresolved(self, sized: DataFrame, labels: DataFrame) -> DataFrame:
-        """Members of large nodes that are not one component; ``root`` and the node's largest root."""
-        large = (sized.where(F.col("members") > self.leaf).select("node", "cid", "n")
-                 .join(labels.toDF("cid", "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid")))
-        parts = large.groupBy("node", "root").agg(F.count("*").alias("k"))
-        open_nodes = parts.groupBy("node").agg(F.count("*").alias("parts"), F.max(F.struct("k", "root")).alias("top")).where("parts > 1")
-        return cut_lineage(large.join(open_nodes.select("node", F.col("top.root").alias("top")), "node"), "open-nodes")
+        return cut_lineage(joined.mapInArrow(run, "a long, b long"), "likely")
+
+    def still_open(self, opened: DataFrame) -> DataFrame:
+        """Members of the nodes that were not compared in full, for the next level."""
+        return opened.where(F.col("outside") > self.leaf).select("node", "cid")
+
+    def prefix_pairs(self, members: DataFrame) -> DataFrame:
+        """All pairs of the members' classes that can reach the threshold, by prefixes of their token lists."""
+        num, den = self.num, self.den
+
+        def run(batches):
+            for batch in batches:
+                for cid, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    tokens = np.frombuffer(words.as_buffer(), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(np.full(len(tokens), cid))], names=["token", "cid"])
+
+        wanted = members.select("cid").distinct().join(self.classes.select("cid", "rep"), "cid").select("rep", "cid", F.col("cid").alias("hub"))
+        sets = self.with_sets(wanted).groupBy("cid").agg(F.first("words").alias("words"))
+        tokens = cut_lineage(sets.mapInArrow(run, "token long, cid long"), "tokens")
+        common = tokens.groupBy("token").agg(F.count("*").alias("f"))
+        place = F.row_number().over(Window.partitionBy("cid").orderBy("f", "token"))
+        n = F.col("n")
+        placed = (tokens.join(common, "token").withColumn("place", place).join(self.classes.select("cid", "n"), "cid")
+                  .where(F.col("place") <= n - F.ceil(n * num / den) + 1).where("f > 1"))
+        placed = cut_lineage(placed.join(self.labels.toDF("cid", "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid")), "prefixes")
+        # the shorter set (or, at equal sizes, the smaller id) needs the token in a shorter prefix
+        short = placed.where(F.col("place") <= n - F.ceil(n * (2 * num) / (num + den)) + 1)
+        x, y = (t.select("token", F.struct("cid", "n", "place", "root").alias(c)) for t, c in ((short, "x"), (placed, "y")))
+        x_, y_ = F.col("x"), F.col("y")
+        most = 1 + F.least(x_["n"] - x_["place"], y_["n"] - y_["place"])
+        fits = ((x_["root"] != y_["root"]) & ((x_["n"] < y_["n"]) | (x_["n"] == y_["n"]) & (x_["cid"] < y_["cid"]))
+                & (x_["n"] * den >= y_["n"] * num) & (most * (num + den) >= (x_["n"] + y_["n"]) * num))
+        return x.join(y, "token").where(fits).select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
+
+    def windows(self, members: DataFrame) -> DataFrame:
+        """Nodes split by set size: bands of one threshold ratio, two neighbouring bands in a window."""
+        band = F.floor(F.log(F.col("n").cast("double")) / -math.log(self.share)).cast("int")
+        sized = members.join(self.classes.select("cid", "n"), "cid")
+        return sized.select("cid", "node", F.explode(F.array(band, band + 1)).alias("band")).select(F.xxhash64("node", "band").alias("node"), "cid")
 
     def branch(self, members: DataFrame) -> DataFrame:
-        """Members of the next level's nodes."""
+        """Children by chosen minwise tokens."""
         share = self.share
-        below = members.groupBy("cid").agg(F.collect_list("node").alias("nodes"))  # some per tree
 
         def run(batches):
+            at = np.arange(BINS, dtype=np.uint64) << np.uint64(16)
             for batch in batches:
-                cids, kids, sizes = [], [], []
-                for cid, nodes, words in zip(*(batch.column(i) for i in range(3)), strict=True):
-                    s = np.frombuffer(words.as_buffer(), np.uint64)
-                    found = np.unique(_children(s, np.array(nodes.as_py(), np.int64).view(np.uint64), share)).view(np.int64)
-                    cids += [cid.as_py()] * len(found)
-                    sizes += [len(s)] * len(found)
-                    kids += found.tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (kids, cids, sizes)], names=["node", "cid", "n"])
-
-        return cut_lineage(below.join(self.sets_of(members), "cid").select("cid", "nodes", "words")
-                           .mapInArrow(run, "node long, cid long, n long"), "members")
+                taken, nodes = [], []
+                for i, (node, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+                    least = np.frombuffer(raw.as_buffer(), "<u2")
+                    used = least != 0xFFFF
+                    kids, _ = _children(mix(at[used] | least[used].astype(np.uint64)), np.array([node], np.int64).view(np.uint64), share)
+                    taken += [i] * len(kids)
+                    nodes += kids.view(np.int64).tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(2).take(pa.array(taken, pa.int64()))], names=["node", "cid"])
+
+        named = members.join(self.classes.select("cid", "minwise"), "cid").select("node", "minwise", "cid")
+        return named.mapInArrow(run, "node long, cid long")
+
+
+@contextmanager
+def _batch_rows(spark, rows: int):
+    """Rows of texts and sets travel to Python in smaller batches meanwhile (every job with Python ends inside)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before))) if int(before) > 0 else str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 80, den: int = 100,
-                    trees: int = 24, leaf: int = 40, depth: int = 6) -> DataFrame:
+                    trees: int = 24, leaf: int = 64, depth: int = 3, early: int = 3) -> DataFrame:
     """``key, n_shingles, component_id, kept`` for every row; ``component_id`` is the
     smallest key reachable over links with ``den * intersection >= num * union``."""
-    j = _Join(docs, key, text, width, num, den, trees, leaf)
-    # rows that share a key are one document
-    shared = j.rows.where("n > 0 and key is not null").groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z")
-    links = j.rows.where("n > 0").join(shared.select("key", "a"), "key").select("a", F.col("cid").alias("b")).where("a <> b").distinct()
-    links = cut_lineage(links, "links")
-    labels = connected(links)
-
-    def confirm(pairs: DataFrame) -> None:
-        """Adds the pairs that are links; components change only with new links."""
-        nonlocal links, labels
-        if not pairs.isEmpty():
-            new = j.confirmed(pairs)
-            if not new.isEmpty():
-                links = links.union(new)
-                labels = connected(links)
-
-    members = j.classes.select(F.explode("nodes").alias("node"), "cid", "n")
-    for level in range(depth):
-        sized = cut_lineage(j.sized(members), "nodes")
-        pairs = j.candidates(sized, labels if level else None)
-        if level == 0:  # most candidates are links: a forest of them first, then what it leaves apart
-            forest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-            confirm(cut_lineage(forest, "forest"))
-            pairs = cut_lineage(j.apart(pairs.join(forest, ["a", "b"], "left_anti"), labels), "rest")
-        confirm(pairs)
-        members = j.unresolved(sized, labels)
-        if members.isEmpty():
-            break
-        if level < depth - 1:
-            members = j.branch(members)
-        else:
-            outside = members.where("root <> top").select("node", F.col("cid").alias("x"), F.col("root").alias("rx"))
-            every = members.select("node", F.col("cid").alias("y"), F.col("root").alias("ry"))
-            pairs = outside.join(every, "node").where("rx <> ry").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            confirm(cut_lineage(j.similar_sketches(pairs), "candidates"))
-    named = j.classes.select("cid", "rep").join(labels.toDF("cid", "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    with _batch_rows(docs.sparkSession, 2000):
+        j = _Join(docs, key, text, width, num, den, trees, leaf, early)
+        pairs = j.pairs(j.opened(j.members(F.slice("nodes", F.lit(1), F.col("early")))))
+        j.confirm(cut_lineage(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "forest"))
+        members, found = j.members("nodes"), []
+        for level in range(depth):
+            opened = j.opened(members)
+            if opened.isEmpty():
+                break
+            found.append(cut_lineage(j.pairs(opened), "pairs"))
+            if level == 0:  # later levels find few links: their candidates are confirmed together
+                j.confirm(j.likely(found.pop()))
+            members = j.still_open(opened)
+            if members.isEmpty():
+                break
+            if level == depth - 1:
+                found.append(cut_lineage(j.prefix_pairs(members), "pairs"))
+            else:
+                members = cut_lineage(j.branch(members) if level else j.windows(members), "members")
+        if found:
+            j.confirm(j.likely(reduce(DataFrame.union, found).distinct()))
+    named = j.classes.select("cid", "rep").join(j.labels.toDF("cid", "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
     final = cut_lineage(named.join(least, "root").select("cid", "component"), "components")
     out = j.rows.select("key", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")).join(final, "cid", "left")
