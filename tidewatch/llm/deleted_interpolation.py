@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.words import LOWER, NON_SPACE, blocks, mix, span_hashes, word_spans
 from tidewatch.session import cut_lineage
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
 END = np.uint64(0x5851F42D4C957F2D)
 LEVELS = 32  # context-frequency buckets: 0, 1, 2-3, 4-7, ...
