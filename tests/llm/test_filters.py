@@ -85,6 +85,23 @@ def test_rules_adapt_to_groups(spark):
     assert adaptive_rules.judge(docs.limit(0), ["doc_id"], ["lang", "source"]).count() == 0
 
 
+def test_repetition_below_the_base_limit_is_judged_by_its_group(spark):
+    def text(i, n, copies):
+        """``n`` lines of 20 words, of which one line takes ``copies``."""
+        line = lambda k: " ".join(f"w{i}x{k}x{j}" for j in range(20))
+        return "\n".join([line(0)] * copies + [line(k) for k in range(1, n - copies + 1)])
+
+    rows = [(i, text(i, 20, 1), "en", "clean") for i in range(80)]
+    rows += [(100 + i, text(100 + i, 20, 2 + i % 5), "en", "repetitive") for i in range(80)]
+    # 25 % of the words in repeats, 20 % of the lines copies
+    rows += [(300, text(300, 20, 5), "en", "clean"), (301, text(301, 20, 5), "en", "repetitive")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in adaptive_rules.judge(docs, ["doc_id"], ["lang", "source"]).collect()}
+    assert not got[300].base_failed and not got[301].base_failed
+    assert not got[300].kept and got[300].failed_rules == ["dup_lines", "repeats"]
+    assert all(r.kept for k, r in got.items() if k != 300)
+
+
 def bags(rng, n):
     xs, ys = [], []
     for _ in range(n):

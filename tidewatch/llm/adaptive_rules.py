@@ -32,6 +32,7 @@ WINDOW = 8
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+MEASURED = (*COUNTS, "n_lines")  # lines with a word: only the rules need them
 
 
 @dataclass(frozen=True)
@@ -48,13 +49,14 @@ RULES = (
     Rule("word_length", "word_chars / n_words", 0.5),
     Rule("short_words", "word_chars / n_words", 0.5, low=True),
     Rule("symbols", "n_symbols / n_words", 0.02),
-    Rule("dup_lines", "n_dup_lines / n_words", 0.01),
-    Rule("repeats", "n_repeat_words / n_words", 0.05),
+    # a clean group's fence is at 18 %, below the 30 % of the base rule
+    Rule("dup_lines", "n_dup_lines / n_lines", 0.03),
+    Rule("repeats", "n_repeat_words / n_words", 0.03),
 )
 
 
 def text_counts(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
-    """The counts of ``COUNTS`` for some texts."""
+    """The counts of ``MEASURED`` for some texts."""
     n = len(offs) - 1
     starts, ends, first = word_spans(buf, offs, NON_SPACE)
     points = code_points(buf)
@@ -72,8 +74,9 @@ def text_counts(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     begin, end, doc = begin[worded], end[worded], doc[worded]
     line = mix(span_hashes(buf, begin, end) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     kinds = np.unique(line, return_index=True)[1]
-    n_dup = np.bincount(doc, minlength=n) - np.bincount(doc[kinds], minlength=n)
-    return [n_words, word_chars, symbols[offs[1:]] - symbols[offs[:-1]], n_dup, _repeat_words(span_hashes(buf, starts, ends), first)]
+    n_lines = np.bincount(doc, minlength=n)
+    n_dup = n_lines - np.bincount(doc[kinds], minlength=n)
+    return [n_words, word_chars, symbols[offs[1:]] - symbols[offs[:-1]], n_dup, _repeat_words(span_hashes(buf, starts, ends), first), n_lines]
 
 
 def _repeat_words(words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -104,15 +107,15 @@ def measure(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            found = [[np.zeros(0, np.int64)] for _ in COUNTS]
+            found = [[np.zeros(0, np.int64)] for _ in MEASURED]
             for _, _, buf, offs in blocks(batch.column("body")):
                 for into, values in zip(found, text_counts(buf, offs), strict=True):
                     into.append(values)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(np.concatenate(v), pa.int64()) for v in found)],
-                                             names=[*names, *COUNTS])
+                                             names=[*names, *MEASURED])
 
-    out = source.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in names), *(f"{c} long" for c in COUNTS)]))
-    return out.toDF(*keep, *COUNTS)
+    out = source.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in names), *(f"{c} long" for c in MEASURED)]))
+    return out.toDF(*keep, *MEASURED)
 
 
 def base_failed() -> Column:
