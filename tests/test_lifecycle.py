@@ -76,6 +76,51 @@ def test_strength_ladder_reproduces_history_rule(spark):
     assert got[13] == pytest.approx(0.8) and got[12] == pytest.approx(min(0.1 * 1.2 ** 11, 0.8))
 
 
+def test_folds_are_stratified_and_ignore_the_partitioning(spark):
+    m = fx.model_table(spark, SF_SMALL).select("o_orderkey", "segment")
+    a = lc.stratified_folds(m, "segment", "o_orderkey", bucket_rows=50)
+    b = lc.stratified_folds(m.repartition(7, "segment"), "segment", "o_orderkey")
+    assert sorted(a.collect()) == sorted(b.collect()) and a.count() == m.count()
+    sizes = {}
+    for r in a.groupBy("segment", "fold").count().collect():
+        sizes.setdefault(r["segment"], {})[r["fold"]] = r["count"]
+    for by_fold in sizes.values():
+        assert set(by_fold) == set(range(lc.FOLDS))
+        assert max(by_fold.values()) - min(by_fold.values()) <= 1
+
+
+def test_registered_model_queries_take_the_reference_sizes(spark, monkeypatch):
+    from tidewatch.plans import eval_plans
+
+    made, folded = [], []
+    pipeline, folds = lc.rf_pipeline, lc.stratified_folds
+
+    def small(features, label, **kw):  # the sizes asked for are kept, the fit itself is small
+        made.append(pipeline(features, label, **kw).getStages()[-1].extractParamMap())
+        return pipeline(features, label, num_trees=2, max_depth=3)
+
+    monkeypatch.setattr(lc, "rf_pipeline", small)
+    monkeypatch.setattr(lc, "stratified_folds", lambda d, *a, **k: folded.append(a) or folds(d, *a, **k))
+    monkeypatch.setattr(eval_plans, "_FITTED", {})
+    monkeypatch.setattr(eval_plans, "_DEPTHS", (2, 3))
+    monkeypatch.setattr(lc.CrossValidator, "fit", lambda cv, d: _stop(cv))
+    for name in ("q_cv_scores", "q_rf_predict"):
+        with pytest.raises(_Stopped) as found:
+            getattr(eval_plans, name)(spark, SF_SMALL)
+        cv = found.value.args[0]
+        assert cv.getNumFolds() == 5 and cv.getFoldCol() == "fold"
+    params = [{p.name: v for p, v in m.items()} for m in made]
+    assert all(p["numTrees"] == 100 and p["maxDepth"] == 30 for p in params) and len(folded) == 2
+
+
+class _Stopped(Exception):
+    pass
+
+
+def _stop(cv):
+    raise _Stopped(cv)
+
+
 def test_model_fit_save_load_and_quality(spark):
     m = lc.encode_features(fx.model_table(spark, "/root/testdata/sf0.01"), fx.M_CAT)
     feats = (*fx.M_NUM, *fx.M_CAT)
