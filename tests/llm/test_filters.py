@@ -161,6 +161,18 @@ def brute_base(rows):
     return [(len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)) for ws in tokens], c
 
 
+def test_lm_totals_beyond_32_bits(spark):
+    squeeze = deleted_interpolation._squeeze
+    keys, counts = squeeze(np.array([5, 4], dtype="<u8")), squeeze(np.array([3_000_000_000, 1], dtype="<u4"))  # keys as differences
+    sent = spark.createDataFrame([(0, 1, c, keys, counts) for c in (1, 2)], "bucket int, size int, chunk long, keys binary, counts binary")
+    got = deleted_interpolation._added(sent).collect()
+    assert sorted(r.tokens for r in got if r.chunk is None) == [6_000_000_002]
+    for r in got:
+        if r.chunk is not None:
+            one, context, two = deleted_interpolation._counts(r.totals, r.totals, 7)
+            assert one.tolist() == two.tolist() == [6_000_000_000, 2] and context.tolist() == [7, 6_000_000_000]
+
+
 def test_lm_counts_and_model(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(5, TEXTS[5]), (None, "no id"), (None, None)]
     train = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 != 2

@@ -156,13 +156,13 @@ def _added(sent: DataFrame) -> DataFrame:
         counts = np.concatenate([_unsqueeze(c.as_buffer(), "<u4") for c in table.column("counts")])
         distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(which, weights=counts, minlength=len(distinct)).astype(np.int64)
-        answers = np.split(total[which].astype("<u4"), np.cumsum([len(k) for k in keys])[:-1])
+        asked = np.split(which, np.cumsum([len(k) for k in keys])[:-1])
         n = len(keys) + 1
         return pa.table({
             "chunk": pa.array([*table.column("chunk").to_pylist(), None], pa.int64()),
             "size": pa.array([table.column("size")[0].as_py()] * n, pa.int32()),
             "bucket": pa.array([table.column("bucket")[0].as_py()] * n, pa.int32()),
-            "totals": pa.array([*(_squeeze(a) for a in answers), None], pa.binary()),
+            "totals": pa.array([*(_squeeze(total[a].astype("<u8")) for a in asked), None], pa.binary()),
             "types": pa.array([None] * (n - 1) + [int((total > 0).sum())], pa.int64()),
             "tokens": pa.array([None] * (n - 1) + [int(total.sum())], pa.int64())})
 
@@ -182,7 +182,7 @@ def _looked_up(chunks: DataFrame, totals: DataFrame, kind: str) -> DataFrame:
         uni, bi, bounds = _parts(part)
         found = []
         for n, grams in ((1, uni), (2, bi)):
-            answers = np.concatenate([_unsqueeze(table.column("data")[i].as_buffer(), "<u4") for i in order if size[i] == n])
+            answers = np.concatenate([_unsqueeze(table.column("data")[i].as_buffer(), "<u8") for i in order if size[i] == n])
             found.append(answers[np.unique(grams, return_inverse=True)[1]])
         cuts = [[_squeeze(c[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)] for c in found]
         return pa.table({"key": part.column("key"), "train": part.column("train"), "n_tokens": pa.array(np.diff(bounds)),
@@ -198,8 +198,8 @@ def _level(context: np.ndarray) -> np.ndarray:
 
 def _counts(one: bytes, two: bytes, ends: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts of a text's tokens, of their contexts and of the bigrams."""
-    c1 = _unsqueeze(one, "<u4").astype(np.int64)
-    return c1, np.r_[ends, c1[:-1]], _unsqueeze(two, "<u4").astype(np.int64)
+    c1 = _unsqueeze(one, "<u8").astype(np.int64)
+    return c1, np.r_[ends, c1[:-1]], _unsqueeze(two, "<u8").astype(np.int64)
 
 
 def _cell(estimate: np.ndarray) -> np.ndarray:
