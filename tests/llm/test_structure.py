@@ -322,6 +322,29 @@ def test_chat_awkward_rows(spark):
     assert chat_format.format_conversations(turns.limit(0)).count() == 0
 
 
+def test_long_conversations_are_many_rows(spark):
+    rng = random.Random(4)
+    said = [(rng.choice(["user", "assistant", "system", "odd"]), rng.choice(["</s>", "é [INST]", ""]) + "x" * rng.randrange(60)) for _ in range(400)]
+    rows = [(c, i // 2, r, t) for c in (None, 7) for i, (r, t) in enumerate(said)] + [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
+    turns = spark.createDataFrame(rows + [(7, 5, "user", "same")] * 50, "conv_id long, turn long, role string, text string").repartition(6)
+    pieces = chat_format.format_conversations(turns, piece_chars=500)
+    got = sorted(pieces.collect(), key=lambda r: (str(r.conv_id), r.part, r.piece))
+    digests = {r.conv_id: r for r in chat_format.read_back(pieces).collect()}
+    made = chat_format.Formatter(chat_format.Template())
+    assert set(digests) == {None, 7, 1}
+    for c in digests:
+        want = [x[2:] for x in sorted([*rows, *[(7, 5, "user", "same")] * 50], key=lambda x: x[1:]) if x[0] == c]
+        formatted, segments = made.render(want)
+        mine = [r for r in got if r.conv_id == c]
+        assert "".join(r.formatted for r in mine) == formatted and [tuple(s) for r in mine for s in r.segments] == segments
+        assert (mine[-1].valid, mine[-1].wrong_steps) == made.check([r for r, _ in want]) and mine[-1].n_turns == len(want)
+        assert max(len(r.formatted) for r in mine) < 2_000 and (c == 1 or len(mine) > 5)
+        assert digests[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in want).encode()).hexdigest()
+        masked = "".join(t for r, t in want if r == "assistant")
+        assert digests[c].loss_sha256 == hashlib.sha256(masked.encode()).hexdigest() and digests[c].loss_chars == len(masked)
+        assert digests[c].formatted_chars == len(formatted) and digests[c].valid == mine[-1].valid
+
+
 # --- personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
