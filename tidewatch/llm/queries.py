@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
-    adaptive_rules, attention_mil, chat_format, chosen_path, deleted_interpolation, fm_decontam, url_reputation,
-    vector_packing, virtual_slots, weak_pii)
+    adaptive_rules, attention_mil, chat_format, chosen_path, deleted_interpolation, fm_decontam, piece_table,
+    square_catcher, url_reputation, vector_packing, virtual_slots, warc_archive, weak_pii)
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -144,3 +144,70 @@ def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = adaptive_rules.judge(table(spark, sf_dir, "documents"), ["doc_id"], ["lang", "source"])
     return judged.select("doc_id", *adaptive_rules.COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+@query
+def op11_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    kind = pages.schema["page_id"].dataType
+    path = warc_archive.write_archives(pages, warc_archive.archive_path(spark), least_bytes=0)
+    return warc_archive.read_archives(spark, path, with_payload=False).select(
+        warc_archive.key_of(F.col("record_id")).cast(kind).alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"),
+        warc_archive.key_of(F.col("refers_to")).cast(kind).alias("refers_to"), "error")
+
+
+ORACLE["op11_warc_zstd"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages),
+g AS (SELECT digest, strlen(html) AS bytes, min(page_id) AS head FROM p GROUP BY 1, 2)
+SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(p.digest, (i // 4) * 5 + 1, 5) AS BIGINT)
+    >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1) FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN p.page_id IS DISTINCT FROM g.head AND g.head IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.page_id IS DISTINCT FROM g.head THEN g.head END AS refers_to, CAST(NULL AS VARCHAR) AS error
+FROM p JOIN g ON g.digest = p.digest AND g.bytes = strlen(p.html)"""
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Texts whose key draws a repetition: from word ``a`` on, the first ``p`` of the words that follow, over and over."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    planted = docs.select("doc_id", "text", (h % 10 == 0).alias("drawn"), F.floor(h / 10).alias("g"))
+    planted = planted.withColumn("words", F.when(F.col("drawn"), words)).withColumn("n", F.size("words").cast("long"))
+    planted = planted.withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.array_join(F.expr("transform(words, (w, i) -> CASE WHEN i < a THEN w ELSE words[CAST(a + (i - a) % p AS INT)] END)"), " ")
+    return planted.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_square_catcher(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = square_catcher.find_runs(docs, ["doc_id"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    top = F.col("greatest")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *[top[c].alias(c) for c in ("start", "length", "period")],
+                        F.expr("(1000 * greatest.length) div greatest.period").alias("exponent_milli"),
+                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = piece_table.fill_in_middle(table(spark, sf_dir, "documents"), ["doc_id"])
+    columns = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    return piece_table.restore(cut, columns, with_text=False)
+
+
+ORACLE["op13_piece_table"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (
+  SELECT doc_id, t, length(t) AS n, {', '.join(f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))} FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+o AS (
+  SELECT *, substr(t, 1, low) AS prefix, substr(t, low + 1, high - low) AS middle, substr(t, high + 1) AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(low AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(high - low AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM o"""

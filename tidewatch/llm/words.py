@@ -42,16 +42,15 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
-_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+PIECE_BYTES = 1 << 18
+_powers: tuple[np.ndarray, np.ndarray] | None = None
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _power_tables() -> tuple[np.ndarray, np.ndarray]:
     global _powers
-    if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-
+    if _powers is None:
         def table(base: int) -> np.ndarray:
-            p = np.full(size, base, dtype=np.uint64)
+            p = np.full(PIECE_BYTES + 1, base, dtype=np.uint64)
             p[0] = 1
             return np.multiply.accumulate(p)
 
@@ -61,11 +60,35 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of every byte span: differences of one running polynomial
-    sum, moved to a common power, so the cost is one pass over the bytes."""
-    up, down = _power_tables(len(buf) + 1)
-    total = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[buf] * up[: len(buf)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    sum, moved to a common power, so the cost is one pass over the bytes.
+    Neither starts nor ends may fall. The bytes go through in pieces of whole
+    spans, so memory beyond the result does not grow with the text."""
+    up, down = _power_tables()
+    out = np.empty(len(starts), dtype=np.uint64)
+    total = np.zeros(PIECE_BYTES + 1, dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        base = int(starts[i])
+        j = int(np.searchsorted(ends, base + PIECE_BYTES, side="right"))
+        if j <= i:
+            out[i] = _long_span(buf[base: int(ends[i])], up)
+            i += 1
+            continue
+        piece = buf[base: int(ends[j - 1])]
+        np.cumsum(_BYTE[piece] * up[: len(piece)], out=total[1: len(piece) + 1])
+        first = starts[i:j] - base
+        out[i:j] = (total[ends[i:j] - base] - total[first]) * down[first]
+        i = j
+    return mix(out + (ends - starts).astype(np.uint64))
+
+
+def _long_span(span: np.ndarray, up: np.ndarray) -> np.uint64:
+    """Polynomial sum of a span longer than a piece."""
+    total = 0
+    for k in range(0, len(span), PIECE_BYTES):
+        piece = span[k: k + PIECE_BYTES]
+        total += int(np.sum(_BYTE[piece] * up[: len(piece)], dtype=np.uint64)) * pow(_BASE, k, 1 << 64)
+    return np.uint64(total % (1 << 64))
 
 
 def blocks(texts: pa.Array, block_bytes: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
