@@ -93,12 +93,79 @@ def test_scaled_bucket_count_same_statistics(spark, monkeypatch):
     monkeypatch.setattr(drift, "ROWS_PER_BUCKET", 50)
     dv = drift.distinct_values(long)
     assert drift.scaled_buckets(dv, (), 16) > 16
-    b = {r["feature"]: r for r in drift.numeric_tests(long, (), 4, 16, False).select(*cols).collect()}
+    b = {r["feature"]: r for r in drift.numeric_tests(long, (), 4, 1, False).select(*cols).collect()}
     for f in fx.L_NUM:
         for c in cols[1:]:
             assert a[f][c] == pytest.approx(b[f][c], rel=1e-9, abs=1e-12), (f, c)
 
 
+def levene(a, b):
+    za, zb = np.abs(a - np.median(a)), np.abs(b - np.median(b))
+    z = np.concatenate([za, zb])
+    between = len(za) * (za.mean() - z.mean()) ** 2 + len(zb) * (zb.mean() - z.mean()) ** 2
+    return (len(z) - 2) * between / (((za - za.mean()) ** 2).sum() + ((zb - zb.mean()) ** 2).sum())
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+@pytest.mark.parametrize("shape", ["two hills", "far", "skewed", "tied"])
+def test_levene_keeps_its_digits(spark, buckets, shape):
+    """Spreads that sums of squares would lose: distances of about 1e8 from the median."""
+    rng = np.random.default_rng(5)
+
+    def sample(n, spread):
+        x = rng.normal(0, spread, n)
+        return {"two hills": np.where(np.arange(n) % 2 == 0, -1e8, 1e8) + x, "far": 1e8 + x, "skewed": np.exp(3 * x / spread) * spread, "tied": np.round(x)}[shape]
+
+    a, b = sample(1500, 1.0), sample(1001, 3.0)
+    df = _frame(spark, a.tolist(), b.tolist())
+    row = drift.numeric_tests(to_long(df, ["x"]), (), 1, buckets, with_p=False).first()
+    assert row["levene_statistic"] == pytest.approx(levene(a, b), rel=1e-7 if shape == "two hills" else 1e-9)
+    assert row["median_ref"] == np.median(a) and row["median_cur"] == np.median(b)
+    assert row["var_ref"] == pytest.approx(a.var(ddof=1), rel=1e-9) and row["mean_cur"] == pytest.approx(b.mean(), rel=1e-12)
+
+
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_segments_in_buckets_match_brute_force(spark, buckets):
+    rng = np.random.default_rng(2)
+    rows = [(None if g == 2 else f"g{g}", "ref" if i % 3 else "cur", float(np.round(rng.normal(g, 1 + g), 2)) if i % 11 else None) for g in range(4) for i in range(90 * (g + 1))]
+    df = spark.createDataFrame(rows, "seg string, cohort string, x double")
+    got = {r["seg"]: r for r in drift.numeric_tests(to_long(df, ["x"], ["seg"]), ("seg",), 1, buckets, with_p=False).collect()}
+    for seg in {r[0] for r in rows}:
+        a, b = (np.array([r[2] for r in rows if r[0] == seg and r[1] == c and r[2] is not None]) for c in ("ref", "cur"))
+        grid = np.union1d(a, b)
+        gap = np.abs(np.searchsorted(np.sort(a), grid, side="right") / len(a) - np.searchsorted(np.sort(b), grid, side="right") / len(b))
+        r = got[seg]
+        assert (r["n_ref"], r["n_cur"], r["median_ref"], r["median_cur"]) == (len(a), len(b), np.median(a), np.median(b))
+        assert r["ks_statistic"] == pytest.approx(gap.max(), abs=1e-12)
+        assert r["wasserstein_distance"] == pytest.approx((gap[:-1] * np.diff(grid)).sum(), rel=1e-9)
+        assert r["levene_statistic"] == pytest.approx(levene(a, b), rel=1e-9)
+        assert r["var_cur"] == pytest.approx(b.var(ddof=1), rel=1e-9)
+
+
+def test_a_bad_feature_is_reported_and_the_others_are_judged(spark):
+    ref = spark.createDataFrame([(float(i % 7), str(i), [i], f"c{i % 3}") for i in range(60)], "x double, s string, a array<int>, c string")
+    cur = spark.createDataFrame([(float(i % 7) + 3, "n/a" if i == 5 else str(i), [i], f"c{i % 3}") for i in range(60)], "x double, s string, a array<int>, c string")
+    spec = FeatureSpec(numerical=("x", "s", "a"), categorical=("c",))
+    got = {r["feature"]: r for r in drift.feature_drift(tag_cohorts(ref, cur), spec).collect()}
+    assert got["s"]["method"] == "error" and got["s"]["error"] == "1 values are no numbers" and got["s"]["ks_statistic"] is None
+    assert got["a"]["method"] == "error" and got["a"]["error"] == "120 values are no numbers"
+    assert not got["s"]["drift_detected"] and got["s"]["p_value"] == 1.0 and got["s"]["severity"] == "NONE"
+    assert got["x"]["method"] == "statistical_tests" and got["x"]["drift_detected"] and got["x"]["error"] is None
+    assert got["c"]["method"] == "categorical_tests"
+    only_numbers = tag_cohorts(ref.drop("a"), cur.where("s <> 'n/a'").drop("a"))
+    fine = {r["feature"]: r for r in drift.feature_drift(only_numbers, FeatureSpec(numerical=("s",))).collect()}
+    assert fine["s"]["method"] == "statistical_tests" and fine["s"]["ks_statistic"] is not None
+    features, dataset = drift.detect(tag_cohorts(ref, cur), spec)
+    assert dataset.first()["total_features"] == 4 and dataset.first()["n_drifted_features"] == 1
+
+
+def test_a_spread_only_shift_is_detected(spark):
+    rng = np.random.default_rng(8)
+    df = _frame(spark, rng.normal(5, 1, 800).tolist(), rng.normal(5, 1.4, 800).tolist())
+    row = drift.feature_drift(df, FeatureSpec(numerical=("x",))).first()
+    assert abs(row["effect_size"]) < 0.1 and row["levene_p_value"] < 0.001 and row["drift_detected"]
+
+
 def test_brute_force_on_fixture(spark):
     pdf = fx.lineitem_cohorts(spark, SF_SMALL).toPandas()
     res = {r["feature"]: r for r in

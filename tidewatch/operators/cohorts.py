@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from tidewatch.spec import FeatureSpec
 
@@ -45,6 +45,18 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+def as_number(df: DataFrame, name: str) -> tuple[Column, Column]:
+    """A column as DOUBLE (NaN as NULL) and whether a value is no number.
+    Strings are parsed; other types that are no numbers fail as a whole."""
+    kind, c = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (NumericType, BooleanType)):
+        return nan_to_null(c.cast("double")), F.lit(False)
+    if isinstance(kind, StringType):
+        number = c.try_cast("double")
+        return nan_to_null(number), c.isNotNull() & number.isNull()
+    return F.lit(None).cast("double"), c.isNotNull()
+
+
 def to_long(df: DataFrame, features: Sequence[str], keys: Iterable[str] = (),
             as_string: bool = False) -> DataFrame:
     """Unpivot features into ``(keys..., cohort, feature, value)``.
@@ -57,6 +69,6 @@ def to_long(df: DataFrame, features: Sequence[str], keys: Iterable[str] = (),
     if as_string:
         cols = [F.col(f).cast("string").alias(f) for f in features]
     else:
-        cols = [nan_to_null(F.col(f).cast("double")).alias(f) for f in features]
+        cols = [as_number(df, f)[0].alias(f) for f in features]
     wide = df.select(*[F.col(k) for k in keys], F.col("cohort"), *cols)
     return wide.unpivot(keys + ["cohort"], list(features), "feature", "value")

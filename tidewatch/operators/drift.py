@@ -3,12 +3,15 @@
 Plan shape for one cohort-tagged table (any number of segment keys):
 
 * numeric features are unpivoted to ``(keys, cohort, feature, value)``;
-  - one partial/final aggregate gives count / mean / var / min / max per
-    cohort (Cohen's d, Welch t);
-  - one aggregate to distinct values gives ``(value, c_ref, c_cur)``; running
-    sums inside value buckets plus broadcast bucket offsets give the two ECDFs
-    (KS D, Wasserstein, exact medians) without putting a whole feature in
-    one task; medians then give Levene (Brown-Forsythe) from the same table;
+  - one aggregate to distinct values gives ``(value, c_ref, c_cur)``;
+  - one pass over that table, dealt by value bucket, gives every statistic:
+    running sums inside a bucket plus the bucket's offsets are the two ECDFs
+    (KS D, Wasserstein, exact medians), and each bucket's rows below and above
+    the cohort's median rank leave a mergeable state (count, mean, M2), from
+    which mean, variance and Levene (Brown-Forsythe) follow without sums of
+    squares that cancel and without a second pass;
+  - a value that is no number is counted, not thrown: its feature is reported
+    with method ``error`` and the others are judged;
 * categorical features are unpivoted as strings and counted per
   ``(feature, category)`` (chi-square with Yates for 2 levels, PSI,
   low-count proportion fallback);
@@ -23,9 +26,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.tails import tail_prob
-from tidewatch.operators.cohorts import CUR, REF, to_long
+from tidewatch.operators.cohorts import CUR, REF, as_number, to_long
 from tidewatch.operators.small import bound, join_on, join_small
-from tidewatch.session import cut_lineage
+from tidewatch.session import cut_lineage, cut_lineage_sized
 from tidewatch.spec import DEFAULT_THRESHOLDS, DriftThresholds, FeatureSpec
 
 
@@ -101,21 +104,25 @@ def distinct_values(long: DataFrame, keys: Sequence[str] = (), keep_null: bool =
 def value_table(df: DataFrame, numerical: Sequence[str], categorical: Sequence[str],
                 keys: Sequence[str] = ()) -> DataFrame:
     """ONE scan and ONE shuffle for every feature of a cohort-tagged frame:
-    (keys, feature, value DOUBLE, category STRING, c_ref, c_cur), one row per
-    distinct numeric value / category (NULL rows kept for presence)."""
-    null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
-    cols = [F.struct(_nan_null(F.col(f).cast("double")).alias("num"), null_s.alias("cat")).alias(f)
-            for f in numerical]
-    cols += [F.struct(null_d.alias("num"), F.col(f).cast("string").alias("cat")).alias(f) for f in categorical]
+    (keys, feature, value DOUBLE, category STRING, failed, c_ref, c_cur), one
+    row per distinct numeric value / category (NULL rows kept for presence).
+    Values of a numeric feature that are no numbers share one row, ``failed``."""
+    null_s = F.lit(None).cast("string")
+    cols = []
+    for f in numerical:
+        value, failed = as_number(df, f)
+        cols.append(F.struct(value.alias("num"), null_s.alias("cat"), failed.alias("failed")).alias(f))
+    cols += [F.struct(F.lit(None).cast("double").alias("num"), F.col(f).cast("string").alias("cat"), F.lit(False).alias("failed")).alias(f)
+             for f in categorical]
     wide = df.select(*[F.col(k) for k in keys], F.col("cohort"), *cols)
     long = wide.unpivot([*keys, "cohort"], [*numerical, *categorical], "feature", "v")
-    return (long.groupBy(*keys, "feature", F.col("v.num").alias("value"), F.col("v.cat").alias("category"))
+    return (long.groupBy(*keys, "feature", F.col("v.num").alias("value"), F.col("v.cat").alias("category"), F.col("v.failed").alias("failed"))
             .agg(F.count_if(_is_ref()).alias("c_ref"), F.count_if(_is_cur()).alias("c_cur")))
 
 
-# Scale rule of the bucketed ECDF: one window task sorts about this many
-# distinct values at most; the bounds table (groups x buckets) stays bounded.
-ROWS_PER_BUCKET = 2_000_000
+# Scale rule of the bucketed passes: one window task sorts about this many
+# distinct values of a group at most.
+ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
 MAX_BOUND_CELLS = 20_000_000
 
@@ -206,83 +213,131 @@ def ecdf(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16,
 
 
 # ------------------------------------------------------------ numeric tests
-def moments_from_values(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16) -> DataFrame:
-    """Per (keys, feature): counts, range, approximate median (``shift``) and
-    bucket bounds of the distinct values (NULL value rows count for presence only)."""
+def _placed(dv: DataFrame, keys: Sequence[str], n_features: int, buckets: int, least: int) -> DataFrame:
+    """Rows of a distinct-value table with their value bucket, the cohorts'
+    sizes, the counts below the bucket (``off_*``) and the next bucket's first
+    value. Small tables are one bucket per group: one exchange, no join. Larger
+    ones are cut at quantiles of a sketch, a group into as many buckets as its
+    own distinct values need; rows without a value get a bucket of their own."""
     k = [*keys, "feature"]
-    nn = F.col("value").isNotNull()
-    aggs = [F.coalesce(F.sum(F.when(nn, F.col("c_ref"))), F.lit(0)).alias("n_ref"),
-            F.coalesce(F.sum(F.when(nn, F.col("c_cur"))), F.lit(0)).alias("n_cur"),
-            F.min("value").alias("min_value"), F.max("value").alias("max_value"),
-            F.percentile_approx("value", 0.5, 10_000).alias("shift")]
-    if buckets > 1:
-        aggs.append(_bounds_expr(buckets).alias("bounds"))
-    return dv.groupBy(*k).agg(*aggs)
+    if buckets <= 1:
+        group = Window.partitionBy(*k)
+        return dv.withColumns({"bucket": F.lit(0), "n_ref": F.sum("c_ref").over(group), "n_cur": F.sum("c_cur").over(group),
+                               "off_ref": F.lit(0).cast("long"), "off_cur": F.lit(0).cast("long"), "next_first": F.lit(None).cast("double")})
+    sketch = dv.groupBy(*k).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"), F.count("value").alias("_m"),
+                                _bounds_expr(buckets).alias("bounds"))
+    share = F.least(F.lit(1.0), F.greatest(F.lit(least), F.ceil(F.col("_m") / ROWS_PER_BUCKET)) / buckets)
+    thinned = F.filter("bounds", lambda x, i: F.floor((i + 1) * share) > F.floor(i * share))
+    sketch = sketch.select(*k, "n_ref", "n_cur", thinned.alias("bounds"))
+    b = join_small(dv, sketch, k, bound_rows=bound(n_features, buckets, keys))
+    b = b.withColumn("bucket", F.when(F.col("value").isNull() | F.col("bounds").isNull(), -1).otherwise(_bucket("bounds", F.col("value")))).drop("bounds")
+    kb = [*k, "bucket"]
+    # dealt by bucket: the join left rows dealt by (keys, feature), which would keep a hot segment in one task
+    b = b.repartition(*[F.col(c) for c in kb])
+    totals = b.groupBy(*kb).agg(F.sum("c_ref").alias("_ref"), F.sum("c_cur").alias("_cur"), F.min("value").alias("_first"))
+    before = Window.partitionBy(*k).orderBy("bucket")
+    offsets = totals.select(*kb, *[(F.sum(f"_{c}").over(before.rowsBetween(_UNB, _NOW)) - F.col(f"_{c}")).alias(f"off_{c}") for c in ("ref", "cur")],
+                            F.lead("_first").over(before).alias("next_first"))
+    return join_small(b, offsets, kb, bound_rows=bound(n_features, buckets + 1, keys))
+
+
+_STATES = [(c, s) for c in ("ref", "cur") for s in ("lo", "hi")]
+
+
+def _bucket_states(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per (keys, feature, bucket): parts of KS D and Wasserstein, the
+    middle values, and for each cohort the states (count, mean above the
+    bucket's first value, first and second sums of the rest) of its rows up to
+    the median rank (``lo``) and beyond (``hi``)."""
+    kb = [*keys, "feature", "bucket"]
+    ordered = Window.partitionBy(*kb).orderBy("value")
+    whole = Window.partitionBy(*kb)
+    running = ordered.rowsBetween(_UNB, _NOW)
+    e = placed.withColumns({**{f"cum_{c}": F.col(f"off_{c}") + F.sum(f"c_{c}").over(running) for c in ("ref", "cur")},
+                            "_next": F.coalesce(F.lead("value").over(ordered), F.col("next_first")),
+                            "anchor": F.min("value").over(whole)})
+    for c in ("ref", "cur"):
+        low = F.col(f"cum_{c}") - F.col(f"c_{c}") < F.floor((F.col(f"n_{c}") + 1) / 2)
+        e = e.withColumns({f"w_{c}_lo": F.when(low, F.col(f"c_{c}")).otherwise(0), f"w_{c}_hi": F.when(low, 0).otherwise(F.col(f"c_{c}"))})
+    e = e.withColumn("_dev", F.col("value") - F.col("anchor"))
+    e = e.withColumns({f"m_{c}_{s}": _div(F.sum(F.col(f"w_{c}_{s}") * F.col("_dev")).over(whole), F.sum(f"w_{c}_{s}").over(whole).cast("double"))
+                       for c, s in _STATES})
+    diff = F.abs(F.col("cum_ref") / F.col("n_ref") - F.col("cum_cur") / F.col("n_cur"))
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    aggs = [F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.min("anchor").alias("anchor"), F.sum("n_failed").alias("n_failed"),
+            F.min("value").alias("min_value"), F.max("value").alias("max_value"), F.max(F.when(both, diff)).alias("ks_statistic"),
+            F.sum(F.when(both, diff * (F.col("_next") - F.col("value")))).alias("wasserstein_distance")]
+    for c in ("ref", "cur"):
+        aggs += [F.max(F.when(F.col(f"w_{c}_lo") > 0, F.col("value"))).alias(f"v1_{c}"),
+                 F.min(F.when(F.col(f"cum_{c}") >= F.floor(F.col(f"n_{c}") / 2) + 1, F.col("value"))).alias(f"v2_{c}")]
+    for c, s in _STATES:
+        rest = F.col("_dev") - F.col(f"m_{c}_{s}")
+        aggs += [F.sum(f"w_{c}_{s}").cast("double").alias(f"w_{c}_{s}"), F.max(f"m_{c}_{s}").alias(f"m_{c}_{s}"),
+                 F.sum(F.col(f"w_{c}_{s}") * rest).alias(f"r1_{c}_{s}"), F.sum(F.col(f"w_{c}_{s}") * rest * rest).alias(f"r2_{c}_{s}")]
+    return e.groupBy(*kb).agg(*aggs)
+
+
+def _merged_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Statistics per (keys, feature) from the states of its buckets, merged as
+    counts, means and M2 (means taken from a common origin, so that values far
+    from zero lose nothing)."""
+    k = [*keys, "feature"]
+    group = Window.partitionBy(*k)
+    out = states.withColumns({**{f"median_{c}": (F.max(f"v1_{c}").over(group) + F.min(f"v2_{c}").over(group)) / 2 for c in ("ref", "cur")},
+                              "_origin": F.min("anchor").over(group)})
+    terms: dict[str, Column] = {}
+    for c, s in _STATES:
+        w, r1, r2 = (F.col(f"{x}_{c}_{s}") for x in ("w", "r1", "r2"))
+        mean = F.col(f"m_{c}_{s}") + _div(r1, w)  # above the bucket's first value
+        middle = F.col(f"median_{c}") - F.col("anchor")
+        terms[f"x_{c}_{s}"] = F.col("anchor") - F.col("_origin") + mean
+        terms[f"z_{c}_{s}"] = middle - mean if s == "lo" else mean - middle  # mean distance to the median
+        terms[f"q_{c}_{s}"] = F.greatest(F.lit(0.0), F.coalesce(r2 - _div(r1 * r1, w), F.lit(0.0)))
+    out = out.withColumns(terms)
+    means = {}
+    for c in ("ref", "cur"):
+        for v in ("x", "z"):
+            part = sum(F.coalesce(F.col(f"w_{c}_{s}") * F.col(f"{v}_{c}_{s}"), F.lit(0.0)) for s in ("lo", "hi"))
+            means[f"{v}_{c}"] = _div(F.sum(part).over(group), F.col(f"n_{c}").cast("double"))
+    out = out.withColumns(means)
+    first = ["n_ref", "n_cur", "median_ref", "median_cur", "_origin", "x_ref", "x_cur", "z_ref", "z_cur"]
+    aggs = [F.max(c).alias(c) for c in first]
+    aggs += [F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"), F.max("ks_statistic").alias("ks_statistic"),
+             F.coalesce(F.sum("wasserstein_distance"), F.lit(0.0)).alias("wasserstein_distance"), F.sum("n_failed").alias("n_failed")]
+    for c in ("ref", "cur"):
+        for v in ("x", "z"):
+            spread = sum(F.col(f"q_{c}_{s}") + F.coalesce(F.col(f"w_{c}_{s}") * F.pow(F.col(f"{v}_{c}_{s}") - F.col(f"{v}_{c}"), 2), F.lit(0.0))
+                         for s in ("lo", "hi"))
+            aggs.append(F.sum(spread).alias(f"m2{v}_{c}"))
+    return out.groupBy(*k).agg(*aggs)
 
 
 def numeric_tests_from_values(dv: DataFrame, keys: Sequence[str] = (), n_features: int = 1,
-                              buckets: int = 16, with_p: bool = True, materialize: bool = True) -> DataFrame:
-    """All five numeric statistics per (keys, feature) from a distinct-value table.
-
-    One aggregate over the ECDF gives KS D, Wasserstein, exact medians and the
-    moments (sums of value - shift, shift = approximate median, so they stay
-    accurate far from zero); one pass with the medians gives Levene.
-    """
-    k = [*keys, "feature"]
-    buckets = scaled_buckets(dv, keys, buckets)
-    ag = moments_from_values(dv, keys, buckets)
-    present = dv.where(F.col("value").isNotNull())
-    e = ecdf(present, keys, buckets, n_features, bounds=ag if buckets > 1 else None)
-    sized = ag.where((F.col("n_ref") > 0) | (F.col("n_cur") > 0)).select(*k, "n_ref", "n_cur", "shift")
-    e = join_small(e, sized, k, bound_rows=bound(n_features, 1, keys))
-    f1 = _div(F.col("cum_ref").cast("double"), F.col("n_ref").cast("double"))
-    f2 = _div(F.col("cum_cur").cast("double"), F.col("n_cur").cast("double"))
-    diff = F.abs(f1 - f2)
-    dev = F.col("value") - F.col("shift")
-
-    def at_rank(cum: str, r: Column) -> Column:
-        return F.min(F.when(F.col(cum) >= r, F.col("value")))
-
-    n1, n2 = F.col("n_ref"), F.col("n_cur")
-    es = e.groupBy(*k).agg(
-        F.max(diff).alias("ks_statistic"),
-        F.coalesce(F.sum(diff * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("wasserstein_distance"),
-        ((at_rank("cum_ref", F.floor((n1 + 1) / 2)) + at_rank("cum_ref", F.floor(n1 / 2) + 1)) / 2).alias("median_ref"),
-        ((at_rank("cum_cur", F.floor((n2 + 1) / 2)) + at_rank("cum_cur", F.floor(n2 / 2) + 1)) / 2).alias("median_cur"),
-        F.sum(F.col("c_ref") * dev).alias("s1_ref"), F.sum(F.col("c_ref") * dev * dev).alias("s2_ref"),
-        F.sum(F.col("c_cur") * dev).alias("s1_cur"), F.sum(F.col("c_cur") * dev * dev).alias("s2_cur"))
-    if materialize:  # read by the Levene pass and the final join: compute the ECDF once
-        es = cut_lineage(es, "ecdf-stats")
-    # Levene (Brown-Forsythe): |x - median of own cohort|, one pass
-    j = join_small(present, es.select(*k, "median_ref", "median_cur"), k, bound_rows=bound(n_features, 1, keys))
-    z_ref = F.abs(F.col("value") - F.col("median_ref"))
-    z_cur = F.abs(F.col("value") - F.col("median_cur"))
-    lv = j.groupBy(*k).agg(
-        F.sum(F.col("c_ref") * z_ref).alias("sz_ref"), F.sum(F.col("c_ref") * z_ref * z_ref).alias("szz_ref"),
-        F.sum(F.col("c_cur") * z_cur).alias("sz_cur"), F.sum(F.col("c_cur") * z_cur * z_cur).alias("szz_cur"))
-    out = join_on(join_on(ag.drop(*(["bounds"] if buckets > 1 else [])), es, k, "left"), lv, k, "left")
+                              buckets: int = 1, with_p: bool = True, rows: int | None = None) -> DataFrame:
+    """All five numeric statistics per (keys, feature) from a distinct-value
+    table (columns keys, feature, value, c_ref, c_cur and optionally
+    ``n_failed``) in one pass. ``rows`` is the table's size: every
+    ``ROWS_PER_BUCKET`` of them may need a bucket more; ``buckets`` at least."""
+    failed = F.col("n_failed") if "n_failed" in dv.columns else F.lit(0)
+    counted = F.col("value").isNotNull()
+    dv = dv.select(*keys, "feature", "value", *[F.when(counted, F.col(c)).otherwise(0).alias(c) for c in ("c_ref", "c_cur")],
+                   failed.cast("long").alias("n_failed"))
+    n_buckets = max(buckets, -(-(rows or 0) // ROWS_PER_BUCKET))
+    out = _merged_states(_bucket_states(_placed(dv, keys, n_features, n_buckets, buckets), keys), keys)
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
     for c in ("ref", "cur"):
-        n = F.col(f"n_{c}").cast("double")
-        s1, s2 = F.col(f"s1_{c}"), F.col(f"s2_{c}")
-        out = (out.withColumn(f"mean_{c}", F.col("shift") + _div(s1, n))
-               # one row has no variance (NULL), so no effect size either
-               .withColumn(f"var_{c}", F.when(n > 1, F.greatest(F.lit(0.0), _div(s2 - _div(s1 * s1, n), n - 1))))
-               .withColumn(f"zbar_{c}", _div(F.col(f"sz_{c}"), n)))
+        n = F.col(f"n_{c}")
+        # one row has no variance (NULL), so no effect size either
+        out = out.withColumns({f"mean_{c}": F.col("_origin") + F.col(f"x_{c}"), f"var_{c}": F.when(n > 1, _div(F.col(f"m2x_{c}"), (n - 1).cast("double")))})
     n = (F.col("n_ref") + F.col("n_cur")).cast("double")
-    zbar = _div(F.col("sz_ref") + F.col("sz_cur"), n)
-    ssw = (F.col("szz_ref") - F.col("n_ref") * F.col("zbar_ref") * F.col("zbar_ref")
-           + F.col("szz_cur") - F.col("n_cur") * F.col("zbar_cur") * F.col("zbar_cur"))
-    ssb = (F.col("n_ref") * F.pow(F.col("zbar_ref") - zbar, 2) + F.col("n_cur") * F.pow(F.col("zbar_cur") - zbar, 2))
-    rng = F.col("max_value") - F.col("min_value")
-    out = (with_welch(with_cohens_d(out))
-           .withColumn("levene_statistic", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0) & (n > 2),
-                                                  _div((n - 2) * ssb, ssw)))
-           .withColumn("levene_df2", n - 2)
-           .withColumn("ks_statistic", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), F.col("ks_statistic")))
-           .withColumn("normalized_distance",
-                       F.when(rng > 0, _div(F.col("wasserstein_distance"), rng)).otherwise(F.lit(0.0)))
-           .drop("s1_ref", "s2_ref", "s1_cur", "s2_cur", "sz_ref", "szz_ref", "sz_cur", "szz_cur",
-                 "zbar_ref", "zbar_cur", "shift"))
+    z = _div(F.col("n_ref") * F.col("z_ref") + F.col("n_cur") * F.col("z_cur"), n)
+    between = F.col("n_ref") * F.pow(F.col("z_ref") - z, 2) + F.col("n_cur") * F.pow(F.col("z_cur") - z, 2)
+    extent = F.col("max_value") - F.col("min_value")
+    out = with_welch(with_cohens_d(out)).withColumns({
+        "levene_statistic": F.when(both & (n > 2), _div((n - 2) * between, F.col("m2z_ref") + F.col("m2z_cur"))),
+        "levene_df2": n - 2,
+        "normalized_distance": F.when(extent > 0, _div(F.col("wasserstein_distance"), extent)).otherwise(F.lit(0.0))})
+    out = out.drop("_origin", *[f"{v}_{c}" for v in ("x", "z", "m2x", "m2z") for c in ("ref", "cur")])
     if with_p:
         out = (out.withColumn("ks_p_value", tail_prob("ks", F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")))
                .withColumn("t_p_value", tail_prob("t", F.col("t_statistic"), F.col("t_df")))
@@ -292,13 +347,11 @@ def numeric_tests_from_values(dv: DataFrame, keys: Sequence[str] = (), n_feature
 
 
 def numeric_tests(long: DataFrame, keys: Sequence[str] = (), n_features: int = 1,
-                  buckets: int = 16, with_p: bool = True, materialize: bool = True) -> DataFrame:
+                  buckets: int = 1, with_p: bool = True) -> DataFrame:
     """Numeric statistics from an unpivoted frame: one shuffle to distinct
-    values, checkpointed (lineage cut) so every statistic reads that table."""
-    dv = distinct_values(long, keys, keep_null=True)
-    if materialize:
-        dv = cut_lineage(dv)
-    return numeric_tests_from_values(dv, keys, n_features, buckets, with_p, materialize)
+    values, written (lineage cut), then one pass over that table."""
+    dv, rows = cut_lineage_sized(distinct_values(long, keys, keep_null=True), "values")
+    return numeric_tests_from_values(dv, keys, n_features, buckets, with_p, rows)
 
 
 def _flag(c: Column) -> Column:
@@ -398,7 +451,7 @@ FEATURE_COLUMNS = [
     ("ks_statistic", "double"), ("ks_p_value", "double"), ("t_statistic", "double"),
     ("t_p_value", "double"), ("levene_statistic", "double"), ("levene_p_value", "double"),
     ("psi", "double"), ("chi2_statistic", "double"), ("chi2_dof", "int"), ("chi2_p_value", "double"),
-    ("max_proportion_difference", "double"),
+    ("max_proportion_difference", "double"), ("error", "string"),
 ]
 
 
@@ -411,6 +464,16 @@ def _insufficient(t: DataFrame) -> DataFrame:
     return t
 
 
+def _errors(t: DataFrame) -> DataFrame:
+    """A feature with values that are no numbers is reported, not judged."""
+    broken = F.col("n_failed") > 0
+    for c, v in (("drift_detected", F.lit(False)), ("p_value", F.lit(1.0)), ("method", F.lit("error")), ("severity", F.lit("NONE"))):
+        t = t.withColumn(c, F.when(broken, v).otherwise(F.col(c)))
+    statistics = [c for c, kind in FEATURE_COLUMNS if kind == "double" and c != "p_value" and c in t.columns]
+    t = t.withColumns({c: F.when(~broken, F.col(c)) for c in statistics})
+    return t.withColumn("error", F.when(broken, F.format_string("%d values are no numbers", "n_failed")))
+
+
 def _conform(t: DataFrame, keys: Sequence[str], feature_type: str) -> DataFrame:
     t = t.withColumn("feature_type", F.lit(feature_type))
     cols = [F.col(c) for c in keys] + [F.col("feature")]
@@ -421,24 +484,31 @@ def _conform(t: DataFrame, keys: Sequence[str], feature_type: str) -> DataFrame:
 
 def feature_drift(df: DataFrame, spec: FeatureSpec, th: DriftThresholds = DEFAULT_THRESHOLDS,
                   numerical: Sequence[str] | None = None,
-                  categorical: Sequence[str] | None = None, materialize: bool = True) -> DataFrame:
+                  categorical: Sequence[str] | None = None) -> DataFrame:
     """Per-feature drift results for a cohort-tagged frame (column ``cohort``).
 
     One scan and one shuffle build the distinct-value table of all features;
-    it is checkpointed and every test reads it.
+    it is written and every test reads it.
     """
+    num = list(spec.numerical if numerical is None else numerical)
+    cat = list(spec.categorical if categorical is None else categorical)
+    vt, rows = cut_lineage_sized(value_table(df, num, cat, list(spec.keys)), "values")
+    return feature_drift_from_values(vt, rows, spec, th, num, cat)
+
+
+def feature_drift_from_values(vt: DataFrame, rows: int, spec: FeatureSpec, th: DriftThresholds = DEFAULT_THRESHOLDS,
+                              numerical: Sequence[str] | None = None, categorical: Sequence[str] | None = None) -> DataFrame:
+    """:func:`feature_drift` from a :func:`value_table` of ``rows`` rows. Tables
+    of several parts of the data may be merged with :func:`merge_values` first."""
     keys = list(spec.keys)
     num = list(spec.numerical if numerical is None else numerical)
     cat = list(spec.categorical if categorical is None else categorical)
-    vt = value_table(df, num, cat, keys)
-    if materialize:
-        vt = cut_lineage(vt)
     parts = []
     if num:
-        dv = vt.where(F.col("feature").isin(num)).select(*keys, "feature", "value", "c_ref", "c_cur")
-        t = numeric_tests_from_values(dv, keys, len(num), th.ecdf_buckets, with_p=not th.effect_only,
-                                      materialize=materialize)
-        parts.append(_conform(_insufficient(numeric_verdict(t, th)), keys, "numerical"))
+        dv = vt.where(F.col("feature").isin(num)).select(
+            *keys, "feature", "value", "c_ref", "c_cur", F.when(F.col("failed"), F.col("c_ref") + F.col("c_cur")).otherwise(0).alias("n_failed"))
+        t = numeric_tests_from_values(dv, keys, len(num), th.ecdf_buckets, not th.effect_only, rows)
+        parts.append(_conform(_errors(_insufficient(numeric_verdict(t, th))), keys, "numerical"))
     if cat:
         counts = vt.where(F.col("feature").isin(cat)).select(*keys, "feature", "category", "c_ref", "c_cur")
         t = categorical_tests(counts, keys, len(cat), th, with_p=not th.effect_only)
@@ -449,6 +519,14 @@ def feature_drift(df: DataFrame, spec: FeatureSpec, th: DriftThresholds = DEFAUL
     return out
 
 
+def merge_values(tables: Sequence[DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+    """Sum of value tables (e.g. a stored reference and a new batch)."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out.groupBy(*keys, "feature", "value", "category", "failed").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+
+
 # ----------------------------------------------------------- dataset level
 def dataset_drift(features: DataFrame, keys: Sequence[str] = (),
                   th: DriftThresholds = DEFAULT_THRESHOLDS) -> DataFrame:

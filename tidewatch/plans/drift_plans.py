@@ -173,7 +173,7 @@ def q_category_union(spark, sf):
 @register("numeric_drift")
 def q_numeric_drift(spark, sf):
     df = fx.lineitem_cohorts(spark, sf)
-    t = drift.numeric_tests(to_long(df, fx.L_NUM), (), len(fx.L_NUM), 16, with_p=True)
+    t = drift.numeric_tests(to_long(df, fx.L_NUM), (), len(fx.L_NUM), with_p=True)
     v = drift.numeric_verdict(t)
     return v.select("feature", "drift_detected", "severity", r("p_value"), r("ks_p_value"), r("t_p_value"),
                     r("levene_p_value"), r("cohens_d"), r("normalized_distance"))
@@ -322,6 +322,6 @@ FROM num""")
 def q_insufficient_data(spark, sf):
     df = fx.lineitem_nulls(spark, sf)
     feats = ("l_tax", "l_discount_ref_only", "l_linestatus_bin")
-    t = drift.numeric_tests(to_long(df, feats), (), len(feats), 16, with_p=False)
+    t = drift.numeric_tests(to_long(df, feats), (), len(feats), with_p=False)
     v = drift._insufficient(drift.numeric_verdict(t, EFFECT))
     return v.select("feature", "n_ref", "n_cur", "method", "drift_detected", r("effect_size"))

@@ -85,7 +85,6 @@ def q_jitter(spark, sf):
 
 # ------------------------------------------------------------------ I4 on L*: shifts in baseline-sd units, no rounding
 def _lstar(spark, sf):
-    # hash noise is per-row work: spread an under-split scan over all task slots
     l_ = fx.lineitem_cohorts(spark, sf, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     base = inject.wide_stats(l_.where(F.col("cohort") == "ref"), fx.L_NUM, "b")
     cur = l_.where(F.col("cohort") == "cur").withColumn("_key", fx.lineitem_key())
@@ -123,7 +122,7 @@ SELECT feature, {effect_verdict_sql('num')} AS drift_detected, round(cohens_d, 6
   round(ks_statistic, 6) AS ks_statistic, round(normalized_distance, 6) AS normalized_distance
 FROM num""")
 def q_shifted_drift_effect(spark, sf):
-    t = drift.numeric_tests(to_long(_lstar(spark, sf), fx.L_NUM), (), len(fx.L_NUM), 16, with_p=False)
+    t = drift.numeric_tests(to_long(_lstar(spark, sf), fx.L_NUM), (), len(fx.L_NUM), with_p=False)
     v = drift.numeric_verdict(t, EFFECT)
     return v.select("feature", "drift_detected", r("effect_size"), r("ks_statistic"), r("normalized_distance"))
 

@@ -7,7 +7,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every session we build gets. On a cluster the caller's session wins:
 # `get_session` only fills keys that are unset.
@@ -80,6 +81,13 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def cut_lineage_sized(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
+    """:func:`cut_lineage` and the number of rows written, counted while writing."""
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, int(seen.get["n"])
+
+
 _WRITTEN: list[str] = []
 
 

@@ -41,9 +41,9 @@ class DriftThresholds:
     proportion_threshold: float = 0.1
     categorical_ratio: float = 0.05
     effect_only: bool = False
-    # ECDF prefix sums are computed inside this many value buckets per feature,
-    # so no single task holds all distinct values of a continuous feature.
-    ecdf_buckets: int = 16
+    # value buckets per feature at least; more follow from the size of the value
+    # table, so no single task holds all distinct values of a continuous feature
+    ecdf_buckets: int = 1
 
 
 DEFAULT_THRESHOLDS = DriftThresholds()
