@@ -221,9 +221,9 @@ def _placed(dv: DataFrame, keys: Sequence[str], n_features: int, buckets: int, l
     own distinct values need; rows without a value get a bucket of their own."""
     k = [*keys, "feature"]
     if buckets <= 1:
-        group = Window.partitionBy(*k)
-        return dv.withColumns({"bucket": F.lit(0), "n_ref": F.sum("c_ref").over(group), "n_cur": F.sum("c_cur").over(group),
-                               "off_ref": F.lit(0).cast("long"), "off_cur": F.lit(0).cast("long"), "next_first": F.lit(None).cast("double")})
+        group = f"OVER (PARTITION BY {_names(k)})"
+        return dv.selectExpr("*", "0 AS bucket", f"sum(c_ref) {group} AS n_ref", f"sum(c_cur) {group} AS n_cur", "0L AS off_ref", "0L AS off_cur",
+                             f"min(value) {group} AS anchor", "CAST(NULL AS DOUBLE) AS next_first")
     sketch = dv.groupBy(*k).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"), F.count("value").alias("_m"),
                                 _bounds_expr(buckets).alias("bounds"))
     share = F.least(F.lit(1.0), F.greatest(F.lit(least), F.ceil(F.col("_m") / ROWS_PER_BUCKET)) / buckets)
@@ -236,45 +236,42 @@ def _placed(dv: DataFrame, keys: Sequence[str], n_features: int, buckets: int, l
     b = b.repartition(*[F.col(c) for c in kb])
     totals = b.groupBy(*kb).agg(F.sum("c_ref").alias("_ref"), F.sum("c_cur").alias("_cur"), F.min("value").alias("_first"))
     before = Window.partitionBy(*k).orderBy("bucket")
-    offsets = totals.select(*kb, *[(F.sum(f"_{c}").over(before.rowsBetween(_UNB, _NOW)) - F.col(f"_{c}")).alias(f"off_{c}") for c in ("ref", "cur")],
+    offsets = totals.select(*kb, F.col("_first").alias("anchor"), *[(F.sum(f"_{c}").over(before.rowsBetween(_UNB, _NOW)) - F.col(f"_{c}")).alias(f"off_{c}") for c in ("ref", "cur")],
                             F.lead("_first").over(before).alias("next_first"))
     return join_small(b, offsets, kb, bound_rows=bound(n_features, buckets + 1, keys))
 
 
-_STATES = [(c, s) for c in ("ref", "cur") for s in ("lo", "hi")]
+_COHORTS = ("ref", "cur")
+_STATES = [f"{c}_{s}" for c in _COHORTS for s in ("lo", "hi")]
+
+
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
 
 
 def _bucket_states(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per (keys, feature, bucket): parts of KS D and Wasserstein, the
-    middle values, and for each cohort the states (count, mean above the
-    bucket's first value, first and second sums of the rest) of its rows up to
-    the median rank (``lo``) and beyond (``hi``)."""
+    middle values, and for each cohort the states of its rows up to the median
+    rank (``lo``) and beyond (``hi``): count ``w``, sum above the bucket's first
+    value ``s``, and M2 ``q``, which grows by one non-negative term a row (its
+    distance from the mean of the rows before)."""
     kb = [*keys, "feature", "bucket"]
-    ordered = Window.partitionBy(*kb).orderBy("value")
-    whole = Window.partitionBy(*kb)
-    running = ordered.rowsBetween(_UNB, _NOW)
-    e = placed.withColumns({**{f"cum_{c}": F.col(f"off_{c}") + F.sum(f"c_{c}").over(running) for c in ("ref", "cur")},
-                            "_next": F.coalesce(F.lead("value").over(ordered), F.col("next_first")),
-                            "anchor": F.min("value").over(whole)})
-    for c in ("ref", "cur"):
-        low = F.col(f"cum_{c}") - F.col(f"c_{c}") < F.floor((F.col(f"n_{c}") + 1) / 2)
-        e = e.withColumns({f"w_{c}_lo": F.when(low, F.col(f"c_{c}")).otherwise(0), f"w_{c}_hi": F.when(low, 0).otherwise(F.col(f"c_{c}"))})
-    e = e.withColumn("_dev", F.col("value") - F.col("anchor"))
-    e = e.withColumns({f"m_{c}_{s}": _div(F.sum(F.col(f"w_{c}_{s}") * F.col("_dev")).over(whole), F.sum(f"w_{c}_{s}").over(whole).cast("double"))
-                       for c, s in _STATES})
-    diff = F.abs(F.col("cum_ref") / F.col("n_ref") - F.col("cum_cur") / F.col("n_cur"))
-    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
-    aggs = [F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.min("anchor").alias("anchor"), F.sum("n_failed").alias("n_failed"),
-            F.min("value").alias("min_value"), F.max("value").alias("max_value"), F.max(F.when(both, diff)).alias("ks_statistic"),
-            F.sum(F.when(both, diff * (F.col("_next") - F.col("value")))).alias("wasserstein_distance")]
-    for c in ("ref", "cur"):
-        aggs += [F.max(F.when(F.col(f"w_{c}_lo") > 0, F.col("value"))).alias(f"v1_{c}"),
-                 F.min(F.when(F.col(f"cum_{c}") >= F.floor(F.col(f"n_{c}") / 2) + 1, F.col("value"))).alias(f"v2_{c}")]
-    for c, s in _STATES:
-        rest = F.col("_dev") - F.col(f"m_{c}_{s}")
-        aggs += [F.sum(f"w_{c}_{s}").cast("double").alias(f"w_{c}_{s}"), F.max(f"m_{c}_{s}").alias(f"m_{c}_{s}"),
-                 F.sum(F.col(f"w_{c}_{s}") * rest).alias(f"r1_{c}_{s}"), F.sum(F.col(f"w_{c}_{s}") * rest * rest).alias(f"r2_{c}_{s}")]
-    return e.groupBy(*kb).agg(*aggs)
+    ordered = f"OVER (PARTITION BY {_names(kb)} ORDER BY value"
+    running = f"{ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    e = placed.selectExpr("*", f"coalesce(lead(value) {ordered}), next_first) AS next", "coalesce(value - anchor, 0D) AS dev",
+                          *[f"off_{c} + sum(c_{c}) {running} AS cum_{c}" for c in _COHORTS])
+    low = {c: f"cum_{c} - c_{c} < (n_{c} + 1) div 2" for c in _COHORTS}
+    e = e.selectExpr("*", *[f"if({low[c]}, c_{c}, 0L) AS w_{c}_lo" for c in _COHORTS], *[f"if({low[c]}, 0L, c_{c}) AS w_{c}_hi" for c in _COHORTS])
+    e = e.selectExpr("*", *[f"sum(w_{x}) {running} - w_{x} AS before_{x}" for x in _STATES], *[f"sum(w_{x} * dev) {running} - w_{x} * dev AS moved_{x}" for x in _STATES])
+    gap = "if(n_ref > 0 AND n_cur > 0, abs(cum_ref / n_ref - cum_cur / n_cur), NULL)"
+    aggs = ["max(n_ref) AS n_ref", "max(n_cur) AS n_cur", "min(anchor) AS anchor", "sum(n_failed) AS n_failed", "min(value) AS min_value",
+            "max(value) AS max_value", f"max(if(value IS NULL, NULL, {gap})) AS ks_statistic", f"sum({gap} * (next - value)) AS wasserstein_distance"]
+    for c in _COHORTS:
+        aggs += [f"max(if(w_{c}_lo > 0, value, NULL)) AS v1_{c}", f"min(if(cum_{c} >= n_{c} div 2 + 1, value, NULL)) AS v2_{c}"]
+    for x in _STATES:
+        aggs += [f"CAST(sum(w_{x}) AS DOUBLE) AS w_{x}", f"sum(w_{x} * dev) AS s_{x}",
+                 f"sum(if(before_{x} > 0 AND w_{x} > 0, w_{x} * (before_{x} / (before_{x} + w_{x})) * pow(dev - moved_{x} / before_{x}, 2), 0D)) AS q_{x}"]
+    return e.groupBy(*kb).agg(*[F.expr(x) for x in aggs])
 
 
 def _merged_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -282,34 +279,24 @@ def _merged_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
     counts, means and M2 (means taken from a common origin, so that values far
     from zero lose nothing)."""
     k = [*keys, "feature"]
-    group = Window.partitionBy(*k)
-    out = states.withColumns({**{f"median_{c}": (F.max(f"v1_{c}").over(group) + F.min(f"v2_{c}").over(group)) / 2 for c in ("ref", "cur")},
-                              "_origin": F.min("anchor").over(group)})
-    terms: dict[str, Column] = {}
-    for c, s in _STATES:
-        w, r1, r2 = (F.col(f"{x}_{c}_{s}") for x in ("w", "r1", "r2"))
-        mean = F.col(f"m_{c}_{s}") + _div(r1, w)  # above the bucket's first value
-        middle = F.col(f"median_{c}") - F.col("anchor")
-        terms[f"x_{c}_{s}"] = F.col("anchor") - F.col("_origin") + mean
-        terms[f"z_{c}_{s}"] = middle - mean if s == "lo" else mean - middle  # mean distance to the median
-        terms[f"q_{c}_{s}"] = F.greatest(F.lit(0.0), F.coalesce(r2 - _div(r1 * r1, w), F.lit(0.0)))
-    out = out.withColumns(terms)
-    means = {}
-    for c in ("ref", "cur"):
-        for v in ("x", "z"):
-            part = sum(F.coalesce(F.col(f"w_{c}_{s}") * F.col(f"{v}_{c}_{s}"), F.lit(0.0)) for s in ("lo", "hi"))
-            means[f"{v}_{c}"] = _div(F.sum(part).over(group), F.col(f"n_{c}").cast("double"))
-    out = out.withColumns(means)
-    first = ["n_ref", "n_cur", "median_ref", "median_cur", "_origin", "x_ref", "x_cur", "z_ref", "z_cur"]
-    aggs = [F.max(c).alias(c) for c in first]
-    aggs += [F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"), F.max("ks_statistic").alias("ks_statistic"),
-             F.coalesce(F.sum("wasserstein_distance"), F.lit(0.0)).alias("wasserstein_distance"), F.sum("n_failed").alias("n_failed")]
-    for c in ("ref", "cur"):
-        for v in ("x", "z"):
-            spread = sum(F.col(f"q_{c}_{s}") + F.coalesce(F.col(f"w_{c}_{s}") * F.pow(F.col(f"{v}_{c}_{s}") - F.col(f"{v}_{c}"), 2), F.lit(0.0))
-                         for s in ("lo", "hi"))
-            aggs.append(F.sum(spread).alias(f"m2{v}_{c}"))
-    return out.groupBy(*k).agg(*aggs)
+    group = f"OVER (PARTITION BY {_names(k)})"
+    out = states.selectExpr("*", f"min(anchor) {group} AS origin", *[f"(max(v1_{c}) {group} + min(v2_{c}) {group}) / 2 AS median_{c}" for c in _COHORTS])
+    terms = []
+    for x in _STATES:
+        mean, middle = f"s_{x} / nullif(w_{x}, 0)", f"(median_{x[:3]} - anchor)"
+        terms += [f"anchor - origin + {mean} AS x_{x}",
+                  # mean distance to the median
+                  f"{f'{middle} - {mean}' if x.endswith('lo') else f'{mean} - {middle}'} AS z_{x}"]
+    out = out.selectExpr("*", *terms)
+    out = out.selectExpr("*", *[
+        f"sum(coalesce(w_{c}_lo * {v}_{c}_lo, 0D) + coalesce(w_{c}_hi * {v}_{c}_hi, 0D)) {group} / nullif(n_{c}, 0) AS {v}_{c}" for c in _COHORTS for v in "xz"])
+    aggs = [f"max({c}) AS {c}" for c in ("n_ref", "n_cur", "median_ref", "median_cur", "origin", "x_ref", "x_cur", "z_ref", "z_cur", "max_value", "ks_statistic")]
+    aggs += ["min(min_value) AS min_value", "coalesce(sum(wasserstein_distance), 0D) AS wasserstein_distance", "sum(n_failed) AS n_failed"]
+    for c in _COHORTS:
+        for v in "xz":
+            parts = [f"q_{x} + coalesce(w_{x} * pow({v}_{x} - {v}_{c}, 2), 0D)" for x in (f"{c}_lo", f"{c}_hi")]
+            aggs.append(f"sum({parts[0]} + {parts[1]}) AS m2{v}_{c}")
+    return out.groupBy(*k).agg(*[F.expr(x) for x in aggs])
 
 
 def numeric_tests_from_values(dv: DataFrame, keys: Sequence[str] = (), n_features: int = 1,
@@ -318,26 +305,17 @@ def numeric_tests_from_values(dv: DataFrame, keys: Sequence[str] = (), n_feature
     table (columns keys, feature, value, c_ref, c_cur and optionally
     ``n_failed``) in one pass. ``rows`` is the table's size: every
     ``ROWS_PER_BUCKET`` of them may need a bucket more; ``buckets`` at least."""
-    failed = F.col("n_failed") if "n_failed" in dv.columns else F.lit(0)
-    counted = F.col("value").isNotNull()
-    dv = dv.select(*keys, "feature", "value", *[F.when(counted, F.col(c)).otherwise(0).alias(c) for c in ("c_ref", "c_cur")],
-                   failed.cast("long").alias("n_failed"))
+    dv = dv.selectExpr(*[f"`{c}`" for c in keys], "feature", "value", *[f"if(value IS NULL, 0L, c_{c}) AS c_{c}" for c in _COHORTS],
+                       f"CAST({'n_failed' if 'n_failed' in dv.columns else '0'} AS BIGINT) AS n_failed")
     n_buckets = max(buckets, -(-(rows or 0) // ROWS_PER_BUCKET))
     out = _merged_states(_bucket_states(_placed(dv, keys, n_features, n_buckets, buckets), keys), keys)
-    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
-    for c in ("ref", "cur"):
-        n = F.col(f"n_{c}")
-        # one row has no variance (NULL), so no effect size either
-        out = out.withColumns({f"mean_{c}": F.col("_origin") + F.col(f"x_{c}"), f"var_{c}": F.when(n > 1, _div(F.col(f"m2x_{c}"), (n - 1).cast("double")))})
-    n = (F.col("n_ref") + F.col("n_cur")).cast("double")
-    z = _div(F.col("n_ref") * F.col("z_ref") + F.col("n_cur") * F.col("z_cur"), n)
-    between = F.col("n_ref") * F.pow(F.col("z_ref") - z, 2) + F.col("n_cur") * F.pow(F.col("z_cur") - z, 2)
-    extent = F.col("max_value") - F.col("min_value")
-    out = with_welch(with_cohens_d(out)).withColumns({
-        "levene_statistic": F.when(both & (n > 2), _div((n - 2) * between, F.col("m2z_ref") + F.col("m2z_cur"))),
-        "levene_df2": n - 2,
-        "normalized_distance": F.when(extent > 0, _div(F.col("wasserstein_distance"), extent)).otherwise(F.lit(0.0))})
-    out = out.drop("_origin", *[f"{v}_{c}" for v in ("x", "z", "m2x", "m2z") for c in ("ref", "cur")])
+    # one row has no variance (NULL), so no effect size either
+    out = out.selectExpr("*", *[f"origin + x_{c} AS mean_{c}" for c in _COHORTS], *[f"if(n_{c} > 1, m2x_{c} / (n_{c} - 1), NULL) AS var_{c}" for c in _COHORTS],
+                         "CAST(n_ref + n_cur AS DOUBLE) AS n", "try_divide(n_ref * z_ref + n_cur * z_cur, n_ref + n_cur) AS z")
+    out = with_welch(with_cohens_d(out)).selectExpr(
+        "*", "if(n_ref > 0 AND n_cur > 0 AND n > 2, try_divide((n - 2) * (n_ref * pow(z_ref - z, 2) + n_cur * pow(z_cur - z, 2)), m2z_ref + m2z_cur), NULL) AS levene_statistic",
+        "n - 2 AS levene_df2", "if(max_value > min_value, wasserstein_distance / (max_value - min_value), 0D) AS normalized_distance")
+    out = out.drop("origin", "n", "z", *[f"{v}_{c}" for v in ("x", "z", "m2x", "m2z") for c in _COHORTS])
     if with_p:
         out = (out.withColumn("ks_p_value", tail_prob("ks", F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")))
                .withColumn("t_p_value", tail_prob("t", F.col("t_statistic"), F.col("t_df")))
@@ -458,20 +436,17 @@ FEATURE_COLUMNS = [
 def _insufficient(t: DataFrame) -> DataFrame:
     """Empty side after dropping NULLs -> no drift, p=1, method insufficient_data."""
     empty = (F.col("n_ref") == 0) | (F.col("n_cur") == 0)
-    for c, v in (("drift_detected", F.lit(False)), ("p_value", F.lit(1.0)),
-                 ("method", F.lit("insufficient_data")), ("severity", F.lit("NONE"))):
-        t = t.withColumn(c, F.when(empty, v).otherwise(F.col(c)))
-    return t
+    return t.withColumns({c: F.when(empty, v).otherwise(F.col(c)) for c, v in (
+        ("drift_detected", False), ("p_value", 1.0), ("method", "insufficient_data"), ("severity", "NONE"))})
 
 
 def _errors(t: DataFrame) -> DataFrame:
     """A feature with values that are no numbers is reported, not judged."""
     broken = F.col("n_failed") > 0
-    for c, v in (("drift_detected", F.lit(False)), ("p_value", F.lit(1.0)), ("method", F.lit("error")), ("severity", F.lit("NONE"))):
-        t = t.withColumn(c, F.when(broken, v).otherwise(F.col(c)))
+    verdict = (("drift_detected", False), ("p_value", 1.0), ("method", "error"), ("severity", "NONE"))
     statistics = [c for c, kind in FEATURE_COLUMNS if kind == "double" and c != "p_value" and c in t.columns]
-    t = t.withColumns({c: F.when(~broken, F.col(c)) for c in statistics})
-    return t.withColumn("error", F.when(broken, F.format_string("%d values are no numbers", "n_failed")))
+    return t.withColumns({**{c: F.when(broken, v).otherwise(F.col(c)) for c, v in verdict}, **{c: F.when(~broken, F.col(c)) for c in statistics},
+                          "error": F.when(broken, F.format_string("%d values are no numbers", "n_failed"))})
 
 
 def _conform(t: DataFrame, keys: Sequence[str], feature_type: str) -> DataFrame:
