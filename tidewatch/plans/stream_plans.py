@@ -1,7 +1,8 @@
 """Registered Structured Streaming plans.
 
-The stream twins of batch plans share the batch plan's SQL oracle: a stream
-over the same files must end in the same table.
+The rows arrive in parts and the stream runs after each, from its checkpoint.
+Twins are the batch plans' SQL: a stream over the same rows must end in the
+same table (windows that the watermark has not closed yet are not part of it).
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from tidewatch.operators import inject
 from tidewatch.plans import fixtures as fx
 from tidewatch.plans import monitor_plans as mp
 from tidewatch.plans.inject_plans import _base_sql, _shift_cols
+from tidewatch.plans.monitor_plans import WIN_SQL
 from tidewatch.plans.registry import ORACLE, r, register
 from tidewatch.plans.sqlparts import categorical_ctes, effect_verdict_sql, numeric_ctes, sev_effect_sql
+from tidewatch.session import cut_lineage
 from tidewatch.sources.tables import read_table
 from tidewatch.sources.versions import VersionedTables
 from tidewatch.spec import DriftThresholds, FeatureSpec
@@ -26,10 +29,7 @@ from tidewatch.streaming.cycle import MonitorCycle, run_available
 _K = ("event_type",)
 
 
-def _event_stream(spark, sf):
-    schema = read_table(spark, sf, "events").schema
-    ev = sm.file_stream(spark, sf, "events.parquet", schema)
-    return ev.withColumn("k", F.get_json_object("props", "$.k").try_cast("double"))
+BINS, PARTS = 50, 2
 
 
 def _reference(spark, sf):
@@ -37,24 +37,81 @@ def _reference(spark, sf):
     return e.where(F.col("cohort") == "ref")
 
 
-@register("windowed_drift_stream", ORACLE["windowed_drift"])
+def _event_parts(df, ts="ts"):
+    """The rows in ``PARTS`` parts by time, as they arrive."""
+    ends = df.agg(F.unix_seconds(F.min(ts).cast("timestamp")).alias("lo"), F.unix_seconds(F.max(ts).cast("timestamp")).alias("hi")).first()
+    step = (ends["hi"] - ends["lo"]) // PARTS + 1
+    part = F.floor((F.unix_seconds(F.col(ts).cast("timestamp")) - ends["lo"]) / step)
+    return [df.where(part == k) for k in range(PARTS)]
+
+
+# ------------------------------------------------------------------ K8: closed windows, sketches of BINS equal parts of the reference's range
+_B = f"{BINS}"
+WINDOWED_SQL = WIN_SQL + f""",
+rng AS (SELECT event_type, feature, min(value) AS lo, max(value) AS hi FROM lg WHERE cohort = 'ref' GROUP BY 1, 2),
+cut AS (SELECT rng.*, i, lo + (hi - lo) / {_B} * i AS edge FROM rng, range(1, {_B}) t(i)),
+bn AS (
+  SELECT lg.event_type, lg.feature, cohort, CASE WHEN cohort = 'cur' THEN time_bucket(INTERVAL 1 day, ts) END AS window_start,
+    (SELECT count(*) FROM cut WHERE cut.event_type = lg.event_type AND cut.feature = lg.feature AND cut.edge < lg.value) AS bin
+  FROM lg WHERE value IS NOT NULL),
+wins AS (SELECT DISTINCT event_type, feature, window_start FROM bn WHERE cohort = 'cur'),
+ecdf AS (
+  SELECT w.event_type, w.feature, w.window_start, c.i, c.edge, c.hi - (c.hi - c.lo) / {_B} - (c.lo + (c.hi - c.lo) / {_B}) AS extent,
+    (SELECT count(*) FILTER (WHERE bin < c.i) / count(*) FROM bn WHERE cohort = 'ref' AND bn.event_type = w.event_type AND bn.feature = w.feature) AS f_ref,
+    (SELECT count(*) FILTER (WHERE bin < c.i) / count(*) FROM bn WHERE cohort = 'cur' AND bn.event_type = w.event_type AND bn.feature = w.feature
+       AND bn.window_start = w.window_start) AS f_cur
+  FROM wins w JOIN cut c ON c.event_type = w.event_type AND c.feature = w.feature),
+shape AS (
+  SELECT event_type, feature, window_start, max(abs(f_ref - f_cur)) AS ks_statistic,
+    sum(abs(f_ref - f_cur) * (CASE WHEN i < {_B} - 1 THEN nx - edge ELSE 0 END)) / max(extent) AS normalized_distance
+  FROM (SELECT *, lead(edge) OVER (PARTITION BY event_type, feature, window_start ORDER BY i) AS nx FROM ecdf) GROUP BY 1, 2, 3)
+SELECT wf.event_type, wf.window_start, wf.feature, n_cur, round(cohens_d, 6) AS cohens_d, round(t_statistic, 6) AS t_statistic,
+  round(shape.ks_statistic, 6) AS ks_statistic, round(normalized_distance, 6) AS normalized_distance,
+  drift_detected OR normalized_distance > 0.05 AS drift_detected, severity
+FROM wf JOIN shape ON wf.event_type = shape.event_type AND wf.feature = shape.feature AND wf.window_start = shape.window_start
+WHERE wf.window_start + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 2 DAYS"""
+
+
+@register("windowed_drift_stream", WINDOWED_SQL)
 def q_windowed_drift_stream(spark, sf):
-    cur = _event_stream(spark, sf).where(F.col("ts") >= fx.ntz(fx.E_CUT))
-    w = sm.windowed_drift_stream(spark, cur, _reference(spark, sf), fx.E_NUM, _K)
-    return w.select("event_type", "window_start", "feature", "n_cur", r("cohens_d"), r("t_statistic"),
-                    "drift_detected", "severity")
-
-
+    cur = fx.events_cohorts(spark, sf).where(F.col("cohort") == "cur").select("event_type", "ts", *fx.E_NUM)
+    ref, root = _reference(spark, sf), sm.scratch(spark, "windowed-drift")
+    cuts = cut_lineage(sm.width_cuts(ref, fx.E_NUM, _K, BINS), "cuts")
+    sketch = cut_lineage(sm.reference_sketch(ref, cuts, fx.E_NUM, _K), "reference-sketch")
+    store = VersionedTables(spark, f"{root}/tables")
+    for stream in sm.arrivals(spark, _event_parts(cur), f"{root}/arrived"):
+        sm.windowed_drift_stream(stream, sketch, cuts, fx.E_NUM, _K, store, f"{root}/checkpoint")
+    return store.read("windows").select("event_type", "window_start", "feature", "n_cur", r("cohens_d"), r("t_statistic"), r("ks_statistic"),
+                                        r("normalized_distance"), "drift_detected", "severity")
+
+
+# ------------------------------------------------------------------ K2 / K3: cycles and retrains as two kinds of one stream
 @register("drift_score_stream", ORACLE["drift_score"])
 def q_drift_score_stream(spark, sf):
-    s = sm.drift_score_stream(spark, mp._cycles(spark, sf))
-    return s.select("event_type", "window_start", "cycle", "data_added", "retrained", "reset",
+    cycles, root = cut_lineage(mp._cycles(spark, sf), "cycles"), sm.scratch(spark, "drift-score")
+    rows = cycles.select(*_K, F.lit(sm.CYCLE).alias("kind"), F.col("cycle_time").cast("timestamp").alias("at"), F.col("cycle").cast("int").alias("cycle"),
+                         F.col("n_drifted_features").cast("long").alias("n_drifted_features"), F.col("share_drifted_features").cast("double").alias("share_drifted_features"),
+                         "dataset_drift", "data_added", F.lit(False).alias("generation_failed"))
+    done = (F.col("cycle_time") + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 2 MINUTES")).cast("timestamp")
+    marks = cycles.where("retrain").select(*_K, F.lit(sm.RETRAIN).alias("kind"), done.alias("at"))
+    rows = rows.unionByName(marks, allowMissingColumns=True)
+    # one later row of no kind, so that the watermark passes the last cycles
+    last = rows.agg(F.max("at").alias("at")).select(F.lit("tick").alias("kind"), (F.col("at") + F.expr("INTERVAL 1 DAY")).alias("at"))
+    parts = [*_event_parts(rows, "at"), rows.limit(0).unionByName(last, allowMissingColumns=True)]
+    for stream in sm.arrivals(spark, parts, f"{root}/arrived"):
+        sm.drift_score_stream(stream, f"{root}/scores", f"{root}/checkpoint", _K)
+    s = spark.read.parquet(f"{root}/scores")
+    return s.select("event_type", (F.col("at").cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY")).alias("window_start"), "cycle", "data_added", "retrained", "reset",
                     r("increment"), r("drift_score"))
 
 
 @register("event_counts_stream", ORACLE["event_counts"])
 def q_event_counts_stream(spark, sf):
-    return sm.event_counts_stream(spark, _event_stream(spark, sf))
+    events, root = read_table(spark, sf, "events", ["ts", "event_type"]), sm.scratch(spark, "event-counts")
+    store = VersionedTables(spark, f"{root}/tables")
+    for stream in sm.arrivals(spark, _event_parts(events), f"{root}/arrived"):
+        sm.event_counts_stream(stream, store, f"{root}/checkpoint")
+    return sm.newest_counts(store)
 
 
 # ------------------------------------------------------------------ K7: the full cycle per micro-batch
@@ -92,9 +149,8 @@ def run_monitor(spark, sf, generate=None) -> VersionedTables:
     cycle.set_reference(reference)
     columns = ["event_id", "event_type", "ts", *fx.E_NUM, "user_group"]
     last = arriving.agg(F.max("slice")).first()[0]
-    for k in range(0 if last is None else last + 1):
-        arriving.where(F.col("slice") == k).select(*columns).write.mode("append").parquet(f"{root}/arrived")
-        stream = spark.readStream.schema(arriving.select(*columns).schema).parquet(f"{root}/arrived")
+    slices = [arriving.where(F.col("slice") == k).select(*columns) for k in range(0 if last is None else last + 1)]
+    for stream in sm.arrivals(spark, slices, f"{root}/arrived"):
         run_available(stream, cycle, f"{root}/checkpoint")
     return cycle.store
 

@@ -30,6 +30,7 @@ from tidewatch.operators.small import join_on, join_small
 from tidewatch.session import cut_lineage, cut_lineage_sized
 from tidewatch.sources.versions import VersionedTables
 from tidewatch.spec import DEFAULT_THRESHOLDS, DriftThresholds, FeatureSpec
+from tidewatch.streaming.monitor import drain
 
 # the failure defaults of a cycle whose generated data could not be checked (fixed values)
 FAILED_FEATURES, FAILED_SHARE = 1, 0.1
@@ -165,8 +166,4 @@ class MonitorCycle:
 
 def run_available(events: DataFrame, cycle: MonitorCycle, checkpoint: str) -> None:
     """Runs the cycle over all input that has arrived since the last run of this checkpoint."""
-    query = (events.writeStream.foreachBatch(cycle.run_batch).trigger(availableNow=True).option("checkpointLocation", checkpoint).start())
-    try:
-        query.awaitTermination()
-    finally:
-        query.stop()
+    drain(events.writeStream.foreachBatch(cycle.run_batch), checkpoint)
