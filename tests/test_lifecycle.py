@@ -90,35 +90,33 @@ def test_folds_are_stratified_and_ignore_the_partitioning(spark):
 
 
 def test_registered_model_queries_take_the_reference_sizes(spark, monkeypatch):
+    """The sizes asked for are those of the reference; the fits themselves are small here
+    (tests/test_oracle.py runs the registered keys as they are)."""
     from tidewatch.plans import eval_plans
 
-    made, folded = [], []
-    pipeline, folds = lc.rf_pipeline, lc.stratified_folds
+    asked, made, forest = [], [], lc.RandomForestClassifier
 
-    def small(features, label, **kw):  # the sizes asked for are kept, the fit itself is small
-        made.append(pipeline(features, label, **kw).getStages()[-1].extractParamMap())
-        return pipeline(features, label, num_trees=2, max_depth=3)
+    def small(**kw):
+        asked.append(kw)
+        return forest(**{**kw, "numTrees": 2, "maxDepth": 3})
 
-    monkeypatch.setattr(lc, "rf_pipeline", small)
-    monkeypatch.setattr(lc, "stratified_folds", lambda d, *a, **k: folded.append(a) or folds(d, *a, **k))
+    monkeypatch.setattr(lc, "RandomForestClassifier", small)
+    monkeypatch.setattr(lc, "stratified_folds", lambda d, *a, f=lc.stratified_folds, **k: made.append(a) or f(d, *a, **k))
     monkeypatch.setattr(eval_plans, "_FITTED", {})
-    monkeypatch.setattr(eval_plans, "_DEPTHS", (2, 3))
-    monkeypatch.setattr(lc.CrossValidator, "fit", lambda cv, d: _stop(cv))
-    for name in ("q_cv_scores", "q_rf_predict"):
-        with pytest.raises(_Stopped) as found:
-            getattr(eval_plans, name)(spark, SF_SMALL)
-        cv = found.value.args[0]
-        assert cv.getNumFolds() == 5 and cv.getFoldCol() == "fold"
-    params = [{p.name: v for p, v in m.items()} for m in made]
-    assert all(p["numTrees"] == 100 and p["maxDepth"] == 30 for p in params) and len(folded) == 2
-
-
-class _Stopped(Exception):
-    pass
-
-
-def _stop(cv):
-    raise _Stopped(cv)
+    assert eval_plans.q_cv_scores(spark, SF_SMALL).count() == 3
+    assert sorted(k["maxDepth"] for k in asked) == sorted([10, 20, 30] * 5) and {k["numTrees"] for k in asked} == {100}
+    assert made == [("segment", "o_orderkey", 5)]
+    asked.clear()
+    assert eval_plans.q_rf_predict(spark, SF_SMALL).count() > 0
+    assert [(k["numTrees"], k["maxDepth"]) for k in asked] == [(100, 30)] * 6  # five folds and the final fit
+
+
+def test_grid_points_and_best(spark):
+    m = lc.encode_features(fx.model_table(spark, SF_SMALL), fx.M_CAT)
+    found = lc.grid_search(m, (*fx.M_NUM, *fx.M_CAT), fx.M_TARGET, {"maxDepth": [1, 6], "minInstancesPerNode": [1, 50]}, "o_orderkey", folds=3, num_trees=5)
+    assert found.points == [{"maxDepth": d, "minInstancesPerNode": i} for d in (1, 6) for i in (1, 50)]
+    assert all(0.4 < s <= 1 for s in found.scores) and found.best["maxDepth"] == 6
+    assert lc.GridResult([{"a": 1}, {"a": 2}], [0.5, 0.5]).best == {"a": 1}
 
 
 def test_model_fit_save_load_and_quality(spark):

@@ -9,16 +9,13 @@ from conftest import SF_SMALL
 
 from tidewatch.plans import ORACLE, QUERIES
 
-# model-dependent keys fit forests: covered by test_lifecycle
-SLOW = {"cv_scores", "rf_predict", "feature_importance", "train_metrics"}
-
 
 @pytest.fixture(scope="module")
 def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("key", sorted(k for k in QUERIES if k not in SLOW))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     status, msg = compare(key, QUERIES[key](spark, SF_SMALL), con, ORACLE.get(key))
     assert status in ("OK", "ROWS"), msg
@@ -27,8 +24,7 @@ def test_query_matches_oracle(spark, con, key):
 def test_every_key_has_a_twin_or_is_declared_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only <= {"numeric_drift", "categorical_drift", "shifted_drift", "rf_predict",
-                         "cv_scores", "feature_importance", "train_metrics", "drift_result_json",
-                         "stream_monitor"}
+                         "cv_scores", "feature_importance", "train_metrics", "drift_result_json"}
 
 
 def test_entry_smoke(spark):

@@ -138,12 +138,12 @@ _FEATS = (*fx.M_NUM, *fx.M_CAT)
 _DEPTHS = (10, 20, 30)
 
 
-_FITTED: dict = {}  # (session id, sf) -> (model, metrics): one fit serves the model-dependent keys
+_FITTED: dict = {}  # (application, sf) -> (model, metrics): one fit serves the model-dependent keys
 
 
 def _train(spark, sf):
     m = lc.encode_features(fx.model_cohorts(spark, sf), fx.M_CAT)
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _FITTED:
         ref = m.where(F.col("cohort") == "ref")
         _FITTED[key] = lc.train_run(ref, _FEATS, fx.M_TARGET, "o_orderkey")
@@ -160,8 +160,8 @@ def q_rf_predict(spark, sf):
 @register("cv_scores")
 def q_cv_scores(spark, sf):
     m = lc.encode_features(fx.model_cohorts(spark, sf), fx.M_CAT).where(F.col("cohort") == "ref")
-    cvm = lc.grid_search(m, _FEATS, fx.M_TARGET, {"maxDepth": _DEPTHS}, key="o_orderkey")
-    rows = [(int(d), float(s)) for d, s in zip(_DEPTHS, cvm.avgMetrics, strict=True)]
+    found = lc.grid_search(m, _FEATS, fx.M_TARGET, {"maxDepth": _DEPTHS}, "o_orderkey")
+    rows = [(int(p["maxDepth"]), float(s)) for p, s in zip(found.points, found.scores, strict=True)]
     return spark.createDataFrame(rows, "max_depth int, cv_accuracy double")
 
 
