@@ -14,10 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.cohorts import REF
-from tidewatch.operators.drift import distinct_values, ecdf
+from tidewatch.operators.ranks import kth_smallest
 from tidewatch.operators.small import join_small
-from tidewatch.session import cut_lineage
 
 # adaptive-strength parameters (fixed values, reference defaults)
 BASE_STRENGTH = 0.1
@@ -77,29 +75,20 @@ def last_n(h: DataFrame, n: int = 5, keys: Sequence[str] = (), order: str = "cyc
     return h.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= n).drop("_rk")
 
 
-def newest_threshold(df: DataFrame, order: str, keep: DataFrame | int, keys: Sequence[str] = (),
-                     buckets: int = 16) -> DataFrame:
-    """Per segment, the smallest order value among the ``keep`` newest rows.
-
-    ``keep`` is a count or a table ``(keys..., _keep)`` (one row when
-    unsegmented). Works from bucketed running counts over the order key, so
-    no task sorts a whole segment. ``order`` must be unique within a segment.
-    """
+def newest_threshold(df: DataFrame, order: str, keep: DataFrame | int, keys: Sequence[str] = ()) -> DataFrame:
+    """Per segment, the smallest order value among the ``keep`` newest rows
+    (NULL for none). ``keep`` is a count or a table ``(keys..., _keep)`` (one row
+    when unsegmented). Works from refined range counts over the order key, so no
+    task sorts a whole segment. ``order`` must be unique within a segment."""
     keys = list(keys)
-    long = df.select(*keys, F.lit(REF).alias("cohort"), F.lit("_order").alias("feature"),
-                     F.col(order).alias("value"))
-    dv = cut_lineage(distinct_values(long, keys))
-    e = ecdf(dv, keys, buckets, 1)
-    n = dv.groupBy(*keys).agg(F.sum("c_ref").alias("n"))  # one row per segment
+    n = df.groupBy(*keys).agg(F.count(order).alias("_n"))  # one row per segment
     if isinstance(keep, int):
         n = n.withColumn("_keep", F.lit(keep))
     else:
         n = join_small(n, keep, keys, "left").withColumn("_keep", F.coalesce(F.col("_keep"), F.lit(0)))
-    # unsegmented, the one-row table is a scalar subquery (join_small), never a join on a constant
-    e = join_small(e, n, keys)
-    # newest `keep` rows  <=>  cum >= n - keep + 1
-    return e.groupBy(*keys).agg(F.min(F.when(F.col("cum_ref") >= F.col("n") - F.col("_keep") + 1,
-                                             F.col("value"))).alias("threshold"))
+    rows = join_small(df.select(*keys, order), n, keys)
+    found = kth_smallest(rows, order, F.greatest(F.col("_n") - F.col("_keep") + 1, F.lit(1)), keys)
+    return found.select(*keys, F.col("_t").alias("threshold"))
 
 
 def retention_tail(current: DataFrame, new: DataFrame, order: str, cap: int = RETENTION_CAP,

@@ -16,11 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scalar import clip, domain_repair, normal, round_half_even, uniform
-from tidewatch.operators.cohorts import REF
-from tidewatch.operators.drift import distinct_values, ecdf
 from tidewatch.operators.history import DRIFT_TYPES, RETENTION_CAP, retention_tail
+from tidewatch.operators.ranks import kth_smallest, values_at
 from tidewatch.operators.small import attach_row, join_small
-from tidewatch.session import cut_lineage
 
 # reference input-shift multipliers are per-feature (fixed values in the
 # reference); callers pass their own feature -> multiplier map.
@@ -76,40 +74,21 @@ def input_shift(df: DataFrame, shifts: Mapping[str, float], strength: float | Co
     return _drop_prefixed(out, "b")
 
 
-def _kth_value(d: DataFrame, value: Column, k, on: Sequence[str], single: int | None,
-               buckets: int) -> DataFrame:
-    """Per segment: ``_t`` = smallest value whose running count reaches k,
-    ``_below`` = rows strictly below it (bucketed running counts) and ``_kk``
-    = k. ``k`` is a column (constant within a segment) or a function of the
-    segment's row count."""
-    long = d.select(*on, F.lit(REF).alias("cohort"), F.lit("_v").alias("feature"), value.alias("value"))
-    dv = cut_lineage(distinct_values(long, on))
-    e = ecdf(dv, on, buckets, 1)
-    kk = d.groupBy(*on).agg((k(F.count("*")) if callable(k) else F.max(k)).alias("_kk"))
-    e = join_small(e, kk, on, bound_rows=single)
-    t = e.groupBy(*on).agg(
-        F.min(F.when(F.col("cum_ref") >= F.col("_kk"), F.col("value"))).alias("_t"),
-        F.max(F.when(F.col("cum_ref") < F.col("_kk"), F.col("cum_ref"))).alias("_below"))
-    # every segment keeps its k, also one whose values are all NULL
-    return join_small(kk, t, on, "left", bound_rows=single)
-
-
-def smallest_k(df: DataFrame, value: Column, k, keys: Sequence[str] = (), tiebreak: str | None = None,
-               buckets: int = 16) -> DataFrame:
+def smallest_k(df: DataFrame, value: Column, k, keys: Sequence[str] = (), tiebreak: str | None = None) -> DataFrame:
     """Mark (``_take``) the k rows with the smallest ``value`` per segment.
 
-    The threshold value comes from bucketed running counts (no task sorts a
-    segment). Rows tied at the threshold are resolved the same way on
-    ``tiebreak`` (unique within a segment), so even a tie group holding a
-    third of the rows is never sorted in one task; without ``tiebreak`` all
-    tied rows are taken. ``k`` is a per-row column (constant within a
+    The threshold comes from refined range counts (``operators/ranks.py``); the
+    rows are not shuffled. Rows tied at the threshold are resolved the same way
+    on the numeric ``tiebreak`` (unique within a segment), so even a tie group
+    holding a third of the rows is never sorted in one task; without
+    ``tiebreak`` all tied rows are taken. ``k`` is a per-row column (constant within a
     segment) or a function of the segment's row count, evaluated on the
     per-segment aggregate (no count table is joined back to the rows).
     """
     on = list(keys)
     d = df.withColumn("_v", value)
     single = None  # without segments the per-segment tables have one row: attached as scalars
-    thr = _kth_value(d, F.col("_v"), k, on, single, buckets)
+    thr = kth_smallest(d, "_v", k, on)
     d = (join_small(d, thr, on, "left", bound_rows=single)
          .withColumn("_below", F.coalesce(F.col("_below"), F.lit(0)))
          .withColumn("_k", F.coalesce(F.col("_kk"), F.lit(0))).drop("_kk"))
@@ -122,8 +101,7 @@ def smallest_k(df: DataFrame, value: Column, k, keys: Sequence[str] = (), tiebre
     else:
         need = F.col("_k") - F.col("_below")
         ties = d.where(tied & (need > 0)).withColumn("_k2", need)
-        thr2 = _kth_value(ties, F.col(tiebreak), F.col("_k2"), on, single, buckets).select(
-            *on, F.col("_t").alias("_t2"))
+        thr2 = kth_smallest(ties, tiebreak, F.col("_k2"), on).select(*on, F.col("_t").alias("_t2"))
         out = join_small(d, thr2, on, "left", bound_rows=single)
         tie_take = tied & (need > 0) & F.coalesce(F.col(tiebreak) <= F.col("_t2"), F.lit(False))
         out = out.withColumn("_take", want & (strict | tie_take | everything)).drop("_t2")
@@ -174,25 +152,18 @@ def repair_rows(df: DataFrame, numerical: Sequence[str], binary: Sequence[str],
     return _drop_prefixed(out, "b")
 
 
-def row_index(df: DataFrame, order: str, buckets: int = 16) -> DataFrame:
-    """Dense 1-based index by a unique order key, from bucketed running counts."""
-    long = df.select(F.lit(REF).alias("cohort"), F.lit("_i").alias("feature"), F.col(order).alias("value"))
-    e = ecdf(cut_lineage(distinct_values(long)), (), buckets, 1)
-    idx = e.select(F.col("value").alias(order), F.col("cum_ref").alias("_idx"))
-    return df.join(idx, order)
-
-
 def bootstrap_exact(df: DataFrame, n: int, order: str, cycle: int, salt: str = "boot") -> DataFrame:
     """Exactly ``n`` rows drawn with replacement; draw i gets new unique key
     ``seq = (cycle + 1) * 10^12 + i`` so later noise differs between duplicates."""
     spark = df.sparkSession
-    indexed = row_index(df, order)
     total = df.agg(F.count("*").alias("_N"))
     draws = attach_row(spark.range(n).withColumnRenamed("id", "_draw"), total)
     u = uniform(F.concat_ws("|", F.lit(str(cycle)), F.col("_draw").cast("string")), salt)
     draws = draws.select(
         "_draw", (F.floor(u * F.col("_N")) + 1).cast("long").alias("_idx"))
-    out = draws.join(indexed, "_idx").withColumn("seq", F.lit((cycle + 1) * SEQ_STRIDE) + F.col("_draw"))
+    # only order values are ranked; the rows meet the draws by their key
+    drawn = values_at(df, order, draws, n)
+    out = join_small(df, drawn, [order], bound_rows=n).withColumn("seq", F.lit((cycle + 1) * SEQ_STRIDE) + F.col("_draw"))
     return out.drop("_idx", "_draw")
 
 
