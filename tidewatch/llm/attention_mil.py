@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.words import LOWER, NON_SPACE, blocks, mix, span_hashes, sums, word_spans
+from tidewatch.llm.words import LOWER, NON_SPACE, blocks, mix, span_hashes, sums, tidy, word_spans
 
 PASSAGE = 64
 MAX_DOCS = 1000
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return shares.get(1, 0) / sum(shares.values()) if shares else 0.5
     picked = docs.sparkSession.createDataFrame([(r["key"], r["label"]) for r in chosen], "key " + dict(docs.dtypes)[key] + ", label int")
     sample = (docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-              .join(F.broadcast(picked), "key").select("label", "text").mapInArrow(_bags, "label int, bag binary"))
+              .join(F.broadcast(picked), "key").select("label", "text").mapInArrow(tidy(_bags), "label int, bag binary"))
     bags, label_of, size = [], [], 0
     for r in sample.toLocalIterator():
         x = np.frombuffer(r["bag"], "<f4").reshape(-1, N_FEATURES)
@@ -193,4 +193,4 @@ def score(docs: DataFrame, model: Model | float, text: str = "text", out: str =
                     scores.append(model.forward(x, bag)[0])
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(batch.num_columns)), pa.array(np.concatenate(scores), pa.float64())], names=names)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
+    return docs.mapInArrow(tidy(run), T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))

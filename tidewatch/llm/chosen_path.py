@@ -57,7 +57,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.components import connected
-from tidewatch.llm.words import LOWER, NON_SPACE, blocks, mix, shingles, span_hashes, word_spans
+from tidewatch.llm.words import LOWER, NON_SPACE, blocks, mix, shingles, span_hashes, tidy, word_spans
 from tidewatch.session import cut_lineage
 
 BINS = 128
@@ -131,7 +131,7 @@ def class_rows(docs: DataFrame, key: str, text: str, width: int, share: float, t
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
     return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, f"key {kind}, n long, cid long, nodes array<long>, early int, minwise binary, " + ", ".join(f"{c} long" for c in SKETCH))
+        tidy(run), f"key {kind}, n long, cid long, nodes array<long>, early int, minwise binary, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 class _Join:
@@ -170,7 +170,7 @@ class _Join:
                 out = pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "hub", "words"])
                 yield out.filter(same)  # rows that share a key may hold other texts
 
-        return self.texts_of(wanted).select("text", "cid", "hub").mapInArrow(run, "cid long, hub long, words binary")
+        return self.texts_of(wanted).select("text", "cid", "hub").mapInArrow(tidy(run), "cid long, hub long, words binary")
 
     def confirm(self, pairs: DataFrame) -> None:
         """Adds the pairs (a, b) whose full sets reach the threshold; components change only with new links."""
@@ -192,7 +192,7 @@ class _Join:
                 yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
         found = leaves.join(hubs, "hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"), "words", "other")
-        new = cut_lineage(found.mapInArrow(run, "a long, b long"), "links")
+        new = cut_lineage(found.mapInArrow(tidy(run), "a long, b long"), "links")
         if not new.isEmpty():
             self.links = self.links.union(new)
             self.labels = connected(self.links)
@@ -245,7 +245,7 @@ class _Join:
 
         left, right = (self.classes.select(F.col("cid").alias(c), F.col("minwise").alias(v)) for c, v in (("a", "left"), ("b", "right")))
         joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        return cut_lineage(joined.mapInArrow(run, "a long, b long"), "likely")
+        return cut_lineage(joined.mapInArrow(tidy(run), "a long, b long"), "likely")
 
     def still_open(self, opened: DataFrame) -> DataFrame:
         """Members of the nodes that were not compared in full, for the next level."""
@@ -263,7 +263,7 @@ class _Join:
 
         wanted = members.select("cid").distinct().join(self.classes.select("cid", "rep"), "cid").select("rep", "cid", F.col("cid").alias("hub"))
         sets = self.with_sets(wanted).groupBy("cid").agg(F.first("words").alias("words"))
-        tokens = cut_lineage(sets.mapInArrow(run, "token long, cid long"), "tokens")
+        tokens = cut_lineage(sets.mapInArrow(tidy(run), "token long, cid long"), "tokens")
         common = tokens.groupBy("token").agg(F.count("*").alias("f"))
         place = F.row_number().over(Window.partitionBy("cid").orderBy("f", "token"))
         n = F.col("n")
@@ -302,7 +302,7 @@ class _Join:
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(2).take(pa.array(taken, pa.int64()))], names=["node", "cid"])
 
         named = members.join(self.classes.select("cid", "minwise"), "cid").select("node", "minwise", "cid")
-        return named.mapInArrow(run, "node long, cid long")
+        return named.mapInArrow(tidy(run), "node long, cid long")
 
 
 @contextmanager

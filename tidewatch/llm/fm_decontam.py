@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.llm.fm_index import FMIndex
-from tidewatch.llm.words import ALNUM, LOWER, blocks, span_hashes, word_spans
+from tidewatch.llm.words import ALNUM, LOWER, blocks, span_hashes, tidy, word_spans
 
 WIDTH = 13
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_ITEMS = 20_000
 COLUMNS = ("fm_words", "fm_spans", "fm_items")
 
@@ -164,7 +164,7 @@ def _search_block(docs: DataFrame, text: str, phrases: Phrases, shard_bytes: int
                 [*cols, pa.array(n_words, type=pa.int64()), pa.array(spans, type=spans_type), pa.array(items, type=pa.list_(pa.string()))],
                 names=names)
 
-    return docs.mapInArrow(search, schema)
+    return docs.mapInArrow(tidy(search), schema)
 
 
 def _points(raw: np.ndarray) -> np.ndarray:

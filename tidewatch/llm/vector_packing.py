@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.tokens import encoder, tokenizer_path
-from tidewatch.llm.words import blocks
+from tidewatch.llm.words import blocks, tidy
 
 END_ID = 1
 SCHEMA = ("start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, "
@@ -157,5 +157,5 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", loss: str | Non
             close(out, last=True)
             yield table(out)
 
-    packed = source.mapInArrow(run, f"key {kind}, {SCHEMA}")
+    packed = source.mapInArrow(tidy(run), f"key {kind}, {SCHEMA}")
     return packed.withColumnRenamed("key", key) if with_ids else packed.withColumnRenamed("key", key).drop("ids")

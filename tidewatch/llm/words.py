@@ -13,7 +13,8 @@ code points. A null text is an empty text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -154,3 +155,20 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     for j in range(1, k):
         h = mix(h * np.uint64(0x9FB21C651E98DF25) + words[j: n - k + 1 + j])
     return np.unique(mix(h + np.uint64(k)))
+
+
+def tidy(run: Callable) -> Callable:
+    """A batch function whose task gives its freed memory back to the machine.
+    Python workers outlive their tasks, and what they keep counts against the
+    stages that follow."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library: nothing to trim
+                pass
+
+    return wrapped
