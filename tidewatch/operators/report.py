@@ -89,6 +89,27 @@ def fingerprint(df: DataFrame, row: Column) -> DataFrame:
 
 
 def parse_json_records(df: DataFrame, col: str, schema: str) -> DataFrame:
-    """JSON column -> typed struct fields (``from_json``); arrays of records -> rows with ``inline``."""
+    """JSON column -> typed struct fields (``from_json``), one object per row."""
     parsed = df.withColumn("_j", F.from_json(F.col(col), schema))
     return parsed.select("*", "_j.*").drop("_j")
+
+
+def record_batches(df: DataFrame, col: str, schema: str, keep: Sequence[str], envelope: str = "dataframe_records") -> DataFrame:
+    """Scoring requests ``{"dataframe_records": [{...}, ...]}`` as rows: ``keep``,
+    ``position`` in the request, the record's fields, and ``broken``.
+
+    A request that is no such document, and a record whose fields do not fit
+    ``schema``, come out as one row of NULL fields with the source text in
+    ``broken``, so nothing is lost silently. A request of no records has no rows.
+    """
+    text = F.col(col)
+    # records stay text first: one that does not fit its schema must not spoil its neighbours
+    parts = F.from_json(text, f"`{envelope}` ARRAY<STRING>")[envelope]
+    fields = [f.strip().split()[0].strip("`") for f in schema.split(",")]
+    rows = df.select(*keep, text.alias("_request"), parts.alias("_parts"))
+    rows = rows.select(*keep, "_request", F.col("_parts").isNull().alias("_bad"),
+                       F.posexplode_outer(F.when(F.col("_parts").isNull(), F.array(F.lit(None).cast("string"))).otherwise(F.col("_parts"))).alias("position", "_record"))
+    rows = rows.where(F.col("position").isNotNull()).withColumn("_r", F.from_json("_record", f"{schema}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"}))
+    fits = ~F.col("_bad") & F.col("_r").isNotNull() & F.col("_r._corrupt").isNull()
+    return rows.select(*keep, F.when(~F.col("_bad"), F.col("position")).alias("position"), *[F.when(fits, F.col("_r")[f]).alias(f) for f in fields],
+                       F.when(F.col("_bad"), F.col("_request")).when(~fits, F.coalesce("_record", F.lit("null"))).alias("broken"))

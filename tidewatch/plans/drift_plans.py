@@ -92,6 +92,23 @@ def q_levene_w(spark, sf):
     return _l_numeric(spark, sf).select("feature", r("median_ref"), r("median_cur"), r("levene_statistic"))
 
 
+# ------------------------------------------------------------------ H4 far from zero: two hills at -1e8 and 1e8, spreads that differ by cohort
+_FAR_SQL = ("CASE WHEN l_linenumber % 2 = 0 THEN -1e8 ELSE 1e8 END + {v} * CASE WHEN cohort = 'cur' THEN 3 ELSE 1 END")
+FAR_SQL = f"WITH {fx.L_SQL},\nlg AS (\n  " + "\n  UNION ALL ".join(
+    f"SELECT cohort, '{f}' AS feature, {_FAR_SQL.format(v=f)} AS value FROM l" for f in ("l_quantity", "l_discount")) + f"),{numeric_ctes('lg')}"
+
+
+@register("levene_far", FAR_SQL + """
+SELECT feature, n_ref, n_cur, round(levene_statistic, 2) AS levene_statistic FROM lev JOIN m USING (feature)""")
+def q_levene_far(spark, sf):
+    df = fx.lineitem_cohorts(spark, sf, ("l_linenumber",))
+    hill = F.when(F.col("l_linenumber") % 2 == 0, -1e8).otherwise(1e8)
+    wide = F.when(F.col("cohort") == "cur", 3).otherwise(1)
+    df = df.select("cohort", *[(hill + F.col(f) * wide).alias(f) for f in ("l_quantity", "l_discount")])
+    t = drift.numeric_tests(to_long(df, ("l_quantity", "l_discount")), (), 2, with_p=False)
+    return t.select("feature", "n_ref", "n_cur", r("levene_statistic", digits=2))
+
+
 # ------------------------------------------------------------------ H5
 @register("wasserstein", L_NUM_SQL + """
 SELECT feature, round(wasserstein_distance, 6) AS wasserstein_distance,

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from tidewatch.functions.scalar import uniform_sql
+from tidewatch.functions.scalar import uniform, uniform_sql
+from tidewatch.operators import drift, inject
 from tidewatch.operators import evaluate as ev
 from tidewatch.operators import lifecycle as lc
 from tidewatch.operators.small import attach_row
 from tidewatch.plans import fixtures as fx
 from tidewatch.plans.registry import r, register
+from tidewatch.session import cut_lineage, ensure_checkpoint_dir
+from tidewatch.sources.versions import VersionedTables
+from tidewatch.spec import DriftThresholds, FeatureSpec
 
 _S = f"WITH {fx.S_SQL}"
 
@@ -182,6 +188,25 @@ def q_train_metrics(spark, sf):
         "output_schema string")
 
 
+# ------------------------------------------------------------------ K9 / J1 / J15 / A11: a retrain behind the drift check, both branches
+@register("gated_retrain")
+def q_gated_retrain(spark, sf):
+    """Two checks of the reference: against a random half of itself (nothing to
+    do), and against shifted current rows (a retrain on old and new rows)."""
+    m = cut_lineage(lc.encode_features(fx.model_cohorts(spark, sf), fx.M_CAT), "retrain-input")
+    old, new = (m.where(F.col("cohort") == c) for c in ("ref", "cur"))
+    half = old.withColumn("cohort", F.when(uniform(F.col("o_orderkey"), "half") < 0.5, "ref").otherwise("cur"))
+    shifted = inject.input_shift(new, {f: 1.0 for f in fx.M_NUM}, 0.8, F.col("o_orderkey"), inject.wide_stats(old, fx.M_NUM, "b"), sd_units=True)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidewatch/retrain-{uuid.uuid4().hex}"
+    store = VersionedTables(spark, f"{root}/tables")
+    effect = DriftThresholds(effect_only=True)
+    for run_id, rows in (("stable", half), ("shifted", old.unionByName(shifted))):
+        _, dataset = drift.detect(rows, FeatureSpec(numerical=_FEATS), effect)
+        lc.gated_retrain(dataset, old, shifted, _FEATS, fx.M_TARGET, "o_orderkey", store, f"{root}/models", run_id)
+    # durations and paths differ from run to run
+    return store.read("runs").where("kind <> 'artifact' and key <> 'training_duration_seconds'")
+
+
 # ------------------------------------------------------------------ A7 / A8: metrics text -> parsed values
 _METRICS_SQL = _ROC_CTE + """,
 met AS (

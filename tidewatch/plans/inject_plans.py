@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scalar import normal_sql, uniform_sql
 from tidewatch.operators import drift, inject
 from tidewatch.operators.cohorts import encode_binary, to_long
+from tidewatch.operators.generator import Generator, Recipe
 from tidewatch.plans import fixtures as fx
 from tidewatch.plans.registry import r, register
 from tidewatch.plans.sqlparts import effect_verdict_sql, numeric_ctes
-from tidewatch.session import cut_lineage
+from tidewatch.session import cut_lineage, ensure_checkpoint_dir
+from tidewatch.sources.versions import VersionedTables
 from tidewatch.spec import DriftThresholds
 
 # input-shift multipliers of the reference (fixed values, in its feature
@@ -287,3 +291,39 @@ def q_augment_step(spark, sf):
     out = inject.augment_step(cur, ref, AUG_CYCLE, AUG_STRENGTH, AUG_N, fx.M_NUM, "o_orderkey", M_SHIFTS,
                               fx.M_TARGET, SRC, DST, UP, DOWN)
     return out.select(*_OUT)
+
+
+# ------------------------------------------------------------------ I9 / I11: five cycles, each published as a version of its own
+GEN_CYCLES = 5
+
+
+def generator(spark, sf) -> Generator:
+    """A generator over M with sizes that follow the reference: the first cycle
+    half of its rows, later ones a tenth each, at most three quarters kept."""
+    ref = cut_lineage(_m(spark, sf).where(F.col("cohort") == "ref").drop("cohort"), "generator-input")
+    n = ref.count()
+    recipe = Recipe(fx.M_NUM, "o_orderkey", M_SHIFTS, fx.M_TARGET, SRC, DST, UP, DOWN, n // 2, n // 10, n * 3 // 4)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidewatch/generator-{uuid.uuid4().hex}"
+    made = Generator(VersionedTables(spark, root), recipe)
+    made.reset(ref)
+    return made
+
+
+@register("generator_cycles", f"""WITH RECURSIVE {fx.M_SQL},
+n AS (SELECT count(*) // 2 AS first_rows, count(*) // 10 AS new_rows, count(*) * 3 // 4 AS cap FROM m WHERE cohort = 'ref'),
+c AS (
+  SELECT 0 AS cycle, first_rows AS new_samples, first_rows AS total_size, 0.1::DOUBLE AS drift_strength, 0::BIGINT AS failed_detections FROM n
+  UNION ALL
+  SELECT cycle + 1, new_rows, least(cap, total_size + new_rows), CASE WHEN cycle >= 1 THEN least(drift_strength * 1.2, 0.8) ELSE drift_strength END,
+    failed_detections + CASE WHEN cycle >= 1 THEN 1 ELSE 0 END
+  FROM c, n WHERE cycle < {GEN_CYCLES - 1})
+SELECT CAST(cycle AS INTEGER) AS cycle, ['input_drift', 'label_drift', 'concept_drift', 'combined_drift'][cycle % 4 + 1] AS drift_type,
+  CAST(new_samples AS BIGINT) AS new_samples, CAST(total_size AS BIGINT) AS total_size, round(drift_strength, 6) AS drift_strength, failed_detections,
+  CASE WHEN cycle > 1 THEN 'not_detected' WHEN cycle = 1 THEN 'unknown' END AS drift_state
+FROM c""")
+def q_generator_cycles(spark, sf):
+    made = generator(spark, sf)
+    for _ in range(GEN_CYCLES):
+        made.step()
+    return made.store.read("history").select(F.col("cycle").cast("int").alias("cycle"), "drift_type", "new_samples", "total_size", r("drift_strength"),
+                                             "failed_detections", "drift_state")

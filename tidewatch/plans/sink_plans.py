@@ -124,3 +124,28 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 def q_json_records(spark, sf):
     e = read_table(spark, sf, "events", ["event_id", "props"])
     return report.parse_json_records(e, "props", "k BIGINT").select("event_id", "k")
+
+
+# ------------------------------------------------------------------ A9: scoring requests of up to five records, some of them broken
+@register("record_batches", f"""
+WITH q AS (
+  SELECT event_id // 5 AS request, event_id, user_id, event_type, json_extract_string(props, '$.k') AS k FROM events),
+p AS (SELECT *, row_number() OVER (PARTITION BY request ORDER BY event_id) - 1 AS position FROM q)
+SELECT request, CASE WHEN request % 17 <> 0 THEN CAST(position AS INTEGER) END AS position,
+  CASE WHEN request % 17 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 THEN CAST(user_id AS BIGINT) END AS user,
+  CASE WHEN request % 17 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 THEN event_type END AS kind,
+  CASE WHEN request % 17 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 THEN TRY_CAST(k AS DOUBLE) END AS k,
+  request % 17 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0 AS is_broken
+FROM p WHERE request % 17 <> 0 OR position = 0""")
+def q_record_batches(spark, sf):
+    e = read_table(spark, sf, "events", ["event_id", "user_id", "event_type", "props"])
+    good = F.format_string('{"user":%d,"kind":"%s","k":%s}', F.col("user_id").cast("long"), "event_type", F.coalesce(F.get_json_object("props", "$.k"), F.lit("null")))
+    record = (F.when(F.col("event_id") % 11 == 0, F.format_string('{"user":"many","kind":%d}', F.col("user_id").cast("long")))
+              .when(F.col("event_id") % 13 == 0, F.lit("[1]")).otherwise(good))
+    # the requests as a client sends them: one document per five events
+    rows = e.select(F.floor(F.col("event_id") / 5).alias("request"), "event_id", record.alias("record"))
+    records = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "record"))), lambda r: r["record"]), ",")
+    requests = rows.groupBy("request").agg(F.concat(F.lit('{"dataframe_records":['), records, F.lit("]}")).alias("body"))
+    requests = requests.withColumn("body", F.when(F.col("request") % 17 == 0, F.substring("body", 1, 30)).otherwise(F.col("body")))
+    out = report.record_batches(requests, "body", "user BIGINT, kind STRING, k DOUBLE", ["request"])
+    return out.select("request", "position", "user", "kind", "k", F.col("broken").isNotNull().alias("is_broken"))
