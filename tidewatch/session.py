@@ -7,8 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session we build gets. On a cluster the caller's session wins:
 # `get_session` only fills keys that are unset.
@@ -82,10 +81,11 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def cut_lineage_sized(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
-    """:func:`cut_lineage` and the number of rows written, counted while writing."""
-    seen = Observation()
-    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
-    return out, int(seen.get["n"])
+    """:func:`cut_lineage` and the number of rows written (from the files'
+    footers; an ``Observation`` would leave the session unable to score with a
+    freshly fitted forest, whose training summary holds the session)."""
+    out = cut_lineage(df, name)
+    return out, out.count()
 
 
 _WRITTEN: list[str] = []
