@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 
 from tidewatch.functions import tails
@@ -46,3 +47,28 @@ def test_ks_exact_small():
 def test_ks_exact_monotone_in_d():
     ps = [tails.ks_exact_two_sided(d, 40, 60) for d in (0.1, 0.2, 0.3, 0.4)]
     assert all(a >= b for a, b in zip(ps, ps[1:]))
+
+
+def finite_ks(n, d):
+    """P(D_n < d) for one sample, by powers of Durbin's matrix."""
+    k = int(n * d) + 1
+    h, m = k - n * d, 2 * k - 1
+    a = np.tril(np.ones((m, m)), 1)
+    for i in range(m):
+        a[i, 0] -= h ** (i + 1)
+        a[m - 1, i] -= h ** (m - i)
+    a[m - 1, 0] += (2 * h - 1) ** m if 2 * h > 1 else 0
+    for i in range(m):
+        for j in range(m):
+            if i - j + 1 > 0:
+                a[i, j] /= math.factorial(i - j + 1)
+    q = np.linalg.matrix_power(a, n)[k - 1, k - 1]
+    return q * math.factorial(n) / n ** n
+
+
+@pytest.mark.parametrize(("n", "z"), [(60, 0.7), (60, 1.2), (100, 0.9), (100, 1.36), (140, 1.5)])
+def test_large_sample_ks_follows_the_finite_law(n, z):
+    d = z / math.sqrt(n)
+    exact = 1 - finite_ks(n, d)
+    assert tails.ks_large_p(d, n) == pytest.approx(exact, rel=4e-3)
+    assert abs(tails.ks_large_p(d, n) - exact) < abs(tails.kolmogorov_sf(z) - exact) / 5

@@ -23,9 +23,8 @@ from pyspark.sql.types import DoubleType
 _EPS = 1e-15
 _TINY = 1e-300
 
-# largest sample size for which the exact two-sample KS law is used; above it
-# the limiting law is. A documented switch: callers that want another size pass
-# ``ks_two_sample_p(..., exact_max=n)``.
+# largest sample size for which the exact two-sample KS law is used (fixed value:
+# the reference's library changes its law there); above it ``ks_large_p`` is
 KS_EXACT_MAX_N = 10_000
 
 
@@ -241,8 +240,16 @@ def ks_two_sample_p(d: float, n1: int, n2: int, exact_max: int = KS_EXACT_MAX_N)
         return 1.0
     if max(n1, n2) <= exact_max:
         return ks_exact_two_sided(d, n1, n2)
-    en = n1 * n2 / (n1 + n2)
-    return kolmogorov_sf(math.sqrt(en) * d)
+    return ks_large_p(d, n1 * n2 / (n1 + n2))
+
+
+def ks_large_p(d: float, n: float) -> float:
+    """P(D >= d) for a sample of ``n`` (two samples: n1 n2 / (n1 + n2)): the
+    limiting law at Vrbik's corrected argument, which agrees with the finite-n
+    law up to terms of order n**-1.5."""
+    n = max(1, round(n))
+    z = math.sqrt(n) * d
+    return kolmogorov_sf(z + 1 / (6 * math.sqrt(n)) + (z - 1) / (4 * n))
 
 
 def tail_prob_scalar(kind: str, stat: float, a: float, b: float) -> float:
