@@ -77,7 +77,9 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{base}/tidewatch/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     _WRITTEN.append(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._stage_path = path
+    return out
 
 
 def cut_lineage_sized(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
@@ -91,12 +93,26 @@ def cut_lineage_sized(df: DataFrame, name: str = "stage") -> tuple[DataFrame, in
 _WRITTEN: list[str] = []
 
 
+def drop_stage(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`cut_lineage` returned (this very
+    frame, not one derived from it). Call it when every table made from it has
+    been written, so that no later or repeated task reads it."""
+    path = df._stage_path
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True))
+
+
 def drop_stages(spark: SparkSession) -> int:
     """Delete the intermediate tables written so far by :func:`cut_lineage`.
     Call it when no result that reads them is needed any more (after the sink
     has been written); returns how many were deleted."""
     n = 0
     while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+        n += _delete(spark, _WRITTEN.pop())
     return n
