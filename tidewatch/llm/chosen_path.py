@@ -23,11 +23,17 @@ forest of these links connects most near-copies. After that only nodes with
 several components are looked at, and only pairs across components. Links are
 confirmed after the first level of all trees, and once for all later levels.
 
-A pair whose sizes rule the threshold out, or whose one-bit minwise values (of
-up to 128) differ in more places than five standard deviations above the mean
-at the threshold, or whose minwise values themselves agree in less than the
-threshold's share by as much, is not looked at further; every other one is confirmed on full
-sets. Components come from :mod:`components`.
+In a node, a pair whose sizes rule the threshold out, or whose one-bit minwise
+values (of up to 128) differ in more places than five standard deviations above
+the mean at the threshold, is not looked at further. Candidates then pass a
+parity filter that loses no link: every class has a bitmap of two to four bits
+a shingle (512 to ``2**15``), in which each shingle flips the bit at its hash.
+Two bitmaps differ in at most as many bits as their sets have shingles that the
+other lacks, so a pair whose bitmaps differ more than the threshold allows is
+no link. The exact prefixes carry the bitmaps folded to 512 bits, and their
+join holds the pairs against these. What is left is confirmed on full sets.
+Components come from :mod:`components`. Tables that no later step reads are
+deleted when the next one is written.
 
 Recall: a pair at the threshold meets in one tree with probability about 0.6,
 0.47 and 0.37 at levels 1 to 3, so 24 trees miss it in 1e-9, 1e-6 and 2e-5 of
@@ -53,15 +59,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.components import connected
 from tidewatch.llm.words import LOWER, NON_SPACE, blocks, mix, shingles, span_hashes, tidy, word_spans
-from tidewatch.session import cut_lineage
+from tidewatch.session import cut_lineage, drop_stage
 
 BINS = 128
 SKETCH = ("b1", "b2", "u1", "u2")  # one-bit values and which of them exist
+FOLDS = tuple(f"q{i}" for i in range(8))  # a parity bitmap folded to 512 bits
+PARITY_BITS = (1 << 9, 1 << 15)
 MEMBER = ("cid", "n", *SKETCH)
 SLOTS = 1 << 18
 _SEED = np.uint64(0xD1B54A32D192ED03)
@@ -97,6 +106,26 @@ def _bits(minwise: np.ndarray) -> list[int]:
     return [*np.packbits((minwise & 1) & used).view(np.int64).tolist(), *np.packbits(used).view(np.int64).tolist()]
 
 
+def _parity(s: np.ndarray) -> np.ndarray:
+    """Bitmap in which every member of a set flips one bit (bytes)."""
+    least, most = PARITY_BITS
+    bits = min(most, max(least, 1 << (2 * len(s) - 1).bit_length()))
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little")
+
+
+def _folded(rows: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (one a row) as those of ``size`` bytes: the halves' exclusive or."""
+    while rows.shape[1] > size:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return rows
+
+
+def _rows_of(column: pa.Array, at: np.ndarray) -> np.ndarray:
+    """The bitmaps of rows ``at``, which are of equal sizes."""
+    return np.frombuffer(b"".join(column.take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1)
+
+
 def _children(s: np.ndarray, nodes: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
     """Child nodes that a set chooses below each of ``nodes``, and the number of the parent."""
     limit = np.uint64(min(2.0**64 - 2048, 2.0**64 / (share * len(s))))
@@ -111,11 +140,11 @@ def _roots(trees: int) -> np.ndarray:
 
 
 def class_rows(docs: DataFrame, key: str, text: str, width: int, share: float, trees: int, early: int) -> DataFrame:
-    """``key, n, cid, nodes, early, minwise`` and the one-bit sketch; ``cid`` is the set's digest, ``early`` counts
-    the nodes of the first trees."""
+    """``key, n, cid, nodes, early, minwise, parity`` and the one-bit sketch; ``cid`` is the set's digest, ``early``
+    counts the nodes of the first trees."""
     kind = dict(docs.dtypes)[key]
-    names = ["key", "n", "cid", "nodes", "early", "minwise", *SKETCH]
-    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary(), *[pa.int64()] * len(SKETCH)]
+    names = ["key", "n", "cid", "nodes", "early", "minwise", "parity", *SKETCH]
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * len(SKETCH)]
 
     def run(batches):
         roots = _roots(trees)
@@ -124,14 +153,14 @@ def class_rows(docs: DataFrame, key: str, text: str, width: int, share: float, t
             for _, s in _sets(batch.column(1), width):
                 if len(s):
                     (nodes, tree), least = _children(s, roots, share), _minwise(s)
-                    rows.append((len(s), _digest(s), nodes.view(np.int64), int(np.searchsorted(tree, early)), least.tobytes(), *_bits(least)))
+                    rows.append((len(s), _digest(s), nodes.view(np.int64), int(np.searchsorted(tree, early)), least.tobytes(), _parity(s).tobytes(), *_bits(least)))
                 else:
-                    rows.append((0, 0, (), 0, b"", 0, 0, 0, 0))
+                    rows.append((0, 0, (), 0, b"", b"", 0, 0, 0, 0))
             cols = zip(*rows, strict=True) if rows else [()] * len(types)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
     return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        tidy(run), f"key {kind}, n long, cid long, nodes array<long>, early int, minwise binary, " + ", ".join(f"{c} long" for c in SKETCH))
+        tidy(run), f"key {kind}, n long, cid long, nodes array<long>, early int, minwise binary, parity binary, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 class _Join:
@@ -140,10 +169,12 @@ class _Join:
     def __init__(self, docs, key, text, width, num, den, trees, leaf, early):
         self.docs = docs.select(F.col(key).alias("rep"), F.col(text).cast("string").alias("text"))
         self.width, self.num, self.den, self.share, self.leaf = width, num, den, num / den, leaf
-        self.rows = cut_lineage(class_rows(docs, key, text, width, self.share, trees, early), "sets")
-        cols = ("n", "nodes", "early", "minwise", *SKETCH)
-        self.classes = cut_lineage(self.rows.where("n > 0 and key is not null").groupBy("cid")
+        sets = cut_lineage(class_rows(docs, key, text, width, self.share, trees, early), "sets")
+        cols = ("n", "nodes", "early", "minwise", "parity", *SKETCH)
+        self.classes = cut_lineage(sets.where("n > 0 and key is not null").groupBy("cid")
                                    .agg(F.min("key").alias("rep"), *[F.first(c).alias(c) for c in cols]), "classes")
+        self.rows = cut_lineage(sets.select("key", "n", "cid"), "ids")
+        drop_stage(sets)
         # rows that share a key are one document
         shared = self.rows.where("n > 0 and key is not null").groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z")
         ties = self.rows.where("n > 0").join(shared.select("key", "a"), "key").select("a", F.col("cid").alias("b")).where("a <> b").distinct()
@@ -196,6 +227,8 @@ class _Join:
         if not new.isEmpty():
             self.links = self.links.union(new)
             self.labels = connected(self.links)
+        else:
+            drop_stage(new)
 
     # --- nodes
 
@@ -233,20 +266,39 @@ class _Join:
                 .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct())
 
     def likely(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose minwise values agree in at least the share of the threshold less five standard deviations."""
-        share = self.share
+        """Pairs whose parity bitmaps differ in no more bits than the threshold allows shingles that one lacks."""
+        num, den = self.num, self.den
 
         def run(batches):
             for batch in batches:
-                s, t = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, BINS) for i in (2, 3))
-                used = ((s != 0xFFFF) | (t != 0xFFFF)).sum(1)
-                same = ((s == t) & (s != 0xFFFF)).sum(1)
-                yield batch.select([0, 1]).filter(pa.array(same >= share * used - 5 * np.sqrt(share * (1 - share) * used)))
-
-        left, right = (self.classes.select(F.col("cid").alias(c), F.col("minwise").alias(v)) for c, v in (("a", "left"), ("b", "right")))
-        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+                n = sum(batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+                most = n - 2 * -(-n * num // (num + den))
+                left, right = batch.column(4), batch.column(5)
+                sizes = np.stack([pc.binary_length(c).to_numpy(zero_copy_only=False) for c in (left, right)], axis=1)
+                far = np.zeros(len(n), np.int64)
+                for pair in np.unique(sizes, axis=0):
+                    at = np.flatnonzero((sizes == pair).all(axis=1))
+                    x, y = (_folded(_rows_of(c, at), int(pair.min())) for c in (left, right))
+                    far[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                yield batch.select([0, 1]).filter(pa.array(far <= most))
+
+        left, right = (self.classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("parity").alias(f"p{c}")) for c in ("a", "b"))
+        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb")
         return cut_lineage(joined.mapInArrow(tidy(run), "a long, b long"), "likely")
 
+    def folds(self, members: DataFrame) -> DataFrame:
+        """``cid, n`` and the parity bitmap in 512 bits of the members' classes."""
+        size = 8 * len(FOLDS)
+
+        def run(batches):
+            for batch in batches:
+                words = [_folded(np.frombuffer(p.as_buffer(), np.uint8)[None, :], size).view(np.int64)[0] for p in batch.column(2)]
+                table = np.array(words, np.int64).reshape(-1, len(FOLDS))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c) for c in table.T.copy())], names=["cid", "n", *FOLDS])
+
+        named = members.select("cid").distinct().join(self.classes.select("cid", "n", "parity"), "cid")
+        return named.mapInArrow(tidy(run), "cid long, n long, " + ", ".join(f"{c} long" for c in FOLDS))
+
     def still_open(self, opened: DataFrame) -> DataFrame:
         """Members of the nodes that were not compared in full, for the next level."""
         return opened.where(F.col("outside") > self.leaf).select("node", "cid")
@@ -267,17 +319,22 @@ class _Join:
         common = tokens.groupBy("token").agg(F.count("*").alias("f"))
         place = F.row_number().over(Window.partitionBy("cid").orderBy("f", "token"))
         n = F.col("n")
-        placed = (tokens.join(common, "token").withColumn("place", place).join(self.classes.select("cid", "n"), "cid")
+        placed = (tokens.join(common, "token").withColumn("place", place).join(self.folds(members), "cid")
                   .where(F.col("place") <= n - F.ceil(n * num / den) + 1).where("f > 1"))
         placed = cut_lineage(placed.join(self.labels.toDF("cid", "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid")), "prefixes")
+        drop_stage(tokens)
         # the shorter set (or, at equal sizes, the smaller id) needs the token in a shorter prefix
         short = placed.where(F.col("place") <= n - F.ceil(n * (2 * num) / (num + den)) + 1)
-        x, y = (t.select("token", F.struct("cid", "n", "place", "root").alias(c)) for t, c in ((short, "x"), (placed, "y")))
+        x, y = (t.select("token", F.struct("cid", "n", "place", "root", *FOLDS).alias(c)) for t, c in ((short, "x"), (placed, "y")))
         x_, y_ = F.col("x"), F.col("y")
         most = 1 + F.least(x_["n"] - x_["place"], y_["n"] - y_["place"])
+        far = reduce(lambda p, q: p + q, [F.bit_count(x_[c].bitwiseXOR(y_[c])) for c in FOLDS])
         fits = ((x_["root"] != y_["root"]) & ((x_["n"] < y_["n"]) | (x_["n"] == y_["n"]) & (x_["cid"] < y_["cid"]))
-                & (x_["n"] * den >= y_["n"] * num) & (most * (num + den) >= (x_["n"] + y_["n"]) * num))
-        return x.join(y, "token").where(fits).select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
+                & (x_["n"] * den >= y_["n"] * num) & (most * (num + den) >= (x_["n"] + y_["n"]) * num)
+                & (far <= x_["n"] + y_["n"] - 2 * F.ceil((x_["n"] + y_["n"]) * num / (num + den))))
+        pairs = cut_lineage(x.join(y, "token").where(fits).select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct(), "pairs")
+        drop_stage(placed)
+        return pairs
 
     def windows(self, members: DataFrame) -> DataFrame:
         """Nodes split by set size: bands of one threshold ratio, two neighbouring bands in a window."""
@@ -323,25 +380,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     smallest key reachable over links with ``den * intersection >= num * union``."""
     with _batch_rows(docs.sparkSession, 2000):
         j = _Join(docs, key, text, width, num, den, trees, leaf, early)
-        pairs = j.pairs(j.opened(j.members(F.slice("nodes", F.lit(1), F.col("early")))))
-        j.confirm(cut_lineage(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "forest"))
-        members, found = j.members("nodes"), []
+        opened = j.opened(j.members(F.slice("nodes", F.lit(1), F.col("early"))))
+        forest = cut_lineage(j.pairs(opened).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "forest")
+        drop_stage(opened)
+        j.confirm(forest)
+        drop_stage(forest)
+        members, found, before = j.members("nodes"), [], None
         for level in range(depth):
             opened = j.opened(members)
+            if before is not None:
+                drop_stage(before)
             if opened.isEmpty():
                 break
-            found.append(cut_lineage(j.pairs(opened), "pairs"))
+            pairs = cut_lineage(j.pairs(opened), "pairs")
+            found.append(j.likely(pairs))
+            drop_stage(pairs)
             if level == 0:  # later levels find few links: their candidates are confirmed together
-                j.confirm(j.likely(found.pop()))
+                j.confirm(found[0])
+                drop_stage(found.pop())
             members = j.still_open(opened)
             if members.isEmpty():
                 break
             if level == depth - 1:
-                found.append(cut_lineage(j.prefix_pairs(members), "pairs"))
+                pairs = j.prefix_pairs(members)
+                found.append(j.likely(pairs))
+                drop_stage(pairs)
             else:
-                members = cut_lineage(j.branch(members) if level else j.windows(members), "members")
+                members = before = cut_lineage(j.branch(members) if level else j.windows(members), "members")
+            drop_stage(opened)
         if found:
-            j.confirm(j.likely(reduce(DataFrame.union, found).distinct()))
+            j.confirm(reduce(DataFrame.union, found).distinct())
     named = j.classes.select("cid", "rep").join(j.labels.toDF("cid", "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
     final = cut_lineage(named.join(least, "root").select("cid", "component"), "components")

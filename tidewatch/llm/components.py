@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.session import cut_lineage
+from tidewatch.session import cut_lineage, drop_stage
 
 
 def _star(pairs: DataFrame) -> DataFrame:
@@ -31,11 +31,15 @@ def _settled(stars: DataFrame) -> bool:
 def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``edges(a, b)`` to ``(node, root)`` with the smallest node as root; nodes without edges are left out."""
     cur = edges.where("a <> b").select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("m"))
+    before = None
     for _ in range(max_rounds):
         both = cur.select(F.col("x").alias("u"), F.col("m").alias("v")).union(cur.select(F.col("m").alias("u"), F.col("x").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         cur = cut_lineage(_star(large), "stars")
+        if before is not None:
+            drop_stage(before)
+        before = cur
         if _settled(cur):
             return cur.select(F.col("x").alias("node"), F.col("m").alias("root")).union(
                 cur.select("m", "m").distinct())
