@@ -316,11 +316,13 @@ class _Join:
         wanted = members.select("cid").distinct().join(self.classes.select("cid", "rep"), "cid").select("rep", "cid", F.col("cid").alias("hub"))
         sets = self.with_sets(wanted).groupBy("cid").agg(F.first("words").alias("words"))
         tokens = cut_lineage(sets.mapInArrow(tidy(run), "token long, cid long"), "tokens")
-        common = tokens.groupBy("token").agg(F.count("*").alias("f"))
-        place = F.row_number().over(Window.partitionBy("cid").orderBy("f", "token"))
-        n = F.col("n")
-        placed = (tokens.join(common, "token").withColumn("place", place).join(self.folds(members), "cid")
-                  .where(F.col("place") <= n - F.ceil(n * num / den) + 1).where("f > 1"))
+        # tokens of one class alone come first in its order and join with nothing: they only count
+        common = tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+        own, n = Window.partitionBy("cid"), F.col("n")
+        placed = (tokens.join(common, "token").withColumn("shared", F.count("*").over(own))
+                  .withColumn("place", F.row_number().over(own.orderBy("f", "token"))).join(self.folds(members), "cid")
+                  .withColumn("place", F.col("place") + n - F.col("shared")).drop("shared")
+                  .where(F.col("place") <= n - F.ceil(n * num / den) + 1))
         placed = cut_lineage(placed.join(self.labels.toDF("cid", "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid")), "prefixes")
         drop_stage(tokens)
         # the shorter set (or, at equal sizes, the smaller id) needs the token in a shorter prefix
