@@ -93,6 +93,19 @@ def test_connected_components_on_paths_and_cliques(spark):
     assert components.connected(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("left", "right"), [(0, 1), (1, 1), (40, 300), (300, 340), (2000, 5000), (20000, 30000)])
+def test_parity_bitmaps_never_exceed_the_difference_of_two_sets(left, right):
+    rng = np.random.default_rng(left + right)
+    pool = rng.integers(0, 2**63, left + right, dtype=np.uint64)
+    for shared in (0, left // 2, left):
+        x, y = np.unique(pool[:left]), np.unique(pool[left - shared: left - shared + right])
+        p, q = (chosen_path._parity(v)[None, :] for v in (x, y))
+        for size in (64, min(p.shape[1], q.shape[1])):
+            far = int(np.bitwise_count(chosen_path._folded(p, size) ^ chosen_path._folded(q, size)).sum())
+            assert far <= len(np.setxor1d(x, y))
+            assert x.tolist() != y.tolist() or far == 0
+
+
 def test_meeting_probability():
     assert chosen_path.meeting_probability(0.85, 0.85, 1) == pytest.approx(0.632, abs=1e-3)
     assert (1 - chosen_path.meeting_probability(0.85, 0.85, 3)) ** 24 < 3e-5
