@@ -122,3 +122,22 @@ def test_t_tail_joins_smoothly_and_reaches_the_normal():
     assert tails.t_two_sided(2.5, 999_999.0) == pytest.approx(tails.t_two_sided(2.5, 1_000_001.0), rel=1e-9)
     assert tails.t_two_sided(3.0, 1e12) == pytest.approx(math.erfc(3 / math.sqrt(2)), rel=1e-8)
     assert tails.f_upper(9.0, 1, 1e12) == pytest.approx(math.erfc(3 / math.sqrt(2)), rel=1e-8)
+
+
+def test_halving_finds_the_bucket_of_the_counted_bounds(spark):
+    values = [-math.inf, -1.0, 0.0, 0.5, 1.0, 2.5, 7.0, 99.0, math.inf, math.nan, None]
+    for most in (0, 1, 2, 3, 7, 8, 64, 200):
+        bounds = [float(i // 2) for i in range(most)]  # some bounds are equal
+        df = spark.createDataFrame([(v, bounds) for v in values] + [(1.0, bounds[:1]), (1.0, None)], "value double, bounds array<double>")
+        df = df.withColumn("counted", drift._bucket("bounds", F.col("value")))
+        found = drift._with_bucket(df, most).where("value is not null and bounds is not null").select("bucket", "counted").collect()
+        assert len(found) == len(values) and all(r["bucket"] == r["counted"] for r in found)
+
+
+def test_sketch_of_the_bounds_runs_once_and_rows_move_once(spark):
+    dv = spark.range(400).selectExpr("'a' AS feature", "CAST(id AS DOUBLE) AS value", "1L AS c_ref", "id % 3 AS c_cur", "0L AS n_failed")
+    placed = drift._placed(dv, [], 1, 16, 16)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "percentile_approx" not in plan and "lambdafunction" not in plan
+    assert plan.count("REPARTITION_BY_COL") == 1
+    assert placed.agg(F.sum("off_ref"), F.count("*")).first()[1] == 400

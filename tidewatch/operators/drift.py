@@ -144,6 +144,18 @@ def _bucket(bounds: str, value: Column) -> Column:
     return coarse * _STEP + fine
 
 
+def _with_bucket(df: DataFrame, most: int) -> DataFrame:
+    """:func:`_bucket` of ``bounds`` (``most`` at most) and ``value`` as column
+    ``bucket``, for passes over all values: the search halves the bounds in plain
+    columns, so a row costs the logarithm of their number, and no lambda runs."""
+    df, step = df.withColumn("bucket", F.lit(0)), 1 << max(0, most.bit_length() - 1)
+    while step:
+        at = F.col("bucket")
+        df = df.withColumn("bucket", F.when(F.get("bounds", at + (step - 1)) < F.col("value"), at + step).otherwise(at))
+        step //= 2
+    return df
+
+
 def scaled_buckets(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16) -> int:
     """Bucket count for the ECDF of a distinct-value table: at least
     ``buckets``, more when the largest (keys, feature) group would put over
@@ -185,7 +197,7 @@ def ecdf(dv: DataFrame, keys: Sequence[str] = (), buckets: int = 16,
     if bounds is None:
         bounds = dv.groupBy(*k).agg(_bounds_expr(buckets).alias("bounds"))
     b = join_small(dv, bounds.select(*k, "bounds"), k, bound_rows=bound(n_features, 1, keys))
-    b = b.withColumn("bucket", _bucket("bounds", F.col("value"))).drop("bounds")
+    b = _with_bucket(b, buckets - 1).drop("bounds")
     kb = [*k, "bucket"]
     if keys:
         # the join leaves rows dealt by (keys, feature), which would satisfy the windows
@@ -228,17 +240,19 @@ def _placed(dv: DataFrame, keys: Sequence[str], n_features: int, buckets: int, l
                                 _bounds_expr(buckets).alias("bounds"))
     share = F.least(F.lit(1.0), F.greatest(F.lit(least), F.ceil(F.col("_m") / ROWS_PER_BUCKET)) / buckets)
     thinned = F.filter("bounds", lambda x, i: F.floor((i + 1) * share) > F.floor(i * share))
-    sketch = sketch.select(*k, "n_ref", "n_cur", thinned.alias("bounds"))
-    b = join_small(dv, sketch, k, bound_rows=bound(n_features, buckets, keys))
-    b = b.withColumn("bucket", F.when(F.col("value").isNull() | F.col("bounds").isNull(), -1).otherwise(_bucket("bounds", F.col("value")))).drop("bounds")
+    # written: rows and totals below must see the same bounds, and the sketch is a pass over all values
+    sketch = cut_lineage(sketch.select(*k, "n_ref", "n_cur", thinned.alias("bounds")), "bounds")
+    b = _with_bucket(join_small(dv, sketch, k, bound_rows=bound(n_features, buckets, keys)), buckets - 1)
+    b = b.withColumn("bucket", F.when(F.col("value").isNull() | F.col("bounds").isNull(), -1).otherwise(F.col("bucket"))).drop("bounds")
     kb = [*k, "bucket"]
-    # dealt by bucket: the join left rows dealt by (keys, feature), which would keep a hot segment in one task
-    b = b.repartition(*[F.col(c) for c in kb])
-    totals = b.groupBy(*kb).agg(F.sum("c_ref").alias("_ref"), F.sum("c_cur").alias("_cur"), F.min("value").alias("_first"))
+    # dealt by bucket: a join by segment left rows dealt by (keys, feature), which would keep a hot segment in one task
+    dealt = b.repartition(*[F.col(c) for c in kb])
+    # without segments the totals need no row dealt, only partial sums
+    totals = (dealt if keys else b).groupBy(*kb).agg(F.sum("c_ref").alias("_ref"), F.sum("c_cur").alias("_cur"), F.min("value").alias("_first"))
     before = Window.partitionBy(*k).orderBy("bucket")
     offsets = totals.select(*kb, F.col("_first").alias("anchor"), *[(F.sum(f"_{c}").over(before.rowsBetween(_UNB, _NOW)) - F.col(f"_{c}")).alias(f"off_{c}") for c in ("ref", "cur")],
                             F.lead("_first").over(before).alias("next_first"))
-    return join_small(b, offsets, kb, bound_rows=bound(n_features, buckets + 1, keys))
+    return join_small(dealt, offsets, kb, bound_rows=bound(n_features, buckets + 1, keys))
 
 
 _COHORTS = ("ref", "cur")
