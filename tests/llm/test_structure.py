@@ -111,6 +111,13 @@ def test_meeting_probability():
     assert (1 - chosen_path.meeting_probability(0.85, 0.85, 3)) ** 24 < 3e-5
 
 
+def test_frequency_of_tokens_joins_nothing(spark):
+    rows = spark.createDataFrame([(t, c) for c in range(9) for t in range(c)], "token long, cid long")
+    found = chosen_path.with_frequency(rows)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 36 and all(r.f == 8 - r.token for r in found.collect())
+
+
 # --- decontamination
 
 @settings(max_examples=60, deadline=None)

@@ -163,6 +163,12 @@ def class_rows(docs: DataFrame, key: str, text: str, width: int, share: float, t
         tidy(run), f"key {kind}, n long, cid long, nodes array<long>, early int, minwise binary, parity binary, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
+def with_frequency(tokens: DataFrame) -> DataFrame:
+    """``token, cid`` and ``f``, the number of the token's rows: each row is dealt
+    once and counted where it lies, without a join of the rows with their counts."""
+    return tokens.withColumn("f", F.count("*").over(Window.partitionBy("token")))
+
+
 class _Join:
     """State of one run: documents, class table, links and labels so far."""
 
@@ -317,9 +323,8 @@ class _Join:
         sets = self.with_sets(wanted).groupBy("cid").agg(F.first("words").alias("words"))
         tokens = cut_lineage(sets.mapInArrow(tidy(run), "token long, cid long"), "tokens")
         # tokens of one class alone come first in its order and join with nothing: they only count
-        common = tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
         own, n = Window.partitionBy("cid"), F.col("n")
-        placed = (tokens.join(common, "token").withColumn("shared", F.count("*").over(own))
+        placed = (with_frequency(tokens).where("f > 1").withColumn("shared", F.count("*").over(own))
                   .withColumn("place", F.row_number().over(own.orderBy("f", "token"))).join(self.folds(members), "cid")
                   .withColumn("place", F.col("place") + n - F.col("shared")).drop("shared")
                   .where(F.col("place") <= n - F.ceil(n * num / den) + 1))
