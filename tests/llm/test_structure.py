@@ -111,6 +111,25 @@ def test_meeting_probability():
     assert (1 - chosen_path.meeting_probability(0.85, 0.85, 3)) ** 24 < 3e-5
 
 
+def test_pairs_of_a_node_are_similar_enough(spark):
+    """A node of texts that share two thirds of their shingles makes few rows, and no near copy is lost."""
+    g = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(140)]
+    texts = []
+    for k in range(48):
+        words = list(base)
+        for i in range(0, 140, 20):
+            words[i + int(g.integers(0, 14))] = f"x{k}_{i}"
+        texts.append(words)
+    near = [[*words[:-1], "end"] for words in texts[:6]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts + near)], "doc_id long, text string")
+    join = chosen_path._Join(docs, "doc_id", "text", 3, 85, 100, 24, 64, 3)
+    rep = {r.cid: r.rep for r in join.classes.select("cid", "rep").collect()}
+    got = {tuple(sorted((rep[r.a], rep[r.b]))) for r in join.pairs(join.opened(join.members("nodes"))).collect()}
+    assert {(i, 48 + i) for i in range(6)} <= got
+    assert len(got) < 54 * 53 // 2 // 4
+
+
 def test_frequency_of_tokens_joins_nothing(spark):
     rows = spark.createDataFrame([(t, c) for c in range(9) for t in range(c)], "token long, cid long")
     found = chosen_path.with_frequency(rows)

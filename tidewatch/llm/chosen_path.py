@@ -24,14 +24,16 @@ several components are looked at, and only pairs across components. Links are
 confirmed after the first level of all trees, and once for all later levels.
 
 In a node, a pair whose sizes rule the threshold out, or whose one-bit minwise
-values (of up to 128) differ in more places than five standard deviations above
-the mean at the threshold, is not looked at further. Candidates then pass a
-parity filter that loses no link: every class has a bitmap of two to four bits
+values (of up to 64) differ in more places than six standard deviations above
+the mean at the threshold, is not looked at further. The others pass a parity
+filter that loses no link: every class has a bitmap of two to four bits
 a shingle (512 to ``2**15``), in which each shingle flips the bit at its hash.
 Two bitmaps differ in at most as many bits as their sets have shingles that the
 other lacks, so a pair whose bitmaps differ more than the threshold allows is
-no link. The exact prefixes carry the bitmaps folded to 512 bits, and their
-join holds the pairs against these. What is left is confirmed on full sets.
+no link. Members of a node carry the bitmaps folded to 128 bits, so that most
+pairs of texts that are similar, but not enough, are never rows; the exact
+prefixes carry them folded to 512 bits. Candidates are held against the whole
+bitmaps, and what is left is confirmed on full sets.
 Components come from :mod:`components`. Tables that no later step reads are
 deleted when the next one is written.
 
@@ -68,7 +70,7 @@ from tidewatch.llm.words import LOWER, NON_SPACE, blocks, mix, shingles, span_ha
 from tidewatch.session import cut_lineage, drop_stage
 
 BINS = 128
-SKETCH = ("b1", "b2", "u1", "u2")  # one-bit values and which of them exist
+SKETCH = ("b", "u", "p1", "p2")  # one-bit values, which of them exist, and a parity bitmap folded to 128 bits
 FOLDS = tuple(f"q{i}" for i in range(8))  # a parity bitmap folded to 512 bits
 PARITY_BITS = (1 << 9, 1 << 15)
 MEMBER = ("cid", "n", *SKETCH)
@@ -101,9 +103,10 @@ def _minwise(s: np.ndarray) -> np.ndarray:
 
 
 def _bits(minwise: np.ndarray) -> list[int]:
-    """Lowest bit of every minwise value (0 for an empty range) and the ranges that are not empty, two 64-bit values each."""
-    used = minwise != 0xFFFF
-    return [*np.packbits((minwise & 1) & used).view(np.int64).tolist(), *np.packbits(used).view(np.int64).tolist()]
+    """Lowest bit of the minwise value of every two neighbouring ranges (0 for empty ones) and the ranges that are not empty, 64 bits each."""
+    low = np.where(minwise[::2] != 0xFFFF, minwise[::2], minwise[1::2])
+    used = low != 0xFFFF
+    return [*np.packbits((low & 1) & used).view(np.int64).tolist(), *np.packbits(used).view(np.int64).tolist()]
 
 
 def _parity(s: np.ndarray) -> np.ndarray:
@@ -152,8 +155,9 @@ def class_rows(docs: DataFrame, key: str, text: str, width: int, share: float, t
             rows = []
             for _, s in _sets(batch.column(1), width):
                 if len(s):
-                    (nodes, tree), least = _children(s, roots, share), _minwise(s)
-                    rows.append((len(s), _digest(s), nodes.view(np.int64), int(np.searchsorted(tree, early)), least.tobytes(), _parity(s).tobytes(), *_bits(least)))
+                    (nodes, tree), least, parity = _children(s, roots, share), _minwise(s), _parity(s)
+                    rows.append((len(s), _digest(s), nodes.view(np.int64), int(np.searchsorted(tree, early)), least.tobytes(), parity.tobytes(),
+                                 *_bits(least), *_folded(parity[None, :], 16).view(np.int64)[0].tolist()))
                 else:
                     rows.append((0, 0, (), 0, b"", b"", 0, 0, 0, 0))
             cols = zip(*rows, strict=True) if rows else [()] * len(types)
@@ -251,12 +255,17 @@ class _Join:
         return cut_lineage(rooted.join(nodes, "node").join(self.classes.select(*MEMBER), "cid"), "nodes")
 
     def possible(self, x, y):
-        """Pairs across components that sizes and one-bit sketches allow."""
+        """Pairs across components that sizes, one-bit sketches and folded parity bitmaps allow."""
         odds = (1 - self.share) / 2
-        far = F.bit_count(x["b1"].bitwiseXOR(y["b1"])) + F.bit_count(x["b2"].bitwiseXOR(y["b2"]))
-        used = F.bit_count(x["u1"].bitwiseOR(y["u1"])) + F.bit_count(x["u2"].bitwiseOR(y["u2"]))
+        far, used = F.bit_count(x["b"].bitwiseXOR(y["b"])), F.bit_count(x["u"].bitwiseOR(y["u"]))
         return ((x["root"] != y["root"]) & (F.least(x["n"], y["n"]) * self.den >= F.greatest(x["n"], y["n"]) * self.num)
-                & (far <= used * odds + 5 * F.sqrt(used * odds * (1 - odds))))
+                & (far <= used * odds + 6 * F.sqrt(used * odds * (1 - odds))) & self.near(x, y, ("p1", "p2")))
+
+    def near(self, x, y, columns):
+        """Pairs whose parity bitmaps (64 bits a column) differ in no more bits than the threshold allows shingles that one lacks."""
+        far = reduce(lambda p, q: p + q, [F.bit_count(x[c].bitwiseXOR(y[c])) for c in columns])
+        n = x["n"] + y["n"]
+        return far <= n - 2 * F.ceil(n * self.num / (self.num + self.den))
 
     def pairs(self, opened: DataFrame) -> DataFrame:
         """Distinct candidate pairs (a < b): classes outside the largest component with all, pivots of the other nodes."""
@@ -335,10 +344,9 @@ class _Join:
         x, y = (t.select("token", F.struct("cid", "n", "place", "root", *FOLDS).alias(c)) for t, c in ((short, "x"), (placed, "y")))
         x_, y_ = F.col("x"), F.col("y")
         most = 1 + F.least(x_["n"] - x_["place"], y_["n"] - y_["place"])
-        far = reduce(lambda p, q: p + q, [F.bit_count(x_[c].bitwiseXOR(y_[c])) for c in FOLDS])
         fits = ((x_["root"] != y_["root"]) & ((x_["n"] < y_["n"]) | (x_["n"] == y_["n"]) & (x_["cid"] < y_["cid"]))
                 & (x_["n"] * den >= y_["n"] * num) & (most * (num + den) >= (x_["n"] + y_["n"]) * num)
-                & (far <= x_["n"] + y_["n"] - 2 * F.ceil((x_["n"] + y_["n"]) * num / (num + den))))
+                & self.near(x_, y_, FOLDS))
         pairs = cut_lineage(x.join(y, "token").where(fits).select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct(), "pairs")
         drop_stage(placed)
         return pairs
