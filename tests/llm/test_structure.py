@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -236,6 +237,22 @@ def test_any_latin_text_has_the_same_ids(text):
     assert made.encode([text]) == [np.array(made.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
 
 
+def test_encoder_goes_with_its_task(spark):
+    """Nothing of the tokenizer stays in a worker between tasks, and Latin texts do not load the library's own."""
+    made = tokens.Encoder(tokens.tokenizer_path())
+    made.encode(["Plain text."])
+    assert "tokenizer" not in vars(made)
+    vector_packing.pack(awkward(spark), max_tokens=256, max_segments=6).count()
+
+    def kept(batches):
+        from tidewatch.llm.tokens import encoder
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [encoder.cache_info().currsize]})
+
+    assert {r.n for r in spark.range(64).repartition(16).mapInArrow(kept, "n long").collect()} == {0}
+
+
 def test_packing_round_trip(spark):
     got = vector_packing.pack(awkward(spark), max_tokens=256, max_segments=6).collect()
     encoder = tokens.Encoder(tokens.tokenizer_path())

@@ -13,7 +13,7 @@ import json
 import os
 import re
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 #: fixed value: the pre-tokenizer's pattern of byte-level BPE files
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -41,16 +41,23 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters, special = _bytes_of_letters(), {t["content"] for t in spec["added_tokens"]}
         ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def tokenizer(self):
+        """The library's own tokenizer, read when the first text needs it."""
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.encode_special_tokens = True  # their strings in a text are ordinary text
+        return made
+
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self._one(t) for t in texts]
 
@@ -62,5 +69,5 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder per worker and file."""
+    """One encoder per process and file, until ``encoder.cache_clear()``."""
     return Encoder(path)

@@ -94,6 +94,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", loss: str | Non
         from pyspark import TaskContext
 
         ids_of = encoder(path).encode
+        encoder.cache_clear()  # the worker outlives this task, and its tables would count against later stages
         base, made = TaskContext.get().partitionId() << 40, 0
         end = np.array([end_id], dtype="<u4").tobytes()
         waiting: list[tuple] = []  # (key, start, length, loss, tokens, ids)
